@@ -43,14 +43,14 @@ def any_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
-def latest_per_group(df: DataFrame, group: str, time: str, ties: Sequence[Column] = ()) -> DataFrame:
-    """Newest row of each of few, large groups.
+def latest_per_group(
+    df: DataFrame, group: str, time: str, columns: Sequence[str | Column], ties: Sequence[str] = ()
+) -> DataFrame:
+    """Newest row of each of few, large groups, cut to the wanted columns.
 
-    The newest time per group comes from a two-column hash aggregate; joining it
-    back leaves only candidates to rank, so the wide rows are neither sorted nor
-    shuffled when the groups are few enough for Spark to broadcast.
+    The columns are dropped before ranking, so the map-side sort handles narrow
+    rows and each task passes on one row per group.
     """
-    newest = df.groupBy(F.col(group).alias("_group")).agg(F.max(time).alias("_newest"))
-    at_newest = df[group].eqNullSafe(F.col("_group")) & df[time].eqNullSafe(F.col("_newest"))
-    candidates = df.join(newest, at_newest, "left_semi")
-    return ranked_first(candidates, [group], [F.col(time).desc_nulls_last(), *ties])
+    by = Window.partitionBy(group).orderBy(F.col(time).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties])
+    ranked = df.where(F.col(group).isNotNull()).select(group, *columns, F.row_number().over(by).alias("_rank"))
+    return ranked.where("_rank = 1").drop("_rank")

@@ -15,7 +15,12 @@ def rows(df: DataFrame, array: Column, name: str, *, outer: bool = False, first_
     if first_only:
         out = df.withColumn(name, F.get(array, F.lit(0)))
         return out if outer else out.where(F.size(array) > 0)
-    return df.withColumn(name, F.explode_outer(array) if outer else F.explode(array))
+    if outer:
+        return df.withColumn(name, F.explode_outer(array))
+    # For a plain explode Catalyst infers size(array) > 0 and pushes it down to
+    # where the array is made, so a parsed or computed array would be made twice.
+    # A position filter above the generator says the same without that.
+    return df.select("*", F.posexplode_outer(array).alias("_pos", name)).where("_pos is not null").drop("_pos")
 
 
 def map_rows(df: DataFrame, mapping: Column, key: str, *keep: str) -> DataFrame:

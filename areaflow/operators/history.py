@@ -36,7 +36,7 @@ def from_documents(df: DataFrame, document: Column) -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """History documents from text files, one per line or one per file."""
-    return from_documents(spark.read.option("wholetext", whole_file).text(path), F.col("value"))
+    return from_documents(spark.read.text(path, wholetext=whole_file), F.col("value"))
 
 
 def to_documents(history: DataFrame) -> DataFrame:

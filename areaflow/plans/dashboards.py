@@ -96,28 +96,14 @@ def source_category_view(source: DataFrame) -> DataFrame:
 
 def latest_snapshot(commercial: DataFrame, population: DataFrame, weather: DataFrame) -> DataFrame:
     """Newest commercial, population and weather row of every area."""
-    spends = dedupe.latest_per_group(commercial, "area_id", "time_key", [F.col("fact_commercial_id")]).select(
-        "area_id",
-        F.col("time_key").alias("commercial_time_key"),
-        "congestion_level",
-        "total_payment_count",
-    )
-    crowds = dedupe.latest_per_group(population, "area_id", "time_key", [F.col("fact_population_id")]).select(
-        "area_id",
-        F.col("time_key").alias("population_time_key"),
-        "congestion_id",
-        "population_min",
-        "population_max",
-    )
-    skies = dedupe.latest_per_group(weather, "area_id", "time_key", [F.col("fact_weather_id")]).select(
-        "area_id",
-        F.col("time_key").alias("weather_time_key"),
-        "temperature",
-        "pm10_value",
-        "air_quality_value",
-    )
-    known = [df.where("area_id is not null") for df in (spends, crowds, skies)]
-    return known[0].join(known[1], "area_id", "full").join(known[2], "area_id", "full")
+    def newest(fact: DataFrame, feed: str, *columns: str) -> DataFrame:
+        minute = F.col("time_key").alias(f"{feed}_time_key")
+        return dedupe.latest_per_group(fact, "area_id", "time_key", [minute, *columns], [f"fact_{feed}_id"])
+
+    spends = newest(commercial, "commercial", "congestion_level", "total_payment_count")
+    crowds = newest(population, "population", "congestion_id", "population_min", "population_max")
+    skies = newest(weather, "weather", "temperature", "pm10_value", "air_quality_value")
+    return spends.join(crowds, "area_id", "full").join(skies, "area_id", "full")
 
 
 def _key_bounds(start: dt.datetime, end: dt.datetime) -> Column:

@@ -1,4 +1,4 @@
-"""The feeds from document text to source tables."""
+"""The feeds from JSON documents to source tables."""
 
 from __future__ import annotations
 
@@ -9,13 +9,6 @@ from areaflow.functions import clock
 from areaflow.plans import feeds
 from areaflow.queries import roles
 from areaflow.queries.registry import RUN_TS, query
-from areaflow.sources import paths, raw
-
-
-def _documents(spark, sf):
-    """Documents parsed from their JSON text."""
-    docs = raw.from_json_text(roles.json_documents(spark, sf), F.col("body"), "path")
-    return paths.with_key_parts(docs, F.col("path"))
 
 
 def _columns(table: str) -> str:
@@ -41,7 +34,7 @@ def _purchases(spark, sf):
 
 @query("d10_source_commercial", roles.with_sql(roles.E, roles.SOURCE_COMMERCIAL, select=_select("commercial", "src_commercial")))
 def _(spark, sf):
-    return feeds.commercial(_documents(spark, sf), RUN_TS)
+    return feeds.commercial(roles.parsed_documents(spark, sf, c.COMMERCIAL), RUN_TS)
 
 
 @query(
@@ -55,7 +48,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    fresh = feeds.commercial(_documents(spark, sf), RUN_TS, _purchases(spark, sf))
+    fresh = feeds.commercial(roles.parsed_documents(spark, sf, c.COMMERCIAL), RUN_TS, _purchases(spark, sf))
     return fresh.select("source_id", "total_payment_count", "observed_at")
 
 
@@ -64,7 +57,7 @@ def _(spark, sf):
     roles.with_sql(roles.E, roles.SOURCE_CATEGORY, select=_select("commercial_rsb", "src_rsb")),
 )
 def _(spark, sf):
-    return feeds.commercial_rsb(_documents(spark, sf), RUN_TS)
+    return feeds.commercial_rsb(roles.parsed_documents(spark, sf, c.COMMERCIAL), RUN_TS)
 
 
 @query(
@@ -78,13 +71,13 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = feeds.commercial_rsb(_documents(spark, sf), RUN_TS, outer=True)
+    rows = feeds.commercial_rsb(roles.parsed_documents(spark, sf, c.COMMERCIAL), RUN_TS, outer=True)
     return rows.select("source_id", "category_large", "merchant_count")
 
 
 @query("d12_source_population", roles.with_sql(roles.E, roles.SOURCE_POPULATION, select=_select("population", "src_population")))
 def _(spark, sf):
-    return feeds.population(_documents(spark, sf), RUN_TS)
+    return feeds.population(roles.parsed_documents(spark, sf, c.POPULATION), RUN_TS)
 
 
 @query(
@@ -97,13 +90,13 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = feeds.population(_documents(spark, sf), RUN_TS, _purchases(spark, sf), first_only=True)
+    rows = feeds.population(roles.parsed_documents(spark, sf, c.POPULATION), RUN_TS, _purchases(spark, sf), first_only=True)
     return rows.select("area_code", "observed_at")
 
 
 @query("d13_source_event", roles.with_sql(roles.E, roles.SOURCE_EVENT, select=_select("event", "src_event")))
 def _(spark, sf):
-    return feeds.event(_documents(spark, sf), RUN_TS)
+    return feeds.event(roles.parsed_documents(spark, sf, c.EVENT), RUN_TS)
 
 
 @query(
@@ -116,24 +109,24 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = feeds.event(_documents(spark, sf), RUN_TS, clock.wall(RUN_TS))
+    rows = feeds.event(roles.parsed_documents(spark, sf, c.EVENT), RUN_TS, clock.wall(RUN_TS))
     keyed = rows.withColumn("day", F.to_date("observed_at"))
     return keyed.groupBy("area_code", "event_name", "event_x", "is_paid", "day").agg(F.count("*").alias("n"))
 
 
 @query("d14_source_bus", roles.with_sql(roles.E, roles.SOURCE_BUS, select=_select("bus", "src_bus")))
 def _(spark, sf):
-    return feeds.transit(_documents(spark, sf), c.BUS, RUN_TS)
+    return feeds.transit(roles.parsed_documents(spark, sf, c.BUS.payload), c.BUS, RUN_TS)
 
 
 @query("d14_source_subway", roles.with_sql(roles.E, roles.SOURCE_SUBWAY, select=_select("subway", "src_subway")))
 def _(spark, sf):
-    return feeds.transit(_documents(spark, sf), c.SUBWAY, RUN_TS)
+    return feeds.transit(roles.parsed_documents(spark, sf, c.SUBWAY.payload), c.SUBWAY, RUN_TS)
 
 
 @query("d15_source_weather", roles.with_sql(roles.E, roles.SOURCE_WEATHER, select=_select("weather", "src_weather")))
 def _(spark, sf):
-    return feeds.weather(_documents(spark, sf), RUN_TS)
+    return feeds.weather(roles.parsed_documents(spark, sf, c.WEATHER), RUN_TS)
 
 
 @query(
@@ -143,5 +136,5 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = feeds.weather(_documents(spark, sf), RUN_TS, first_only=True)
+    rows = feeds.weather(roles.parsed_documents(spark, sf, c.WEATHER), RUN_TS, first_only=True)
     return rows.select("source_id", "humidity", "air_quality_value")

@@ -10,18 +10,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areaflow import contracts as c
+from areaflow import session
 from areaflow.functions import clock, keys
 from areaflow.queries.registry import RUN_TS, table
-from areaflow.sources import paths
+from areaflow.sources import paths, raw, sinks
 
 RUN = f"TIMESTAMP '{RUN_TS}'"
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the number in their properties as ``k``."""
-    events = table(spark, sf_dir, "events")
+    events = session.spread(table(spark, sf_dir, "events"))
     return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
@@ -35,205 +37,185 @@ e AS (
 )"""
 
 
-def _text(number: Column) -> Column:
-    return number.cast("string")
-
-
-def _by_type(**values: str | None) -> Column:
-    """A text by event type; other types get NULL."""
-    out = F.lit(None).cast("string")
-    for event_type, value in values.items():
-        out = F.when(F.col("event_type") == event_type, F.lit(value)).otherwise(out)
-    return out
-
-
-def _money() -> Column:
-    return _text(F.col("value").cast("decimal(18,2)"))
-
-
-def _struct(fields: list[c.Field], values: dict[str, Column]) -> Column:
-    missing = F.lit(None).cast("string")
-    return F.struct(*[values.get(f.raw, missing).alias(f.raw) for f in fields], *[
-        v.alias(n) for n, v in values.items() if n not in {f.raw for f in fields}
-    ])
-
-
-def _copies(count: Column, element) -> Column:
+# Payload texts as SQL expressions over an observation, by payload field; fields
+# that are not listed are NULL.
+_MONEY = "CAST(CAST(value AS DECIMAL(18,2)) AS STRING)"
+
+_CATEGORY_TEXTS = {
+    "RSB_LRG_CTGR": "'Brand#' || CAST(i + k % 20 AS STRING)",
+    "RSB_MID_CTGR": "CASE event_type WHEN 'click' THEN 'ECONOMY' WHEN 'view' THEN 'SMALL' "
+    "WHEN 'signup' THEN 'STANDARD' END",
+    "RSB_PAYMENT_LVL": "event_type || ' payments in this category'",
+    "RSB_SH_PAYMENT_CNT": "CAST(k * i AS STRING) || '.9'",
+    "RSB_SH_PAYMENT_AMT_MIN": _MONEY,
+    "RSB_SH_PAYMENT_AMT_MAX": "''",
+    "RSB_MCT_CNT": "CAST(i AS STRING)",
+    "RSB_MCT_TIME": "date_format(ts, 'yyyyMMdd')",
+}
+_COMMERCIAL_TEXTS = {
+    c.COMMERCIAL_TIME: f"CASE WHEN event_type = 'error' THEN 'n/a' ELSE date_format(ts, '{c.COMPACT_MINUTE}') END",
+    "AREA_CMRCL_LVL": "nullif(event_type, 'view')",
+    "AREA_SH_PAYMENT_CNT": "CAST(k AS STRING) || '.7'",
+    "AREA_SH_PAYMENT_AMT_MIN": _MONEY,
+    "AREA_SH_PAYMENT_AMT_MAX": "CASE WHEN event_type = 'click' THEN 'abc' ELSE CAST(k * 1000 AS STRING) END",
+    "CMRCL_MALE_RATE": "CAST(k AS STRING) || '.125'",
+    "CMRCL_FEMALE_RATE": "CAST(99 - k AS STRING) || '.874'",
+    "CMRCL_10_RATE": _MONEY,
+    "CMRCL_20_RATE": "''",
+    "CMRCL_30_RATE": "'nan'",
+    "CMRCL_40_RATE": "CAST(k AS STRING) || '000'",
+    "CMRCL_50_RATE": "CAST(k AS STRING)",
+    "CMRCL_PERSONAL_RATE": "CAST(k AS STRING) || '.5'",
+    "CMRCL_CORPORATION_RATE": "'-' || CAST(k AS STRING) || '.005'",
+}
+
+
+def _population_texts(minutes: int, factor: int) -> dict[str, str]:
+    return {
+        "AREA_NM": "area_name",
+        "AREA_CD": "area_code",
+        "AREA_CONGEST_LVL": "event_type",
+        "AREA_CONGEST_MSG": "nullif(event_type, 'view')",
+        "AREA_PPLTN_MIN": f"CAST(k * 10 * {factor} AS STRING) || '.9'",
+        "AREA_PPLTN_MAX": f"CAST(k * 10 * {factor} + 100 AS STRING)",
+        "MALE_PPLTN_RATE": _MONEY,
+        "FEMALE_PPLTN_RATE": "'?'",
+        "PPLTN_RATE_0": "CAST(k AS STRING) || '.5'",
+        "PPLTN_RATE_10": "CAST(k AS STRING)",
+        "RESNT_PPLTN_RATE": "CAST(k AS STRING) || '.25'",
+        "NON_RESNT_PPLTN_RATE": "CAST(99 - k AS STRING) || '.75'",
+        "REPLACE_YN": "CASE event_type WHEN 'click' THEN 'Y' WHEN 'view' THEN 'N' END",
+        c.POPULATION_TIME: "CASE WHEN event_type = 'error' THEN 'soon' ELSE "
+        f"date_format(ts + INTERVAL {minutes} MINUTE, '{c.DASHED_MINUTE}') END",
+    }
+
+
+_EVENT_TEXTS = {
+    "EVENT_NM": "'event ' || CAST(k AS STRING)",
+    "EVENT_PERIOD": "date_format(ts, 'yyyy-MM-') || IF(i = 1, '01 ~ ' || date_format(ts, 'yyyy-MM-') || '28', '02~')",
+    "EVENT_PLACE": "event_type",
+    "EVENT_X": "CASE WHEN event_type = 'view' THEN '' ELSE '126.0' || CAST(k AS STRING) END",
+    "EVENT_Y": "'37.5'",
+    "PAY_YN": "CASE event_type WHEN 'click' THEN 'Y' WHEN 'view' THEN 'N' WHEN 'signup' THEN 'maybe' END",
+    "URL": "'https://example.org/' || CAST(k AS STRING)",
+    "EVENT_ETC_DETAIL": "''",
+}
+_WEATHER_TEXTS = {
+    "TEMP": _MONEY,
+    "SENSIBLE_TEMP": "'-'",
+    "MAX_TEMP": "CAST(k AS STRING) || '.5'",
+    "HUMIDITY": "CASE WHEN event_type = 'click' THEN '12.5' ELSE CAST(k AS STRING) END",
+    "WIND_DIRCT": "CASE event_type WHEN 'click' THEN 'N' WHEN 'view' THEN 'SW' WHEN 'signup' THEN 'E' END",
+    "PRECIPITATION": "'-'",
+    "PRECPT_TYPE": "nullif(event_type, 'view')",
+    "UV_INDEX_LVL": "CAST(k % 11 AS STRING)",
+    "PM25": "'n/a'",
+    "PM10": "CAST(100 - k AS STRING)",
+    "AIR_IDX_MVL": f"CASE WHEN event_type = 'error' THEN '{c.UNDER_INSPECTION}' ELSE {_MONEY} END",
+    # the day as the observation time, so that observations repeat
+    c.WEATHER_TIME: "date_format(ts, 'yyyy-MM-dd') || ' 00:00'",
+}
+
+
+def _transit_texts(feed: c.Transit, months: str) -> dict[str, str]:
+    texts = {
+        f.raw: f"CAST(k + {i} AS STRING) || '.0'"
+        for i, f in enumerate(c.transit_fields(feed)[:-2])
+        if i % 5 != 4
+    }
+    texts[f"{feed.prefix}_STN_CNT"] = "CAST(k AS STRING)"
+    texts[f"{feed.prefix}_{c.TRANSIT_TIME_STEM}"] = f"CASE event_type {months} END"
+    return texts
+
+
+def _struct(kind: T.StructType, texts: dict[str, str]) -> str:
+    """A struct expression of the schema's fields."""
+    parts = (f"'{f.name}', {texts.get(f.name, f'CAST(NULL AS {f.dataType.simpleString()})')}" for f in kind.fields)
+    return f"named_struct({', '.join(parts)})"
+
+
+def _copies(count: str, element: str) -> str:
     """``count`` elements numbered from 1; no array at all when zero."""
-    return F.when(count > 0, F.transform(F.sequence(F.lit(1), count), element))
-
-
-def _commercial() -> Column:
-    k, kind = F.col("k"), F.col("event_type")
-    k_text = _text(k)
-    items = _copies(
-        k % 4,
-        lambda i: _struct(
-            c.CATEGORY_FIELDS,
-            {
-                "RSB_LRG_CTGR": F.concat(F.lit("Brand#"), _text(i + k % 20)),
-                "RSB_MID_CTGR": _by_type(click="ECONOMY", view="SMALL", signup="STANDARD"),
-                "RSB_PAYMENT_LVL": F.concat(kind, F.lit(" payments in this category")),
-                "RSB_SH_PAYMENT_CNT": F.concat(_text(k * i), F.lit(".9")),
-                "RSB_SH_PAYMENT_AMT_MIN": _money(),
-                "RSB_SH_PAYMENT_AMT_MAX": F.lit(""),
-                "RSB_MCT_CNT": _text(i),
-                "RSB_MCT_TIME": F.date_format("ts", "yyyyMMdd"),
-            },
+    return f"CASE WHEN {count} > 0 THEN transform(sequence(1, {count}), i -> {element}) END"
+
+
+def _payloads() -> dict[str, str]:
+    def kind(name: str) -> T.StructType:
+        found = c.RAW_DOCUMENT[name].dataType
+        return found.elementType if isinstance(found, T.ArrayType) else found
+
+    categories = kind(c.COMMERCIAL)[c.CATEGORY_ARRAY].dataType.elementType
+    items = _copies("k % 4", _struct(categories, _CATEGORY_TEXTS))
+    crowd, later = (_struct(kind(c.POPULATION), _population_texts(*p)) for p in ((0, 1), (1, 2)))
+    return {
+        c.AREA_CODE: "area_code",
+        c.AREA_NAME: "area_name",
+        c.COMMERCIAL: _struct(kind(c.COMMERCIAL), {**_COMMERCIAL_TEXTS, c.CATEGORY_ARRAY: items}),
+        c.POPULATION: f"CASE WHEN event_type = 'purchase' THEN array({crowd}, {later}) ELSE array({crowd}) END",
+        c.EVENT: _copies("k % 3", _struct(kind(c.EVENT), _EVENT_TEXTS)),
+        c.WEATHER: f"array({_struct(kind(c.WEATHER), _WEATHER_TEXTS)})",
+        c.SUBWAY.payload: _struct(
+            kind(c.SUBWAY.payload),
+            _transit_texts(
+                c.SUBWAY,
+                "WHEN 'click' THEN '2024-05' WHEN 'view' THEN '202406' WHEN 'signup' THEN 'bad' "
+                "WHEN 'purchase' THEN '2024-07-01'",
+            ),
         ),
-    )
-    return F.struct(
-        _struct(
-            c.COMMERCIAL_FIELDS,
-            {
-                c.COMMERCIAL_TIME: F.when(kind == "error", "n/a").otherwise(F.date_format("ts", c.COMPACT_MINUTE)),
-                "AREA_CMRCL_LVL": F.nullif(kind, F.lit("view")),
-                "AREA_SH_PAYMENT_CNT": F.concat(k_text, F.lit(".7")),
-                "AREA_SH_PAYMENT_AMT_MIN": _money(),
-                "AREA_SH_PAYMENT_AMT_MAX": F.when(kind == "click", "abc").otherwise(_text(k * 1000)),
-                "CMRCL_MALE_RATE": F.concat(k_text, F.lit(".125")),
-                "CMRCL_FEMALE_RATE": F.concat(_text(99 - k), F.lit(".874")),
-                "CMRCL_10_RATE": _money(),
-                "CMRCL_20_RATE": F.lit(""),
-                "CMRCL_30_RATE": F.lit("nan"),
-                "CMRCL_40_RATE": F.concat(k_text, F.lit("000")),
-                "CMRCL_50_RATE": k_text,
-                "CMRCL_PERSONAL_RATE": F.concat(k_text, F.lit(".5")),
-                "CMRCL_CORPORATION_RATE": F.concat(F.lit("-"), k_text, F.lit(".005")),
-            },
-        ).alias("_flat"),
-        items.alias(c.CATEGORY_ARRAY),
-    )
-
-
-def _population(area_code: Column, area_name: Column) -> Column:
-    k, kind = F.col("k"), F.col("event_type")
-
-    def one(minutes: int, factor: int) -> Column:
-        at = F.timestamp_add("MINUTE", F.lit(minutes), F.col("ts"))
-        return _struct(
-            c.POPULATION_FIELDS,
-            {
-                "AREA_NM": area_name,
-                "AREA_CD": area_code,
-                "AREA_CONGEST_LVL": kind,
-                "AREA_CONGEST_MSG": F.nullif(kind, F.lit("view")),
-                "AREA_PPLTN_MIN": F.concat(_text(k * 10 * factor), F.lit(".9")),
-                "AREA_PPLTN_MAX": _text(k * 10 * factor + 100),
-                "MALE_PPLTN_RATE": _money(),
-                "FEMALE_PPLTN_RATE": F.lit("?"),
-                "PPLTN_RATE_0": F.concat(_text(k), F.lit(".5")),
-                "PPLTN_RATE_10": _text(k),
-                "RESNT_PPLTN_RATE": F.concat(_text(k), F.lit(".25")),
-                "NON_RESNT_PPLTN_RATE": F.concat(_text(99 - k), F.lit(".75")),
-                "REPLACE_YN": _by_type(click="Y", view="N"),
-                c.POPULATION_TIME: F.when(kind == "error", "soon").otherwise(F.date_format(at, c.DASHED_MINUTE)),
-            },
-        )
-
-    return F.when(kind == "purchase", F.array(one(0, 1), one(1, 2))).otherwise(F.array(one(0, 1)))
-
-
-def _events() -> Column:
-    k = F.col("k")
-    return _copies(
-        k % 3,
-        lambda i: _struct(
-            c.EVENT_FIELDS,
-            {
-                "EVENT_NM": F.concat(F.lit("event "), _text(k)),
-                "EVENT_PERIOD": F.when(i == 1, F.date_format("ts", "yyyy-MM-'01 ~ 'yyyy-MM-'28'")).otherwise(
-                    F.date_format("ts", "yyyy-MM-'02~'")
-                ),
-                "EVENT_PLACE": F.col("event_type"),
-                "EVENT_X": F.when(F.col("event_type") == "view", "").otherwise(F.concat(F.lit("126.0"), _text(k))),
-                "EVENT_Y": F.lit("37.5"),
-                "PAY_YN": _by_type(click="Y", view="N", signup="maybe"),
-                "URL": F.concat(F.lit("https://example.org/"), _text(k)),
-                "EVENT_ETC_DETAIL": F.lit(""),
-            },
+        c.BUS.payload: _struct(
+            kind(c.BUS.payload),
+            _transit_texts(
+                c.BUS, "WHEN 'click' THEN '2024-05-02' WHEN 'view' THEN '20240603' WHEN 'error' THEN '2024-08-01 10:30'"
+            ),
         ),
-    )
-
-
-def _weather() -> Column:
-    k, kind = F.col("k"), F.col("event_type")
-    one = _struct(
-        c.WEATHER_FIELDS,
-        {
-            "TEMP": _money(),
-            "SENSIBLE_TEMP": F.lit("-"),
-            "MAX_TEMP": F.concat(_text(k), F.lit(".5")),
-            "HUMIDITY": F.when(kind == "click", "12.5").otherwise(_text(k)),
-            "WIND_DIRCT": _by_type(click="N", view="SW", signup="E"),
-            "PRECIPITATION": F.lit("-"),
-            "PRECPT_TYPE": F.nullif(kind, F.lit("view")),
-            "UV_INDEX_LVL": _text(k % 11),
-            "PM25": F.lit("n/a"),
-            "PM10": _text(100 - k),
-            "AIR_IDX_MVL": F.when(kind == "error", c.UNDER_INSPECTION).otherwise(_money()),
-            # the day as the observation time, so that observations repeat
-            c.WEATHER_TIME: F.date_format("ts", "yyyy-MM-dd '00:00'"),
-        },
-    )
-    return F.array(one)
-
-
-def _transit(feed: c.Transit, months: Column) -> Column:
-    k = F.col("k")
-    values = {}
-    for i, field in enumerate(c.transit_fields(feed)[:-2]):
-        if i % 5 != 4:
-            values[field.raw] = F.concat(_text(k + i), F.lit(".0"))
-    values[f"{feed.prefix}_STN_CNT"] = _text(k)
-    values[f"{feed.prefix}_{c.TRANSIT_TIME_STEM}"] = months
-    return _struct(c.transit_fields(feed), values)
+    }
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One area document per event, with its key parts."""
-    area_code = F.format_string("POI%03d", "user_id")
-    area_name = F.concat(F.lit("area "), _text(F.col("user_id")))
-    commercial = _commercial()
-    flat = [F.col(f"_c._flat.{f.raw}").alias(f.raw) for f in c.COMMERCIAL_FIELDS]
-    df = (
-        observations(spark, sf_dir)
-        .withColumn("_c", commercial)
-        .select(
-            area_code.alias(c.AREA_CODE),
-            area_name.alias(c.AREA_NAME),
-            F.struct(
-                *flat,
-                F.col(f"_c._flat.{c.COMMERCIAL_TIME}").alias(c.COMMERCIAL_TIME),
-                F.col(f"_c.{c.CATEGORY_ARRAY}").alias(c.CATEGORY_ARRAY),
-            ).alias(c.COMMERCIAL),
-            _population(area_code, area_name).alias(c.POPULATION),
-            _events().alias(c.EVENT),
-            _weather().alias(c.WEATHER),
-            _transit(c.SUBWAY, _by_type(click="2024-05", view="202406", signup="bad", purchase="2024-07-01")).alias(
-                c.SUBWAY.payload
-            ),
-            _transit(c.BUS, _by_type(click="2024-05-02", view="20240603", error="2024-08-01 10:30")).alias(
-                c.BUS.payload
-            ),
-            raw_key().alias("path"),
-        )
+    named = observations(spark, sf_dir).withColumns(
+        {
+            "area_code": F.format_string("POI%03d", "user_id"),
+            "area_name": F.concat(F.lit("area "), F.col("user_id").cast("string")),
+            "path": raw_key(),
+        }
     )
-    return paths.with_key_parts(df, F.col("path"))
+    payloads = [f"{expression} AS {name}" for name, expression in _payloads().items()]
+    return paths.with_key_parts(named.selectExpr(*payloads, "path"), F.col("path"))
 
 
 def raw_key() -> Column:
     return F.concat(
-        F.lit("raw-json/"), F.date_format("ts", "yyyyMMdd/HHmm"), F.lit("_"), _text(F.col("user_id")), F.lit(".json")
+        F.lit("raw-json/"), F.date_format("ts", "yyyyMMdd/HHmm"), F.lit("_"), F.col("user_id").cast("string"), F.lit(".json")
     )
 
 
-def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as one JSON text each, next to their key."""
-    payload = F.struct(*c.RAW_DOCUMENT.names)
+def json_documents(spark: SparkSession, sf_dir: str, *payloads: str) -> DataFrame:
+    """The documents as one JSON text each, next to their key; by default whole."""
+    payload = F.struct(*(payloads or c.RAW_DOCUMENT.names))
     return documents(spark, sf_dir).select(F.to_json(payload).alias("body"), "path")
 
 
+def parsed_documents(spark: SparkSession, sf_dir: str, *payloads: str) -> DataFrame:
+    """Documents read back from JSON texts that hold the named payloads."""
+    kept = [c.AREA_CODE, c.AREA_NAME, *payloads]
+    docs = raw.from_json_text(json_documents(spark, sf_dir, *kept), F.col("body"), "path", payloads=kept)
+    return paths.with_key_parts(docs, F.col("path"))
+
+
+def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as JSON files by day, as a collector would leave them.
+
+    The key of a document stands in the file, because one file holds many.
+    """
+    path = session.scratch(spark, "raw-json")
+    dated = documents(spark, sf_dir).withColumn("ymd", F.date_format("file_ts", "yyyyMMdd"))
+    kept = dated.select(*c.RAW_DOCUMENT.names, F.col("path").alias("key"), "ymd")
+    sinks.balanced(kept, ["ymd"]).write.partitionBy("ymd").json(path)
+    schema = T.StructType([*c.RAW_DOCUMENT.fields, T.StructField("key", T.StringType())])
+    return paths.with_key_parts(spark.read.schema(schema).json(path), F.col("key"))
+
+
 # SQL: the source tables that follow from the documents.
 
 SOURCE_COMMERCIAL = f"""

@@ -5,14 +5,13 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from areaflow import contracts as c
 from areaflow import session
 from areaflow.functions import clock
 from areaflow.operators import conform
 from areaflow.queries.registry import query, table
-from areaflow.queries.roles import E, areas, documents, json_documents, observations, raw_key, with_sql
+from areaflow.queries.roles import E, areas, json_documents, landed_documents, observations, raw_key, with_sql
 from areaflow.sources import files, paths, raw, sinks, tables
 
 _START, _END = dt.datetime(2024, 1, 10, 21), dt.datetime(2024, 1, 20, 9)
@@ -34,13 +33,7 @@ _CROWD = with_sql(
 @query("s1_raw_json_scan", _CROWD)
 def _(spark, sf):
     """Documents written as JSON files by day and scanned with the declared schema."""
-    path = session.scratch(spark, "raw-json")
-    docs = documents(spark, sf)
-    kept = docs.select(*c.RAW_DOCUMENT.names, "path", F.date_format("file_ts", "yyyyMMdd").alias("ymd"))
-    sinks.balanced(kept.withColumnRenamed("path", "key"), ["ymd"]).write.partitionBy("ymd").json(path)
-    schema = T.StructType([*c.RAW_DOCUMENT.fields, T.StructField("key", T.StringType())])
-    scanned = spark.read.schema(schema).json(path)
-    keyed = paths.with_key_parts(scanned, F.col("key"))
+    keyed = landed_documents(spark, sf)
     return keyed.select(
         F.col(c.AREA_CODE).alias("area_code"),
         F.col(c.AREA_NAME).alias("area_name"),

@@ -60,3 +60,12 @@ def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal narrow rows out before costly expressions when splits are fewer than cores.
+
+    A large input has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

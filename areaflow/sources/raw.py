@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areaflow import contracts
 from areaflow.sources import files, paths
@@ -50,7 +52,14 @@ def daily_slot(spark: SparkSession, base: str, day: dt.date, prefix: str = "003"
     return docs.join(first, ["file_area_id", "path"], "left_semi")
 
 
-def from_json_text(df: DataFrame, text: Column, *keep: str) -> DataFrame:
-    """Documents that arrive as a text column instead of as files."""
-    parsed = df.select(*keep, F.from_json(text, contracts.RAW_DOCUMENT).alias("doc"))
+def from_json_text(df: DataFrame, text: Column, *keep: str, payloads: Sequence[str] = ()) -> DataFrame:
+    """Documents that arrive as a text column instead of as files.
+
+    ``payloads`` names the fields to parse, by default all; the parser skips
+    the others.
+    """
+    schema = contracts.RAW_DOCUMENT
+    if payloads:
+        schema = T.StructType([f for f in schema.fields if f.name in payloads])
+    parsed = df.select(*keep, F.from_json(text, schema).alias("doc"))
     return parsed.select(*keep, "doc.*")
