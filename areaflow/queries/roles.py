@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from areaflow import contracts as c
 from areaflow import session
-from areaflow.functions import clock, keys
+from areaflow.functions import keys
 from areaflow.queries.registry import RUN_TS, table
 from areaflow.sources import paths, raw, sinks
 
@@ -398,24 +398,20 @@ _MINUTES = 10512000
 
 def transit_loads(spark: SparkSession, sf_dir: str, feed: c.Transit) -> DataFrame:
     """Line items as transit loads: open ones by bus, the others by subway."""
-    items = table(spark, sf_dir, "lineitem")
     status = F.col("l_linestatus")
-    own = items.where(status == "O" if feed == c.BUS else status != "O")
-    minutes = (F.col("l_orderkey") % _MINUTES).cast("int")
-    observed = F.timestamp_add("MINUTE", minutes, clock.wall("2000-01-01 00:00:00"))
-    code = F.concat(F.lit("POI"), F.col("l_linenumber").cast("string"))
-    counts = [
-        (F.col("l_quantity").cast("int") + F.lit(i)).alias(f.column) for i, f in enumerate(c.TRANSIT_STEMS[:-2])
-    ]
-    return own.select(
-        keys.source_id(code, observed).alias("source_id"),
-        code.alias("area_code"),
-        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("area_name"),
+    own = table(spark, sf_dir, "lineitem").where(status == "O" if feed == c.BUS else status != "O")
+    counts = [f"CAST(l_quantity AS INT) + {i} AS {f.column}" for i, f in enumerate(c.TRANSIT_STEMS[:-2])]
+    loads = own.selectExpr(
+        "'POI' || CAST(l_linenumber AS STRING) AS area_code",
+        "'line ' || CAST(l_linenumber AS STRING) AS area_name",
         *counts,
-        F.col("l_suppkey").cast("int").alias("station_count"),
-        F.trunc("l_shipdate", "month").cast("timestamp_ntz").alias("station_count_basis_month"),
-        F.col("l_shipdate").alias("created_at"),
-        observed.alias("observed_at"),
+        "CAST(l_suppkey AS INT) AS station_count",
+        "CAST(trunc(l_shipdate, 'month') AS TIMESTAMP_NTZ) AS station_count_basis_month",
+        "l_shipdate AS created_at",
+        f"timestampadd(MINUTE, CAST(l_orderkey % {_MINUTES} AS INT), timestamp_ntz'2000-01-01 00:00:00') AS observed_at",
+    )
+    return loads.withColumn("source_id", keys.source_id(F.col("area_code"), F.col("observed_at"))).select(
+        *c.SOURCE_TABLES[feed.label].names
     )
 
 

@@ -61,5 +61,6 @@ def from_json_text(df: DataFrame, text: Column, *keep: str, payloads: Sequence[s
     schema = contracts.RAW_DOCUMENT
     if payloads:
         schema = T.StructType([f for f in schema.fields if f.name in payloads])
-    parsed = df.select(*keep, F.from_json(text, schema).alias("doc"))
-    return parsed.select(*keep, "doc.*")
+    # A projected from_json would be repeated inside every filter on its fields;
+    # the output of a generator is not, so each text is parsed once.
+    return df.select(*keep, F.inline(F.array(F.from_json(text, schema))))
