@@ -21,23 +21,53 @@ def high_water(target: DataFrame, column: str) -> DataFrame:
     return target.agg(F.max(column).alias("_mark"))
 
 
-def since(df: DataFrame, target: DataFrame | None, column: Column, mark: str) -> DataFrame:
-    """Rows above the target's highest ``mark``; all rows when it has none.
+def mark_of(target: DataFrame | None, column: str):
+    """The highest value as a literal, or None when there is nothing to compare with.
 
-    The mark is one row, planned as a scalar subquery.
+    One row comes to the driver, so that the bound is a constant the scan can
+    use to skip files and row groups.
     """
     if target is None:
-        return df
-    bound = high_water(target, mark).scalar()
-    return df.where(bound.isNull() | (column > bound))
+        return None
+    found = high_water(target, column).first()[0]
+    return clock.wall(found) if isinstance(found, dt.datetime) else found
+
+
+def since(df: DataFrame, target: DataFrame | None, column: Column, mark: str) -> DataFrame:
+    """Rows above the target's highest ``mark``; all rows when it has none."""
+    bound = mark_of(target, mark)
+    return df if bound is None else df.where(column > bound)
+
+
+def since_or_unknown(df: DataFrame, target: DataFrame | None, column: Column, mark: str) -> DataFrame:
+    """Like :func:`since`, but keeping rows without a time.
+
+    For use in front of :func:`dedupe.latest_wins`, where such a row beats all
+    others: ranking what is left and applying :func:`since` gives the same rows
+    as ranking everything first.
+    """
+    bound = mark_of(target, mark)
+    return df if bound is None else df.where((column > bound) | column.isNull())
+
+
+def event_time_bound(target: DataFrame | None, lateness_minutes: int = 0) -> dt.datetime | None:
+    """First minute after the target's highest minute key, less the lateness."""
+    key = mark_of(target, "time_key")
+    if key is None:
+        return None
+    newest = dt.datetime.strptime(str(key), "%Y%m%d%H%M")
+    return newest + dt.timedelta(minutes=1 - lateness_minutes)
 
 
 def since_event_time(
     df: DataFrame, target: DataFrame | None, observed_at: str = "observed_at", lateness_minutes: int = 0
 ) -> DataFrame:
-    """Event-time bound on the minute key, moved back by an allowed lateness."""
-    shifted = F.timestamp_add("MINUTE", F.lit(lateness_minutes), F.col(observed_at))
-    return since(df, target, clock.time_key(shifted), "time_key")
+    """Minute keys above the target's highest, moved back by an allowed lateness.
+
+    Compared on the observation time itself, which the scan can skip by.
+    """
+    bound = event_time_bound(target, lateness_minutes)
+    return df if bound is None else df.where(F.col(observed_at) >= clock.wall(bound))
 
 
 # --- merges -------------------------------------------------------------------

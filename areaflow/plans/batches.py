@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from areaflow import contracts as c
 from areaflow import session
 from areaflow.functions import clock, text
-from areaflow.operators import history
+from areaflow.operators import history, incremental
 from areaflow.plans import feeds, marts
-from areaflow.sources import raw, sinks
+from areaflow.sources import files, paths, raw, sinks
 from areaflow.sources.tables import Warehouse
 
 BATCH = "load_batch"
@@ -32,7 +32,7 @@ def _remember(wh: Warehouse, feed: str, seen: DataFrame, run_ts: dt.datetime) ->
     known = history.for_batch(wh.history(feed), seen)
     fresh, path = session.staged(history.unseen(history.entries_of(seen, run_ts), known), "history")
     sinks.append_unless_empty(fresh, wh.path("history", feed), by=[sinks.DATE])
-    raw.files.remove(wh.spark, path)
+    files.remove(wh.spark, path)
 
 
 def _documents(
@@ -43,11 +43,14 @@ def _documents(
 
 
 def load_commercial(docs: DataFrame, wh: Warehouse, start: dt.datetime, run_ts: dt.datetime) -> None:
+    """The first document of each observation not loaded before."""
     observed = clock.parse(F.col(f"{c.COMMERCIAL}.{c.COMMERCIAL_TIME}"), c.COMPACT_MINUTE)
-    seen = docs.select(F.col("file_area_id").alias("area_id"), observed.alias("observed_at")).dropna()
+    seen = docs.select(F.col("file_area_id").alias("area_id"), observed.alias("observed_at"), "path").dropna()
+    first = paths.first_per_location(seen, "area_id", "observed_at").select("path")
+    chosen = docs.join(first, "path", "left_semi")
     known = history.for_batch(wh.history("commercial"), seen)
-    _load(wh, "commercial", feeds.commercial(docs, run_ts, known), start)
-    _load(wh, "commercial_rsb", feeds.commercial_rsb(docs, run_ts, known), start)
+    _load(wh, "commercial", feeds.commercial(chosen, run_ts, known), start)
+    _load(wh, "commercial_rsb", feeds.commercial_rsb(chosen, run_ts, known), start)
     _remember(wh, "commercial", seen, run_ts)
 
 
@@ -57,7 +60,7 @@ def load_population(docs: DataFrame, wh: Warehouse, start: dt.datetime, run_ts:
     fresh = history.unseen(numbered, history.for_batch(wh.history("population"), numbered))
     _load(wh, "population", fresh.drop("area_id"), start)
     _remember(wh, "population", numbered.select("area_id", "observed_at").dropna(), run_ts)
-    raw.files.remove(wh.spark, path)
+    files.remove(wh.spark, path)
 
 
 def load_transit(docs: DataFrame, wh: Warehouse, start: dt.datetime, run_ts: dt.datetime) -> None:
@@ -92,7 +95,7 @@ def load_window(
     load_population(docs, wh, start, run_ts)
     load_transit(docs, wh, start, run_ts)
     load_weather(docs, wh, start, end, run_ts)
-    raw.files.remove(wh.spark, path)
+    files.remove(wh.spark, path)
 
 
 def load_night(wh: Warehouse, base: str, run_ts: dt.datetime, multiline: bool = False) -> None:
@@ -135,14 +138,21 @@ def build_marts(wh: Warehouse, run_ts: dt.datetime, full_refresh: bool = False,
     def target(name: str) -> DataFrame | None:
         return None if full_refresh else wh.existing("fact", name)
 
+    def new(name: str, mark: str, built: str | None = None) -> DataFrame:
+        return incremental.since_or_unknown(wh.source(name), target(built or name), F.col("created_at"), mark)
+
     areas = wh.dimension("area")
-    commercial = wh.source("commercial")
+    categories = new("commercial_rsb", "created_at")
+    # a parent has the observation time of its categories
+    first_day = categories.agg(F.min(F.to_date("observed_at"))).first()[0]
+    parents = wh.source("commercial", first_day or run_ts.date())
+    weather_from = incremental.event_time_bound(target("weather"), lateness_minutes)
     built = {
-        "commercial": marts.fact_commercial(marts.stg_commercial(commercial), areas, target("commercial")),
+        "commercial": marts.fact_commercial(
+            marts.stg_commercial(wh.source("commercial")), areas, target("commercial")
+        ),
         "commercial_rsb": marts.fact_commercial_rsb(
-            marts.stg_commercial_rsb(wh.source("commercial_rsb"), commercial),
-            wh.dimension("category"),
-            target("commercial_rsb"),
+            marts.stg_commercial_rsb(categories, parents), wh.dimension("category"), target("commercial_rsb")
         ),
         "population": marts.fact_population(
             marts.stg_population(wh.source("population")),
@@ -151,11 +161,18 @@ def build_marts(wh: Warehouse, run_ts: dt.datetime, full_refresh: bool = False,
             run_ts,
             target("population"),
         ),
+        # the newest load of an observation is among the new ones, if there are any
         "transport": marts.fact_transport(
-            marts.stg_transit(wh.source("bus")), marts.stg_transit(wh.source("subway")), run_ts, target("transport")
+            *[marts.stg_transit(new(f.label, "source_created_at", "transport")) for f in (c.BUS, c.SUBWAY)],
+            run_ts,
+            target("transport"),
         ),
         "weather": marts.fact_weather(
-            marts.stg_weather(wh.source("weather")), areas, run_ts, target("weather"), lateness_minutes
+            marts.stg_weather(wh.source("weather", weather_from and weather_from.date())),
+            areas,
+            run_ts,
+            target("weather"),
+            lateness_minutes,
         ),
     }
     ids = {name: f"fact_{name}_id" for name in built}

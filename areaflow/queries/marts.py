@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from areaflow import contracts as c
 from areaflow.functions import clock
+from areaflow.operators import incremental
 from areaflow.plans import feeds, marts
 from areaflow.queries import roles
 from areaflow.queries.registry import RUN_TS, query
@@ -286,5 +287,9 @@ def _(spark, sf):
 )
 def _(spark, sf):
     built = fact_transport(spark, sf).where(F.col("source_created_at") < clock.wall("2000-01-01"))
-    bus, subway = (marts.stg_transit(roles.transit_loads(spark, sf, feed)) for feed in (c.BUS, c.SUBWAY))
-    return marts.fact_transport(bus, subway, RUN_TS, built)
+    staged = []
+    for feed in (c.BUS, c.SUBWAY):
+        loads = roles.transit_loads(spark, sf, feed)
+        new = incremental.since_or_unknown(loads, built, F.col("created_at"), "source_created_at")
+        staged.append(marts.stg_transit(new))
+    return marts.fact_transport(*staged, RUN_TS, built)

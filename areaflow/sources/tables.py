@@ -22,10 +22,13 @@ class Warehouse:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
-    def source(self, name: str) -> DataFrame:
-        """A source table in its contract order; partition columns prune only."""
+    def source(self, name: str, from_day: dt.date | None = None) -> DataFrame:
+        """A source table in its contract order, pruned to the days from ``from_day`` on."""
         schema = contracts.SOURCE_TABLES[name]
-        return files.read_or_empty(self.spark, self.path("source", name), schema).select(*schema.names)
+        stored = files.read_or_empty(self.spark, self.path("source", name), schema)
+        if from_day and "observed_date" in stored.columns:
+            stored = stored.where(F.col("observed_date") >= F.lit(from_day))
+        return stored.select(*schema.names)
 
     def dimension(self, name: str) -> DataFrame:
         return files.read_or_empty(self.spark, self.path("dim", name), contracts.DIMENSIONS[name])
@@ -36,7 +39,10 @@ class Warehouse:
     def existing(self, layer: str, name: str) -> DataFrame | None:
         """A built table, or None before its first build."""
         path = self.path(layer, name)
-        return self.spark.read.parquet(path) if files.exists(self.spark, path) else None
+        if not files.exists(self.spark, path):
+            return None
+        # only dimensions gain columns; merging the footers of a fact would read them all
+        return self.spark.read.option("mergeSchema", layer == "dim").parquet(path)
 
     def register(self, layer: str, name: str) -> str:
         """Expose a table to SQL; returns the view name."""

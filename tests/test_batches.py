@@ -90,6 +90,17 @@ def _keys(df, name):
     return sorted(r[0] for r in df.select(f"fact_{name}_id").collect())
 
 
+def test_corrected_observation_keeps_the_first_document(spark, base, wh):
+    """Two files report one observation with different numbers; the first is loaded."""
+    changed = document(1, "20250705 2101", LIVE_CMRCL_STTS={"AREA_SH_PAYMENT_CNT": "99"})
+    land(base, 1, "20250705 2101", changed, file_minute="20250705 2103")
+    batches.load_night(wh, base, RUN)
+    rows = wh.source("commercial").where("area_code = 'POI001' and observed_at = timestamp_ntz'2025-07-05 21:01:00'")
+    assert [r.total_payment_count for r in rows.collect()] == [12]
+    batches.build_marts(wh, RUN)
+    assert wh.existing("fact", "commercial").count() == 10
+
+
 def test_event_day_is_replaced(spark, base, wh):
     day = dt.date(2025, 7, 6)
     for _again in range(2):

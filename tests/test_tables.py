@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from areaflow.operators import incremental, lookup
+from areaflow.operators import dedupe, incremental, lookup
 from areaflow.sources import files, sinks
 
 SCHEMA = "id int, day int, v string"
@@ -122,6 +122,27 @@ def test_watermark_of_empty_target(spark):
     assert incremental.since(df, None, F.col("id"), "id").count() == 2
 
 
+def test_ranking_the_increment_equals_ranking_everything(spark):
+    """Latest-wins over new rows only, then the watermark, gives the full result."""
+    stamps = [None, "2025-07-01 10:00:00", "2025-07-02 10:00:00", "2025-07-03 10:00:00"]
+    cases = [(k, stamps[i], i) for k in range(16) for i in range(4) if (k >> i) & 1]
+    df = spark.createDataFrame(cases, "k int, s string, v int").withColumn("t", F.col("s").cast("timestamp_ntz"))
+    built = df.where("s = '2025-07-01 10:00:00'")
+
+    def result(rows):
+        latest = dedupe.latest_wins(rows, ["k"], "t", [F.col("v").desc()])
+        return sorted((r.k, r.v) for r in incremental.since(latest, built, F.col("t"), "t").collect())
+
+    assert result(df) == result(incremental.since_or_unknown(df, built, F.col("t"), "t")) != []
+
+
+def test_event_time_bound(spark):
+    built = spark.createDataFrame([(202507052359,)], "time_key long")
+    assert incremental.event_time_bound(built) == dt.datetime(2025, 7, 6)
+    assert incremental.event_time_bound(built, 60) == dt.datetime(2025, 7, 5, 23)
+    assert incremental.event_time_bound(built.where("false")) is None
+
+
 def test_merge_is_idempotent(spark):
     target, batch = rows(spark, (1, 0, "a"), (2, 0, "a")), rows(spark, (2, 0, "b"), (3, 0, "b"))
     once = incremental.upsert(target, batch, ["id"])
