@@ -65,9 +65,11 @@ def one_decimal(c: Column) -> Column:
 
     ``round``/``bround`` work on the printed decimal, where 2.35 looks like a
     tie although the stored double is below it.  The fraction of a double is
-    exact, so comparing it with the midpoint between two tenths decides.
+    exact, so comparing it with the midpoint between two tenths decides.  NaN
+    and values beyond the target type become NULL before any arithmetic.
     """
     x = F.abs(c.cast("double"))
+    x = F.when(x < 1000, x)
     whole = F.floor(x)
     frac = x - whole
     tenth = F.floor(frac * 10)

@@ -95,7 +95,11 @@ def source_category_view(source: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(commercial: DataFrame, population: DataFrame, weather: DataFrame) -> DataFrame:
-    """Newest commercial, population and weather row of every area."""
+    """Newest commercial, population and weather row of every area.
+
+    On stored facts pass the last days only (``observed_date``): a live view
+    needs no more, and older partitions are then not opened.
+    """
     def newest(fact: DataFrame, feed: str, *columns: str) -> DataFrame:
         minute = F.col("time_key").alias(f"{feed}_time_key")
         return dedupe.latest_per_group(fact, "area_id", "time_key", [minute, *columns], [f"fact_{feed}_id"])

@@ -11,7 +11,8 @@ from areaflow.plans import dashboards
 from areaflow.queries import marts
 from areaflow.queries.registry import query, table
 from areaflow.queries.roles import (
-    AREAS, CATEGORIES, CONGESTIONS, SOURCE_CATEGORY, SOURCE_COMMERCIAL, SOURCE_POPULATION, SOURCE_WEATHER, E, with_sql,
+    AREAS, CATEGORIES, CONGESTIONS, SOURCE_CATEGORY, SOURCE_COMMERCIAL, SOURCE_POPULATION, SOURCE_WEATHER, E, documents,
+    with_sql,
 )
 
 _COMMERCIAL = (E, AREAS, SOURCE_COMMERCIAL, marts.FACT_COMMERCIAL)
@@ -115,9 +116,9 @@ def _latest(fact: str, key: str, columns: str) -> str:
     ),
 )
 def _(spark, sf):
-    return dashboards.latest_snapshot(
-        marts.fact_commercial(spark, sf), marts.fact_population(spark, sf), marts.fact_weather(spark, sf)
-    )
+    docs = documents(spark, sf)
+    facts = (build(spark, sf, docs) for build in (marts.fact_commercial, marts.fact_population, marts.fact_weather))
+    return dashboards.latest_snapshot(*facts)
 
 
 @query(
@@ -153,7 +154,9 @@ _INSIGHT = {**dashboards._PAYMENT_NAMES, **dashboards._RATIO_NAMES}
 def _(spark, sf):
     conditions = [F.col("male_ratio") >= 20, F.col("population_max") > 300, F.col("resident_ratio") < 90]
     order = [F.col("population_max").desc(), F.col("area_id").asc(), F.col("time_key").asc()]
-    return dashboards.insight(marts.fact_commercial(spark, sf), marts.fact_population(spark, sf), conditions, order)
+    docs = documents(spark, sf)
+    facts = (build(spark, sf, docs) for build in (marts.fact_commercial, marts.fact_population))
+    return dashboards.insight(*facts, conditions, order)
 
 
 @query(

@@ -22,43 +22,46 @@ def _names(fields) -> list[str]:
     return [f.column for f in fields]
 
 
-def source_commercial(spark, sf):
-    return feeds.commercial(roles.documents(spark, sf), RUN_TS)
+def source_commercial(spark, sf, docs=None):
+    return feeds.commercial(docs or roles.documents(spark, sf), RUN_TS)
 
 
-def source_category(spark, sf):
-    return feeds.commercial_rsb(roles.documents(spark, sf), RUN_TS)
+def source_category(spark, sf, docs=None):
+    return feeds.commercial_rsb(docs or roles.documents(spark, sf), RUN_TS)
 
 
-def source_population(spark, sf):
-    return feeds.population(roles.documents(spark, sf), RUN_TS)
+def source_population(spark, sf, docs=None):
+    return feeds.population(docs or roles.documents(spark, sf), RUN_TS)
 
 
-def source_weather(spark, sf):
-    return feeds.weather(roles.documents(spark, sf), RUN_TS)
+def source_weather(spark, sf, docs=None):
+    return feeds.weather(docs or roles.documents(spark, sf), RUN_TS)
 
 
 def staged_events(spark, sf):
     return marts.stg_event(feeds.event(roles.documents(spark, sf), RUN_TS))
 
 
-def fact_commercial(spark, sf):
-    return marts.fact_commercial(marts.stg_commercial(source_commercial(spark, sf)), roles.areas(spark, sf))
+def staged_categories(spark, sf):
+    docs = roles.documents(spark, sf)
+    return marts.stg_commercial_rsb(source_category(spark, sf, docs), source_commercial(spark, sf, docs))
+
+
+def fact_commercial(spark, sf, docs=None):
+    return marts.fact_commercial(marts.stg_commercial(source_commercial(spark, sf, docs)), roles.areas(spark, sf))
 
 
 def fact_category(spark, sf):
-    staged = marts.stg_commercial_rsb(source_category(spark, sf), source_commercial(spark, sf))
-    return marts.fact_commercial_rsb(staged, roles.categories(spark, sf))
+    return marts.fact_commercial_rsb(staged_categories(spark, sf), roles.categories(spark, sf))
 
 
-def fact_population(spark, sf):
-    return marts.fact_population(
-        marts.stg_population(source_population(spark, sf)), roles.areas(spark, sf), roles.congestions(spark, sf), RUN_TS
-    )
+def fact_population(spark, sf, docs=None):
+    staged = marts.stg_population(source_population(spark, sf, docs))
+    return marts.fact_population(staged, roles.areas(spark, sf), roles.congestions(spark, sf), RUN_TS)
 
 
-def fact_weather(spark, sf):
-    return marts.fact_weather(marts.stg_weather(source_weather(spark, sf)), roles.areas(spark, sf), RUN_TS)
+def fact_weather(spark, sf, docs=None):
+    return marts.fact_weather(marts.stg_weather(source_weather(spark, sf, docs)), roles.areas(spark, sf), RUN_TS)
 
 
 def fact_transport(spark, sf):
@@ -167,7 +170,7 @@ def _(spark, sf):
     with_sql(E, SOURCE_COMMERCIAL, SOURCE_CATEGORY, STG_CATEGORY, select="SELECT * FROM stg_rsb"),
 )
 def _(spark, sf):
-    return marts.stg_commercial_rsb(source_category(spark, sf), source_commercial(spark, sf))
+    return staged_categories(spark, sf)
 
 
 @query(

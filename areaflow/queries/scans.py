@@ -133,9 +133,9 @@ def _(spark, sf):
     """SELECT event_id, 'events.parquet' AS file_name FROM events""",
 )
 def _(spark, sf):
-    return table(spark, sf, "events").select(
-        "event_id", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file_name")
-    )
+    # the table's own name, whether it is one file or a folder of files
+    name = F.regexp_extract(F.col("_metadata.file_path"), "/([a-z]+[.]parquet)(/|$)", 1)
+    return table(spark, sf, "events").select("event_id", name.alias("file_name"))
 
 
 @query("s13_missing_source_is_empty", "SELECT event_id, FALSE AS seen FROM events")

@@ -173,8 +173,8 @@ def _(spark, sf):
     "k14_type_routed_output",
     roles.with_sql(
         roles.E, roles.SOURCE_BUS, roles.SOURCE_SUBWAY,
-        select="""SELECT source_id, station_count, 'bus' AS transport_type FROM src_bus
-            UNION ALL SELECT source_id, station_count, 'subway' FROM src_subway""",
+        select="""SELECT source_id, station_count, 'bus' AS transport_type, CAST(observed_at AS DATE) AS ymd FROM src_bus
+            UNION ALL SELECT source_id, station_count, 'subway', CAST(observed_at AS DATE) FROM src_subway""",
     ),
 )
 def _(spark, sf):
@@ -182,8 +182,8 @@ def _(spark, sf):
     docs = roles.documents(spark, sf)
     for feed in (c.BUS, c.SUBWAY):
         rows = feeds.transit(docs, feed, RUN_TS).withColumn("transport_type", F.lit(feed.label))
-        sinks.append(rows, path, by=["transport_type"])
-    return spark.read.parquet(path).select("source_id", "station_count", "transport_type")
+        sinks.append(rows.withColumn("ymd", F.to_date("observed_at")), path, by=["transport_type", "ymd"])
+    return spark.read.parquet(path).select("source_id", "station_count", "transport_type", "ymd")
 
 
 @query(

@@ -67,7 +67,8 @@ def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
 def spread(df: DataFrame) -> DataFrame:
     """Deal narrow rows out before costly expressions when splits are fewer than cores.
 
-    A large input has more splits than cores and is left as it is.
+    A large input has more splits than cores and is left as it is.  Only the
+    planned split count is asked for; no job runs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -160,6 +160,24 @@ def test_late_rows_replace(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 3, 4]
 
 
+def test_late_rows_drop_behind_the_watermark(spark, tmp_path):
+    """Counts close once the watermark passes; a row later than the delay is dropped."""
+    folder, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    folder.mkdir()
+
+    def run(name, *minutes):
+        rows = [{"id": 1, "at": f"2025-07-05T{m}:00"} for m in minutes]
+        (folder / name).write_text("\n".join(map(json.dumps, rows)))
+        counted = streams.tumbling(streams.json_stream(spark, str(folder), _SCHEMA), "at", 5, "10 minutes")
+        streams.run_available(counted, cp, streams.append_sink(out))
+
+    run("a.json", "10:01", "10:02", "10:07", "12:00")
+    run("b.json", "10:03", "12:30")
+    run("c.json", "13:00")
+    counts = {f"{r.slot:%H:%M}": r.n for r in spark.read.parquet(out).collect()}
+    assert counts == {"10:00": 2, "10:05": 1, "12:00": 1, "12:30": 1}
+
+
 def test_document_load_ignores_bad_keys(spark, base, wh):
     folder = f"{base}/20250705"
     with open(f"{folder}/2102-9.json", "w") as f:

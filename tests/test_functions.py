@@ -56,6 +56,13 @@ def test_one_decimal_is_binary_rounding(spark, values):
     assert column(spark, values, parsing.one_decimal, "double") == expected
 
 
+def test_one_decimal_edges(spark):
+    values = [0.25, 0.75, 2.35, -0.05, 999.94, 999.96, 1e300, float("nan"), float("inf"), None]
+    expected = [Decimal(s) for s in ("0.2", "0.8", "2.4", "-0.1", "999.9")] + [None] * 5
+    assert round(2.35, 1) == 2.4 and round(-0.05, 1) == -0.1
+    assert column(spark, values, parsing.one_decimal, "double") == expected
+
+
 def test_keys(spark):
     stamp = "2025-07-05 23:01:00"
     row = spark.sql(f"SELECT 'POI001' AS a, timestamp_ntz'{stamp}' AS t, CAST(NULL AS STRING) AS n").select(
