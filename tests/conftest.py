@@ -17,6 +17,8 @@ def spark():
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        # plan checks read whole filter lists
+        spark__sql__maxMetadataStringLength="5000",
     )
     built.sparkContext.setLogLevel("ERROR")
     yield built
