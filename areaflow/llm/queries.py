@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from areaflow.llm import packing, pii, secret_scan, spans
+from areaflow.llm import chunk_dedup, packing, pii, secret_scan, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,22 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query(
+    "op1_chunk_dedup",
+    r"""
+    WITH plain AS (
+        SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+        FROM documents
+    )
+    SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+        doc_id = min(doc_id) OVER g AS kept, text_sha256
+    FROM plain WINDOW g AS (PARTITION BY text_sha256)
+    """,
+)
+def op1_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.duplicates(_documents(spark, sf_dir))
+
+
 @query("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_documents(spark, sf_dir))
