@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from areaflow.llm import chunk_dedup, packing, pii, secret_scan, spans
+from areaflow.llm import chunk_dedup, packing, pii, quality, secret_scan, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _fold(parts: int) -> Column:
+    return F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % parts
+
+
 @query(
     "op1_chunk_dedup",
     r"""
@@ -45,6 +50,15 @@ def op1_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.duplicates(_documents(spark, sf_dir))
 
 
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    net = quality.train(docs, labels, fold=_fold(5) != 0)
+    scored = quality.score(docs, net)
+    predicted = F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", predicted)
+
+
 @query("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_documents(spark, sf_dir))
