@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import chunk_dedup, packing, pii, quality, secret_scan, spans
+from areaflow.llm import chunk_dedup, language, packing, pii, quality, secret_scan, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", predicted)
 
 
+@query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    filters = language.learn(docs.filter(_fold(4) != 2))
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out")
+    return language.predict(docs, filters).select("doc_id", held_out, "lang_pred", "score")
+
+
 @query("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_documents(spark, sf_dir))
