@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import chunk_dedup, language, packing, pii, quality, secret_scan, spans
+from areaflow.llm import chunk_dedup, embedding_dedup, language, packing, pii, quality, secret_scan, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,31 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, filters).select("doc_id", held_out, "lang_pred", "score")
 
 
+@query(
+    "op6_embedding_dedup",
+    """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+            AND len(list_filter(embedding, lambda v: v <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS v, b.vec_id AS w FROM usable a JOIN usable b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+        WHERE list_cosine_similarity(a.x, b.x) >= 0.98
+    ), reached AS (
+        SELECT vec_id AS v, vec_id AS w FROM embeddings
+        UNION SELECT reached.v, links.w FROM reached JOIN links ON links.v = reached.w
+    ), lowest AS (SELECT v, min(w) AS component_id FROM reached GROUP BY v),
+    counted AS (SELECT v, count(*) AS n FROM links GROUP BY v)
+    SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+    FROM embeddings e JOIN lowest ON lowest.v = e.vec_id LEFT JOIN counted ON counted.v = e.vec_id
+    """,
+)
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_documents(spark, sf_dir))
