@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import chunk_dedup, embedding_dedup, language, packing, pii, quality, secret_scan, spans
+from areaflow.llm import byte_bpe, chunk_dedup, embedding_dedup, language, packing, pii, quality, secret_scan, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,21 @@ def op1_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.duplicates(_documents(spark, sf_dir))
 
 
+@query("op2_byte_bpe")
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    ranks = packing.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    vocabulary = byte_bpe.learned(docs, ranks, public_tokenizers.PATTERN)
+    ids = F.col("ids")
+    listed = F.array_join(ids.cast("array<string>"), ",")
+    return byte_bpe.encode(docs, vocabulary).select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.encode(listed, "UTF-8"), 256).alias("ids_sha256"),
+        F.sha2(vocabulary.decode(ids), 256).alias("decoded_sha256"),
+    )
+
+
 @query("op4_quality")
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
