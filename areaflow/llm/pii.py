@@ -31,7 +31,8 @@ Span = tuple[int, int]
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
-# A number starts at the first digit of its run: no later start can do better.
+# An address lies in one run of digits and dots, and starts where a run of digits does: no later start can do better.
+_DOTTED = re.compile(r"[0-9][0-9.]*+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -54,10 +55,13 @@ def emails(text: str) -> Iterator[Span]:
 
 
 def ips(text: str) -> Iterator[Span]:
-    for m in _IP.finditer(text):
-        parts = (p.lstrip("0") for p in m.group().split("."))
-        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
-            yield m.span()
+    for run in _DOTTED.finditer(text):
+        if run.group().count(".") < 3:
+            continue
+        for m in _IP.finditer(text, *run.span()):
+            parts = (p.lstrip("0") for p in m.group().split("."))
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
+                yield m.span()
 
 
 def luhn(digits: str) -> bool:
@@ -127,6 +131,10 @@ def _one_char() -> dict[str, str]:
     return table | {"\xa0": " ", "\xad": "", "−": "-"}
 
 
+# Mathematical and enclosed letters and digits.
+_BEYOND = "[\U0001d400-\U0001d7ff\U0001f100-\U0001f16f]"
+
+
 class Transducer:
     """The rewriting rules, compiled once in each task."""
 
@@ -138,7 +146,8 @@ class Transducer:
         opened, closed = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
         dots = "dot|punkt|punto|point"
         rules = {
-            "char": "[" + re.escape("".join(sorted(self.chars))) + "]",
+            # one class for the basic plane, which is looked up by table, and ranges beyond
+            "char": "[" + re.escape("".join(sorted(c for c in self.chars if c <= "\uffff"))) + "]|" + _BEYOND,
             "at": rf"{opened}(?:at|@){closed}|\s+at\s+(?=[a-z0-9-]+(?:\s+(?:{dots})\s+|{opened}(?:{dots}|\.){closed})[a-z0-9-])",
             "dot": rf"{opened}(?:{dots}|\.){closed}|(?<=[a-z0-9])\s+(?:{dots})\s+(?=[a-z0-9])",
             "plus": rf"\bplus\s+(?=[0-9]|{word})",
@@ -147,13 +156,18 @@ class Transducer:
         self.rules = re.compile("|".join(f"(?P<{k}>{v})" for k, v in rules.items()), re.IGNORECASE)
         self.inside = re.compile(rf"(?P<word>{word})|(?P<gap>[\s,./-]+)", re.IGNORECASE)
         self.odd = re.compile(rules["char"])
-        self.spelled = re.compile(
-            rf"[\[({{<]\s*(?:at|@|{dots}|\.)\s*[\])}}>]|\s(?:{dots})\s|(?:{word})[\s,./-]{{1,3}}(?:{word})[\s,./-]{{1,3}}(?:{word})",
-            re.IGNORECASE,
-        )
+        self.bracketed = re.compile(rf"[\[({{<]\s*(?:at|@|{dots}|\.)\s*[\])}}>]", re.IGNORECASE)
+        # "un" and the like are words of their own; a run of digits holds others too
+        self.telling = frozenset(self.digits) - {"un", "oh", "null"} | frozenset(dots.split("|"))
 
     def disguised(self, text: str) -> bool:
-        return bool(self.spelled.search(text)) or not text.isascii() and bool(self.odd.search(text))
+        """Cheap, and true wherever a rule could make an identifier."""
+        if not text.isascii() and self.odd.search(text) or self.bracketed.search(text):
+            return True
+        lowered = text.lower()
+        for gap in ",./-":
+            lowered = lowered.replace(gap, " ")
+        return not self.telling.isdisjoint(lowered.split())
 
     def rewrite(self, text: str) -> tuple[str, list[int], list[int], list[bool]]:
         """The rewritten text; for each of its characters the source interval, and whether it was rewritten."""
@@ -180,7 +194,7 @@ class Transducer:
             copy(at, m.start())
             at = m.end()
             if m.lastgroup == "char":
-                put(self.chars.get(m.group(), ""), *m.span())
+                put(self.chars.get(m.group(), m.group()), *m.span())
             elif m.lastgroup == "run":
                 for part in self.inside.finditer(text, *m.span()):
                     shown = self.digits[part.group().lower()] if part.lastgroup == "word" else " "
