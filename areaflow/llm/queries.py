@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import byte_bpe, chunk_dedup, embedding_dedup, language, packing, pii, quality, secret_scan, spans
+from areaflow.llm import byte_bpe, chunk_dedup, embedding_dedup, language, ngram_join, packing, pii, quality, secret_scan, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,34 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_ngram_join",
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, string_split(trim(regexp_replace(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN w = [''] THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+        FROM words
+    ), sized AS (SELECT doc_id, s, len(s) AS n FROM sets), flat AS (SELECT doc_id, n, unnest(s) AS g FROM sized),
+    links AS (
+        SELECT a.doc_id AS v, b.doc_id AS w FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+    ), reached AS (
+        SELECT doc_id AS v, doc_id AS w FROM documents
+        UNION SELECT reached.v, links.w FROM reached JOIN links ON links.v = reached.w
+    )
+    SELECT sized.doc_id, n::BIGINT AS n_shingles, min(w) AS component_id
+    FROM sized JOIN reached ON reached.v = sized.doc_id GROUP BY sized.doc_id, n
+    """,
+)
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_documents(spark, sf_dir))
+
+
 @query("op4_quality")
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
