@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import byte_bpe, chunk_dedup, embedding_dedup, language, ngram_join, packing, pii, quality, secret_scan, spans
+from areaflow.llm import attention_lm, byte_bpe, chunk_dedup, embedding_dedup, language, ngram_join, packing, pii, quality, secret_scan, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,6 +135,15 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query("op7_attention_lm")
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    ranks = packing.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    scored = attention_lm.score(docs, docs.filter(_fold(10) != 0), ranks, public_tokenizers.PATTERN)
+    held_out = F.coalesce(_fold(10) == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_documents(spark, sf_dir))
