@@ -3,9 +3,10 @@
 A text is its lower-cased words and one end.  The base model is the smoothed
 unigram model of words, counted over all training texts.  The attention model
 predicts subword ids: from the ids before, one attention layer and one hidden
-layer give a distribution over classes of ids; inside a class an id has its share
-of all training texts' ids.  The layers are trained in numpy on a bounded sample
-of windows, the counts come from the whole corpus.  Scoring cuts a document's ids
+layer give a distribution over classes; an id belongs to several classes in parts,
+and inside a class it has its share of all training texts' ids.  Layers and parts
+are trained in numpy on a bounded sample of windows, the counts come from the
+whole corpus.  Scoring cuts a document's ids
 into windows that overlap by the context, each id being scored once, with batched
 masked attention over many windows at a time.
 
@@ -40,12 +41,14 @@ WORDS = 1 << 16
 #: Training texts the layers are fitted on at most, and windows of characters taken from each.
 SAMPLE_ROWS, SAMPLE_WINDOWS, SAMPLE_CHARS = 2000, 4, 600
 
-CLASSES, WIDTH, HIDDEN = 32, 16, 32
+CLASSES, WIDTH, HIDDEN = 48, 16, 32
 #: Ids scored in a window, and ids before them that it also sees.
 SCORED, CONTEXT = 24, 8
 _SPAN = SCORED + CONTEXT
 
-_STEPS, _BATCH, _RATE = 500, 128, 0.01
+_STEPS, _BATCH, _RATE = 800, 128, 0.01
+#: Steps between two looks at which class explains which id.
+_REFRESH = 25
 #: Exponents are held below what single precision can take; the result stays a distribution.
 _LIMIT = np.float32(40)
 _SMOOTH = 0.1
@@ -215,8 +218,11 @@ def _soft(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def _gradients(m: Layers, inputs: np.ndarray, classes: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean cross-entropy of the scored places' classes (-1: none) and its gradients."""
+def _gradients(m: Layers, inputs: np.ndarray, targets: np.ndarray, shares: np.ndarray) -> tuple:
+    """Mean surprise at the scored places' ids (-1: none), its gradients, and each class's part in each id.
+
+    ``shares`` has the probability of each id in each class.
+    """
     ids = np.maximum(inputs, 0)
     x = m.emb[ids] + m.pos
     y = x[:, CONTEXT:]
@@ -230,13 +236,13 @@ def _gradients(m: Layers, inputs: np.ndarray, classes: np.ndarray) -> tuple[floa
     act = np.maximum(pre, 0)
     g = h + act @ m.w2
     p = _soft(g @ m.w3 + m.b3)
-    counts = classes >= 0
+    counts = targets >= 0
     total = max(1, int(counts.sum()))
-    chosen = np.take_along_axis(p, np.maximum(classes, 0)[..., None], axis=2)[..., 0]
-    loss = float(-np.log(np.maximum(chosen[counts], 1e-30)).mean()) if counts.any() else 0.0
-    d = p.copy()
-    np.put_along_axis(d, np.maximum(classes, 0)[..., None], (chosen - 1)[..., None], axis=2)
-    d *= (counts / total)[..., None].astype(np.float32)
+    parts = p * shares[np.maximum(targets, 0)]
+    chance = parts.sum(axis=-1)
+    loss = float(-np.log(chance[counts]).mean()) if counts.any() else 0.0
+    parts /= chance[..., None]
+    d = (p - parts) * (counts / total)[..., None].astype(np.float32)
 
     def over(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
@@ -260,61 +266,73 @@ def _gradients(m: Layers, inputs: np.ndarray, classes: np.ndarray) -> tuple[floa
     grads["pos"] = dx.sum(axis=0)
     grads["emb"] = np.zeros_like(m.emb)
     np.add.at(grads["emb"], ids.ravel(), dx.reshape(-1, WIDTH))
-    return loss, grads
+    return loss, grads, parts
+
+
+def _shares(parts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Probability of each id in each class, from the classes' parts in each id and the ids' counts."""
+    table = parts * (counts + 0.5)[:, None]
+    return (table / table.sum(axis=0)).astype(np.float32)
 
 
-def fit(sample: list[np.ndarray], classes: np.ndarray, end: int, seed: int = 5) -> Layers:
-    """Adam over random windows of the sample."""
+def fit(sample: list[np.ndarray], size: int, seed: int = 5) -> tuple[Layers, np.ndarray]:
+    """Adam over random windows of the sample; every few steps the parts follow what the classes explained."""
     rng = np.random.default_rng(seed)
 
     def start(*shape: int) -> np.ndarray:
         return rng.normal(0, 0.2 if len(shape) == 2 and shape[0] < 100 else 0.1, shape).astype(np.float32)
 
     m = Layers(
-        start(len(classes), WIDTH), start(_SPAN, WIDTH), *(start(WIDTH, WIDTH) for _ in range(4)),
+        start(size, WIDTH), start(_SPAN, WIDTH), *(start(WIDTH, WIDTH) for _ in range(4)),
         start(WIDTH, HIDDEN), np.zeros(HIDDEN, np.float32), start(HIDDEN, WIDTH),
         start(WIDTH, CLASSES), np.zeros(CLASSES, np.float32),
     )
-    inputs, targets = cut(sample, end)
-    wanted = np.where(targets >= 0, classes[np.maximum(targets, 0)], -1)
+    inputs, targets = cut(sample, size - 1)
+    counts = np.bincount(np.concatenate(sample), minlength=size)
+    held = np.full((size, CLASSES), 0.3 / CLASSES)
+    held[np.arange(size), _classes(sample, size)] += 0.7
+    gathered = 2 * held
+    shares = _shares(held, counts)
     names = list(m.__dataclass_fields__)
     first = {n: np.zeros_like(getattr(m, n)) for n in names}
     second = {n: np.zeros_like(getattr(m, n)) for n in names}
     for step in range(1, _STEPS + 1):
         chosen = rng.integers(0, len(inputs), _BATCH)
-        _, grads = _gradients(m, inputs[chosen], wanted[chosen])
+        _, grads, parts = _gradients(m, inputs[chosen], targets[chosen], shares)
+        wanted = targets[chosen]
+        np.add.at(gathered, wanted[wanted >= 0], parts[wanted >= 0])
+        if step % _REFRESH == 0:
+            held = gathered / gathered.sum(axis=1, keepdims=True)
+            shares = _shares(held, counts)
+            gathered = 0.5 * gathered + held
         rate = _RATE * min(1.0, 2 - 2 * step / (_STEPS + 1))
         for n in names:
             first[n] += 0.1 * (grads[n] - first[n])
             second[n] += 0.01 * (grads[n] ** 2 - second[n])
             change = rate * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.99**step)) + 1e-7)
             setattr(m, n, (getattr(m, n) - change).astype(np.float32))
-    return m
+    return m, held
 
 
 @dataclass
 class Model:
-    """Layers folded into tables of ids, and the logarithm of each id's share of its class."""
+    """Layers folded into tables of ids, and the probability of each id in each class."""
 
     end: int
-    classes: np.ndarray
     shares: np.ndarray
     tables: np.ndarray
     places: np.ndarray
     tail: tuple
 
     @classmethod
-    def build(cls, m: Layers, classes: np.ndarray, counts: np.ndarray) -> Model:
-        smoothed = counts + 0.5
-        sums = np.bincount(classes, weights=smoothed, minlength=CLASSES)
+    def build(cls, m: Layers, parts: np.ndarray, counts: np.ndarray) -> Model:
         turn = np.concatenate([np.eye(WIDTH, dtype=np.float32), m.wq / np.sqrt(WIDTH), m.wk, m.wv @ m.wo], axis=1)
 
         def table(rows: np.ndarray, last: float) -> np.ndarray:
             return np.c_[rows @ turn, np.full(len(rows), last)].astype(np.float32)
 
         return cls(
-            len(classes) - 1, classes.astype(np.int8), np.log10(smoothed / sums[classes]),
-            table(m.emb, 1.0), table(m.pos, 0.0),
+            len(parts) - 1, _shares(parts, counts), table(m.emb, 1.0), table(m.pos, 0.0),
             (m.w1, m.b1, m.w2, m.w3, m.b3),
         )
 
@@ -347,9 +365,10 @@ class Model:
         logits = g @ w3 + b3
         np.clip(logits, -_LIMIT, _LIMIT, out=logits)
         wanted = np.maximum(targets, 0).ravel()
-        chosen = logits[np.arange(len(logits)), self.classes[wanted]]
         np.exp(logits, out=logits)
-        log = (chosen - np.log(logits @ np.ones(CLASSES, np.float32))) / np.log(10) + self.shares[wanted]
+        total = logits @ np.ones(CLASSES, np.float32)
+        logits *= self.shares.take(wanted, axis=0)
+        log = np.log10((logits @ np.ones(CLASSES, np.float32)) / total)
         return np.where(targets.ravel() >= 0, log, 0.0).reshape(targets.shape).sum(axis=1, dtype=np.float64)
 
 
@@ -361,10 +380,9 @@ def train(docs: DataFrame, words: DataFrame, n_docs: int, ranks: dict[bytes, int
     subwords = Subwords(ranks, pattern)
     ids = [subwords.document(words_of(piece)) for row in sample for piece in row["p"]]
     ids = ids or [np.array([subwords.end], np.int32)]
-    classes = _classes(ids, subwords.size)
     counts = count_ids(words, ranks, pattern)
     counts[subwords.end] += n_docs
-    return Model.build(fit(ids, classes, subwords.end), classes, counts)
+    return Model.build(*fit(ids, subwords.size), counts)
 
 
 def score(
