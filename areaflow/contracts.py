@@ -252,6 +252,7 @@ HISTORY_TABLE = _table(
     _OBSERVED,
     ("processed_at", _NTZ),
     ("observed_date", T.DateType()),
+    ("load_batch", T.StringType()),
 )
 
 DIMENSIONS: dict[str, T.StructType] = {

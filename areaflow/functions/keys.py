@@ -22,8 +22,8 @@ def surrogate_key(*columns: Column) -> Column:
 
 
 def coordinate_text(c: Column) -> Column:
-    """Doubles print differently across engines; decimals do not."""
-    return c.cast("decimal(18,7)").cast("string")
+    """Doubles print differently across engines; decimals do not.  One too large for any place on earth is NULL."""
+    return c.try_cast("decimal(18,7)").cast("string")
 
 
 def transit_key(observed_at: Column, area_code: Column, label: Column) -> Column:

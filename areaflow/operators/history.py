@@ -73,6 +73,11 @@ def within(history: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFram
     return history.where(in_dates & in_time)
 
 
+def by_others(history: DataFrame, name: str) -> DataFrame:
+    """History without the entries of one load, so that repeating the load finds its rows again."""
+    return history.where(F.col("load_batch").isNull() | (F.col("load_batch") != F.lit(name)))
+
+
 def for_batch(history: DataFrame, batch: DataFrame) -> DataFrame:
     """History on the dates a batch spans; reads one row of bounds."""
     day = F.to_date("observed_at")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areaflow.functions import clock
+from areaflow.operators import dedupe
 
 # --- watermarks ---------------------------------------------------------------
 
@@ -40,14 +41,24 @@ def since(df: DataFrame, target: DataFrame | None, column: Column, mark: str) ->
 
 
 def since_or_unknown(df: DataFrame, target: DataFrame | None, column: Column, mark: str) -> DataFrame:
-    """Like :func:`since`, but keeping rows without a time.
+    """Like :func:`from_mark`, but keeping rows without a time.
 
     For use in front of :func:`dedupe.latest_wins`, where such a row beats all
-    others: ranking what is left and applying :func:`since` gives the same rows
-    as ranking everything first.
+    others: ranking what is left and applying the bound gives the same rows as
+    ranking everything first.
     """
     bound = mark_of(target, mark)
-    return df if bound is None else df.where((column > bound) | column.isNull())
+    return df if bound is None else df.where((column >= bound) | column.isNull())
+
+
+def from_mark(df: DataFrame, target: DataFrame | None, column: Column, mark: str) -> DataFrame:
+    """Rows at or above the target's highest ``mark``, for targets that merge by id.
+
+    A second load may carry the clock of one already built; its rows arrive and
+    those of the first merge into themselves.
+    """
+    bound = mark_of(target, mark)
+    return df if bound is None else df.where(column >= bound)
 
 
 def event_time_bound(target: DataFrame | None, lateness_minutes: int = 0) -> dt.datetime | None:
@@ -73,6 +84,20 @@ def since_event_time(
 # --- merges -------------------------------------------------------------------
 
 
+def upsert_newest(target: DataFrame, batch: DataFrame, keys: Sequence[str], newest: str) -> DataFrame:
+    """Of target and batch rows with one key the newest stays, so an older replay changes nothing.
+
+    Equally new rows are settled by value; rows with a NULL in the key all stay.
+    """
+    both = target.unionByName(batch)
+    known = both.dropna(subset=list(keys))
+    ties = [F.col(c).desc_nulls_last() for c in both.columns if c not in keys]
+    unknown = F.lit(False)
+    for key in keys:
+        unknown = unknown | F.col(key).isNull()
+    return dedupe.latest_wins(known, keys, newest, ties).unionByName(both.where(unknown))
+
+
 def _without(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return target.join(batch.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
 

@@ -32,8 +32,8 @@ def lookup(
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
-    """Keys that occur more than once, with their count."""
-    return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
+    """Keys that occur more than once, with their count; a NULL key matches nothing and may repeat."""
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
 def require_unique(df: DataFrame, *keys: str) -> DataFrame:

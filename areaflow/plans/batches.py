@@ -1,8 +1,10 @@
 """Loads and builds: a file window into source tables, source tables into marts.
 
-A load reads its documents once into shared scratch, writes its own
-(date, window) partitions and records the history last, so running it again
-after a failure replaces what it wrote and loses nothing.
+A load is named by its window's start and end.  It reads its documents once into
+shared scratch, writes its own (date, load) partitions, takes away those it no
+longer holds, and records the history last, under its name.  A repeat ignores the
+entries of its own name, so it writes the complete window again and loses nothing;
+loads of overlapping windows have other names and are left alone.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from areaflow import contracts as c
 from areaflow import session
 from areaflow.functions import clock, text
-from areaflow.operators import history, incremental
+from areaflow.operators import history, incremental, lookup
 from areaflow.plans import feeds, marts
 from areaflow.sources import files, paths, raw, sinks
 from areaflow.sources.tables import Warehouse
@@ -23,18 +25,36 @@ from areaflow.sources.tables import Warehouse
 BATCH = "load_batch"
 
 
-def _load(wh: Warehouse, name: str, df: DataFrame, start: dt.datetime) -> None:
-    dated = df.withColumns({sinks.DATE: F.to_date("observed_at"), BATCH: F.lit(f"{start:%Y%m%d%H%M}")})
-    sinks.write_partitions(dated, wh.path("source", name), [sinks.DATE, BATCH])
+def load_name(start: dt.datetime, end: dt.datetime) -> str:
+    return f"{start:%Y%m%d%H%M}-{end:%Y%m%d%H%M}"
 
 
-def _remember(wh: Warehouse, feed: str, seen: DataFrame, run_ts: dt.datetime) -> None:
-    known = history.for_batch(wh.history(feed), seen)
-    fresh, path = session.staged(history.unseen(history.entries_of(seen, run_ts), known), "history")
-    sinks.append_unless_empty(fresh, wh.path("history", feed), by=[sinks.DATE])
+def _load(wh: Warehouse, name: str, df: DataFrame, load: str) -> None:
+    dated = df.withColumns({sinks.DATE: F.to_date("observed_at"), BATCH: F.lit(load)})
+    sinks.replace_load(dated, wh.path("source", name), load, [sinks.DATE, BATCH])
+
+
+def _known(wh: Warehouse, feed: str, seen: DataFrame, load: str) -> DataFrame:
+    return history.by_others(history.for_batch(wh.history(feed), seen), load)
+
+
+def _remember(wh: Warehouse, feed: str, seen: DataFrame, run_ts: dt.datetime, load: str) -> None:
+    entries = history.unseen(history.entries_of(seen, run_ts), _known(wh, feed, seen, load))
+    fresh, path = session.staged(entries.withColumn(BATCH, F.lit(load)), "history")
+    sinks.replace_load(fresh, wh.path("history", feed), load, [sinks.DATE, BATCH])
     files.remove(wh.spark, path)
 
 
+def refuse(docs: DataFrame, wh: Warehouse, run_ts: dt.datetime, load: str) -> DataFrame:
+    """The documents that name an area; the others go to a table of refused ones, with the reason."""
+    code = F.trim(F.coalesce(F.col(c.AREA_CODE), F.lit("")))
+    bad = docs.where(code == "").select(
+        "path", F.lit("no area code").alias("reason"), clock.wall(run_ts).alias("refused_at"), F.lit(load).alias(BATCH)
+    )
+    sinks.replace_load(bad, wh.path("refused", "documents"), load, [BATCH])
+    return docs.where(code != "")
+
+
 def _documents(
     wh: Warehouse, base: str, start: dt.datetime, end: dt.datetime, multiline: bool
 ) -> tuple[DataFrame, str]:
@@ -42,40 +62,39 @@ def _documents(
     return session.staged(raw.window(wh.spark, base, start, end, multiline), "documents")
 
 
-def load_commercial(docs: DataFrame, wh: Warehouse, start: dt.datetime, run_ts: dt.datetime) -> None:
+def load_commercial(docs: DataFrame, wh: Warehouse, load: str, run_ts: dt.datetime) -> None:
     """The first document of each observation not loaded before."""
     observed = clock.parse(F.col(f"{c.COMMERCIAL}.{c.COMMERCIAL_TIME}"), c.COMPACT_MINUTE)
     seen = docs.select(F.col("file_area_id").alias("area_id"), observed.alias("observed_at"), "path").dropna()
     first = paths.first_per_location(seen, "area_id", "observed_at").select("path")
     chosen = docs.join(first, "path", "left_semi")
-    known = history.for_batch(wh.history("commercial"), seen)
-    _load(wh, "commercial", feeds.commercial(chosen, run_ts, known), start)
-    _load(wh, "commercial_rsb", feeds.commercial_rsb(chosen, run_ts, known), start)
-    _remember(wh, "commercial", seen, run_ts)
+    known = _known(wh, "commercial", seen, load)
+    _load(wh, "commercial", feeds.commercial(chosen, run_ts, known), load)
+    _load(wh, "commercial_rsb", feeds.commercial_rsb(chosen, run_ts, known), load)
+    _remember(wh, "commercial", seen, run_ts, load)
 
 
-def load_population(docs: DataFrame, wh: Warehouse, start: dt.datetime, run_ts: dt.datetime) -> None:
+def load_population(docs: DataFrame, wh: Warehouse, load: str, run_ts: dt.datetime) -> None:
     typed, path = session.staged(feeds.population(docs, run_ts), "population")
     numbered = typed.withColumn("area_id", text.area_number(F.col("area_code")))
-    fresh = history.unseen(numbered, history.for_batch(wh.history("population"), numbered))
-    _load(wh, "population", fresh.drop("area_id"), start)
-    _remember(wh, "population", numbered.select("area_id", "observed_at").dropna(), run_ts)
+    fresh = history.unseen(numbered, _known(wh, "population", numbered, load))
+    _load(wh, "population", fresh.drop("area_id"), load)
+    _remember(wh, "population", numbered.select("area_id", "observed_at").dropna(), run_ts, load)
     files.remove(wh.spark, path)
 
 
-def load_transit(docs: DataFrame, wh: Warehouse, start: dt.datetime, run_ts: dt.datetime) -> None:
+def load_transit(docs: DataFrame, wh: Warehouse, load: str, run_ts: dt.datetime) -> None:
     for feed in (c.BUS, c.SUBWAY):
-        _load(wh, feed.label, feeds.transit(docs, feed, run_ts), start)
+        _load(wh, feed.label, feeds.transit(docs, feed, run_ts), load)
+
 
+def load_weather(docs: DataFrame, wh: Warehouse, run_ts: dt.datetime) -> None:
+    """Observations replace themselves by id.
 
-def load_weather(docs: DataFrame, wh: Warehouse, start: dt.datetime, end: dt.datetime, run_ts: dt.datetime) -> None:
-    """Replaces the window's observations, late ones included."""
+    A window's files are not all that report its observations, so nothing else is removed.
+    """
     batch = feeds.weather(docs, run_ts).where("observed_at is not null").withColumn(sinks.DATE, F.to_date("observed_at"))
-    in_window = (F.col("observed_at") >= clock.wall(start)) & (F.col("observed_at") < clock.wall(end))
-    path = wh.path("source", "weather")
-    sinks.replace_range(batch.where(in_window), path, "observed_at", start, end, closed=False)
-    # observations outside the window replace themselves by id
-    sinks.upsert(batch.where(~in_window), path, ["source_id"])
+    sinks.upsert(batch, wh.path("source", "weather"), ["source_id"])
 
 
 def load_events(wh: Warehouse, base: str, day: dt.date, run_ts: dt.datetime, multiline: bool = False) -> None:
@@ -90,12 +109,16 @@ def load_window(
     wh: Warehouse, base: str, start: dt.datetime, end: dt.datetime, run_ts: dt.datetime, multiline: bool = False
 ) -> None:
     """All minute feeds of a half-open file window, from one scan."""
+    load = load_name(start, end)
     docs, path = _documents(wh, base, start, end, multiline)
-    load_commercial(docs, wh, start, run_ts)
-    load_population(docs, wh, start, run_ts)
-    load_transit(docs, wh, start, run_ts)
-    load_weather(docs, wh, start, end, run_ts)
-    files.remove(wh.spark, path)
+    try:
+        docs = refuse(docs, wh, run_ts, load)
+        load_commercial(docs, wh, load, run_ts)
+        load_population(docs, wh, load, run_ts)
+        load_transit(docs, wh, load, run_ts)
+        load_weather(docs, wh, run_ts)
+    finally:
+        files.remove(wh.spark, path)
 
 
 def load_night(wh: Warehouse, base: str, run_ts: dt.datetime, multiline: bool = False) -> None:
@@ -119,7 +142,7 @@ def build_event_marts(wh: Warehouse, run_ts: dt.datetime, full_refresh: bool = F
     else:
         sinks.insert_only(events, dim_path, ["event_id"])
     fact = marts.fact_event(
-        stg, wh.existing("dim", "event"), wh.dimension("area"), run_ts, existing("fact", "event")
+        stg, wh.existing("dim", "event"), lookup.require_unique(wh.dimension("area"), "area_code"), run_ts, existing("fact", "event")
     ).withColumn(sinks.DATE, F.to_date("observed_at"))
     _store(wh, "event", fact, ["event_id", "area_id", "observed_at"], full_refresh)
 
@@ -141,7 +164,10 @@ def build_marts(wh: Warehouse, run_ts: dt.datetime, full_refresh: bool = False,
     def new(name: str, mark: str, built: str | None = None) -> DataFrame:
         return incremental.since_or_unknown(wh.source(name), target(built or name), F.col("created_at"), mark)
 
-    areas = wh.dimension("area")
+    # a repeated key would give an observation several fact rows
+    areas = lookup.require_unique(wh.dimension("area"), "area_code")
+    pairs = lookup.require_unique(wh.dimension("category"), "category_large", "category_medium")
+    labels = lookup.require_unique(wh.dimension("congestion"), "congestion_label")
     categories = new("commercial_rsb", "created_at")
     # a parent has the observation time of its categories
     first_day = categories.agg(F.min(F.to_date("observed_at"))).first()[0]
@@ -152,18 +178,19 @@ def build_marts(wh: Warehouse, run_ts: dt.datetime, full_refresh: bool = False,
             marts.stg_commercial(wh.source("commercial")), areas, target("commercial")
         ),
         "commercial_rsb": marts.fact_commercial_rsb(
-            marts.stg_commercial_rsb(categories, parents), wh.dimension("category"), target("commercial_rsb")
+            marts.stg_commercial_rsb(categories, parents), pairs, target("commercial_rsb")
         ),
         "population": marts.fact_population(
             marts.stg_population(wh.source("population")),
             areas,
-            wh.dimension("congestion"),
+            labels,
             run_ts,
             target("population"),
         ),
         # the newest load of an observation is among the new ones, if there are any
         "transport": marts.fact_transport(
             *[marts.stg_transit(new(f.label, "source_created_at", "transport")) for f in (c.BUS, c.SUBWAY)],
+            areas,
             run_ts,
             target("transport"),
         ),

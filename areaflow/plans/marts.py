@@ -114,23 +114,22 @@ def dim_event(stg: DataFrame, run_ts: dt.datetime, target: DataFrame | None = No
     A free event and one of unknown price share an id; the known price is kept.
     """
     fresh = incremental.since(stg, target, F.col("created_at"), "source_created_at")
-    # The id fixes the texts and dates, so they can be grouping keys; what may
-    # vary under one id is fixed-width, which keeps this a hash aggregate.
-    varying = ["longitude", "latitude", "is_paid"]
-    fixed = [a for a in EVENT_ATTRIBUTES if a not in varying]
+    # texts of different events can join to one id, so one whole row is taken; a known price sorts last
+    order = ["is_paid", *[a for a in EVENT_ATTRIBUTES if a != "is_paid"]]
     events = (
         _event_attributes(fresh)
-        .groupBy("event_id", *fixed)
-        .agg(*[F.max(v).alias(v) for v in varying], F.max("created_at").alias("source_created_at"))
+        .groupBy("event_id")
+        .agg(F.max(F.struct(*order)).alias("row"), F.max("created_at").alias("source_created_at"))
     )
-    return events.select("event_id", *EVENT_ATTRIBUTES, clock.wall(run_ts).alias("created_at"), "source_created_at")
+    attributes = [F.col(f"row.{a}").alias(a) for a in EVENT_ATTRIBUTES]
+    return events.select("event_id", *attributes, clock.wall(run_ts).alias("created_at"), "source_created_at")
 
 
 def fact_event(
     stg: DataFrame, events: DataFrame, areas: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None
 ) -> DataFrame:
     """One row per event, area and observation; unmatched events are dropped."""
-    fresh = incremental.since(stg, target, F.col("created_at"), "source_created_at")
+    fresh = incremental.from_mark(stg, target, F.col("created_at"), "source_created_at")
     keyed = _event_attributes(fresh).select(
         "event_id", "area_code", "event_period", "observed_at", F.col("created_at").alias("source_created_at")
     )
@@ -156,7 +155,7 @@ def fact_event(
 
 
 def fact_commercial(stg: DataFrame, areas: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    fresh = incremental.since(stg, target, F.col("created_at"), "created_at")
+    fresh = incremental.from_mark(stg, target, F.col("created_at"), "created_at")
     payments = [F.col(n).cast("int").alias(n) for n in _names(c.COMMERCIAL_FIELDS) if n.startswith(("total", "payment"))]
     ratios = [F.col(n).cast("decimal(5,2)").alias(n) for n in _names(c.COMMERCIAL_FIELDS) if n.endswith("_ratio")]
     return _with_area(fresh, areas).select(
@@ -171,7 +170,7 @@ def fact_commercial(stg: DataFrame, areas: DataFrame, target: DataFrame | None =
 
 
 def fact_commercial_rsb(stg: DataFrame, categories: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    fresh = incremental.since(stg, target, F.col("created_at"), "created_at")
+    fresh = incremental.from_mark(stg, target, F.col("created_at"), "created_at")
     pair = {"category_large": "category_large", "category_medium": "category_medium"}
     placed = lookup.lookup(fresh, categories, pair, {"category_id": "category_id"})
     row_id = keys.surrogate_key(F.col("commercial_id"), F.col("source_id"))
@@ -191,7 +190,7 @@ def fact_commercial_rsb(stg: DataFrame, categories: DataFrame, target: DataFrame
 def fact_population(
     stg: DataFrame, areas: DataFrame, congestion: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None
 ) -> DataFrame:
-    fresh = incremental.since(stg, target, F.col("created_at"), "source_created_at")
+    fresh = incremental.from_mark(stg, target, F.col("created_at"), "source_created_at")
     labelled = lookup.lookup(
         fresh, congestion, {"congestion_label": "congestion_label"}, {"congestion_id": "congestion_id"}
     )
@@ -208,16 +207,16 @@ def fact_population(
 
 
 def fact_transport(
-    bus: DataFrame, subway: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None
+    bus: DataFrame, subway: DataFrame, areas: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None
 ) -> DataFrame:
-    """Both staged transit feeds under one key."""
+    """Both staged transit feeds under one key, with the area's number as in the other facts."""
     tagged = [
-        incremental.since(stg, target, F.col("created_at"), "source_created_at").withColumn(
+        incremental.from_mark(stg, target, F.col("created_at"), "source_created_at").withColumn(
             "transport_type", F.lit(feed.label)
         )
         for stg, feed in ((bus, c.BUS), (subway, c.SUBWAY))
     ]
-    both = tagged[0].unionByName(tagged[1])
+    both = _with_area(tagged[0].unionByName(tagged[1]), areas)
     counts = [n for n in _names(c.TRANSIT_STEMS) if n != "station_count_basis_month"]
     return both.select(
         keys.transit_key(F.col("observed_at"), F.col("area_code"), F.col("transport_type")).alias(
@@ -226,7 +225,8 @@ def fact_transport(
         "transport_type",
         "station_count_basis_month",
         *counts,
-        F.col("area_code").alias("area_id"),
+        F.col("area_id").cast("int").alias("area_id"),
+        "area_code",
         _minute().alias("time_key"),
         clock.wall(run_ts).alias("created_at"),
         F.col("created_at").alias("source_created_at"),

@@ -66,7 +66,7 @@ def fact_weather(spark, sf, docs=None):
 
 def fact_transport(spark, sf):
     bus, subway = (marts.stg_transit(roles.transit_loads(spark, sf, feed)) for feed in (c.BUS, c.SUBWAY))
-    return marts.fact_transport(bus, subway, RUN_TS)
+    return marts.fact_transport(bus, subway, roles.areas(spark, sf), RUN_TS)
 
 
 # --- SQL ----------------------------------------------------------------------------
@@ -135,9 +135,9 @@ fact_transport AS (
   SELECT strftime(observed_at, '%Y%m%d%H%M') || '-' || area_code || '-' || transport_type AS fact_transport_id,
     transport_type, station_count_basis_month,
     {", ".join(n for n in _names(c.TRANSIT_STEMS) if n != "station_count_basis_month")},
-    area_code AS area_id, {_KEY.format("observed_at")} AS time_key, {RUN} AS created_at,
+    area_id, area_code, {_KEY.format("observed_at")} AS time_key, {RUN} AS created_at,
     created_at AS source_created_at
-  FROM stg
+  FROM stg LEFT JOIN dim_area USING (area_code)
 )"""
 
 
@@ -249,7 +249,7 @@ def _(spark, sf):
     return fact_population(spark, sf)
 
 
-@query("d35_fact_transport", with_sql(TRANSIT_LOADS, FACT_TRANSPORT, select="SELECT * FROM fact_transport"))
+@query("d35_fact_transport", with_sql(TRANSIT_LOADS, AREAS, FACT_TRANSPORT, select="SELECT * FROM fact_transport"))
 def _(spark, sf):
     return fact_transport(spark, sf)
 
@@ -283,8 +283,8 @@ def _(spark, sf):
 @query(
     "d35_fact_transport_increment",
     with_sql(
-        TRANSIT_LOADS, FACT_TRANSPORT,
-        select="""SELECT * FROM fact_transport WHERE source_created_at > (
+        TRANSIT_LOADS, AREAS, FACT_TRANSPORT,
+        select="""SELECT * FROM fact_transport WHERE source_created_at >= (
             SELECT max(source_created_at) FROM fact_transport WHERE source_created_at < TIMESTAMP '2000-01-01')""",
     ),
 )
@@ -295,4 +295,4 @@ def _(spark, sf):
         loads = roles.transit_loads(spark, sf, feed)
         new = incremental.since_or_unknown(loads, built, F.col("created_at"), "source_created_at")
         staged.append(marts.stg_transit(new))
-    return marts.fact_transport(*staged, RUN_TS, built)
+    return marts.fact_transport(*staged, roles.areas(spark, sf), RUN_TS, built)

@@ -23,7 +23,7 @@ RUN = f"TIMESTAMP '{RUN_TS}'"
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the number in their properties as ``k``."""
-    events = session.spread(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
@@ -391,9 +391,12 @@ dim_congestion AS (
 
 # --- transit loads with repeated observations -----------------------------------
 
-# Twenty years of minutes: larger order keys reuse minutes instead of leaving
-# the calendar.
+# Twenty years of minutes; an order key beyond them counts on in other areas, so
+# that different orders never share an observation.
 _MINUTES = 10512000
+_AREA = f"(l_linenumber + 10 * CAST(floor(l_orderkey / {_MINUTES}) AS INT))"
+_AREA_CODE = f"format_string('POI%03d', CAST({_AREA} AS INT))"
+_AREA_CODE_SQL = f"printf('POI%03d', l_linenumber + 10 * (l_orderkey // {_MINUTES}))"
 
 
 def transit_loads(spark: SparkSession, sf_dir: str, feed: c.Transit) -> DataFrame:
@@ -402,7 +405,7 @@ def transit_loads(spark: SparkSession, sf_dir: str, feed: c.Transit) -> DataFram
     own = table(spark, sf_dir, "lineitem").where(status == "O" if feed == c.BUS else status != "O")
     counts = [f"CAST(l_quantity AS INT) + {i} AS {f.column}" for i, f in enumerate(c.TRANSIT_STEMS[:-2])]
     loads = own.selectExpr(
-        "'POI' || CAST(l_linenumber AS STRING) AS area_code",
+        f"{_AREA_CODE} AS area_code",
         "'line ' || CAST(l_linenumber AS STRING) AS area_name",
         *counts,
         "CAST(l_suppkey AS INT) AS station_count",
@@ -421,9 +424,9 @@ _TIES = ", ".join(f"{f.column} DESC" for f in c.TRANSIT_STEMS)
 TRANSIT_LOADS = f"""
 loads AS (
   SELECT CASE WHEN l_linestatus = 'O' THEN 'bus' ELSE 'subway' END AS transport_type,
-    md5('POI' || CAST(l_linenumber AS VARCHAR) || '_' || strftime(
+    md5({_AREA_CODE_SQL} || '_' || strftime(
       TIMESTAMP '2000-01-01' + to_minutes(CAST(l_orderkey % {_MINUTES} AS INTEGER)), '%Y-%m-%d %H:%M:%S')) AS source_id,
-    'POI' || CAST(l_linenumber AS VARCHAR) AS area_code, 'line ' || CAST(l_linenumber AS VARCHAR) AS area_name,
+    {_AREA_CODE_SQL} AS area_code, 'line ' || CAST(l_linenumber AS VARCHAR) AS area_name,
     {_COUNTS},
     CAST(l_suppkey AS INTEGER) AS station_count,
     CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS station_count_basis_month, l_shipdate AS created_at,

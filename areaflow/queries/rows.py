@@ -429,16 +429,18 @@ def _(spark, sf):
 
 
 def _renamed(spark, sf, prefix):
-    """Quantities as prefixed text fields, selected back by template."""
-    fields = [f._replace(raw=f"{prefix}_{f.raw}") for f in c.TRANSIT_STEMS[:4]]
+    """Quantities, and the ship month, as prefixed text fields, selected back by template."""
+    fields = [f._replace(raw=f"{prefix}_{f.raw}") for f in c.TRANSIT_STEMS]
     items = table(spark, sf, "lineitem")
-    payload = F.struct(
-        *[(F.col("l_quantity").cast("int") + i).cast("string").alias(f.raw) for i, f in enumerate(fields)]
-    )
+    numbers = [(F.col("l_quantity").cast("int") + i).cast("string").alias(f.raw) for i, f in enumerate(fields[:-1])]
+    payload = F.struct(*numbers, F.date_format("l_shipdate", "yyyyMM").alias(fields[-1].raw))
     return items.withColumn("payload", payload).select(*_LINE, "l_partkey", *conform.project("payload", fields))
 
 
-_TEMPLATED = ", ".join(f"CAST(l_quantity AS INTEGER) + {i} AS {f.column}" for i, f in enumerate(c.TRANSIT_STEMS[:4]))
+_TEMPLATED = ", ".join(
+    [f"CAST(l_quantity AS INTEGER) + {i} AS {f.column}" for i, f in enumerate(c.TRANSIT_STEMS[:-1])]
+    + [f"CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS {c.TRANSIT_STEMS[-1].column}"]
+)
 
 
 @query("p6_templated_rename", f"SELECT l_orderkey, l_linenumber, l_partkey, {_TEMPLATED} FROM lineitem")

@@ -233,9 +233,10 @@ def _(spark, sf):
     staged = [marts.stg_transit(roles.transit_loads(spark, sf, feed)) for feed in (c.BUS, c.SUBWAY)]
     # one calendar quarter per partition keeps the folders few for minutes over decades
     quarter = F.to_date(F.date_trunc("quarter", F.try_to_timestamp(F.col("time_key").cast("string"), F.lit("yyyyMMddHHmm"))))
-    fact = marts.fact_transport(*staged, RUN_TS).withColumn(sinks.DATE, quarter)
+    areas = roles.areas(spark, sf)
+    fact = marts.fact_transport(*staged, areas, RUN_TS).withColumn(sinks.DATE, quarter)
     sinks.write_partitions(fact.where("source_created_at < timestamp_ntz'1999-01-01 00:00:00'"), path, [sinks.DATE])
     built = spark.read.parquet(path)
-    increment = marts.fact_transport(*staged, RUN_TS, built).withColumn(sinks.DATE, quarter)
+    increment = marts.fact_transport(*staged, areas, RUN_TS, built).withColumn(sinks.DATE, quarter)
     sinks.upsert(increment, path, ["fact_transport_id"])
     return spark.read.parquet(path).select("fact_transport_id", "station_count", "source_created_at")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="areaflow-")
     return os.path.join(base, "areaflow", f"{label}-{uuid.uuid4().hex}")
@@ -62,13 +63,3 @@ def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal narrow rows out before costly expressions when splits are fewer than cores.
-
-    A large input has more splits than cores and is left as it is.  Only the
-    planned split count is asked for; no job runs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -22,6 +22,12 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths a pattern names; meant for folders of one load, of which there are few."""
+    fs, p = _fs(spark, pattern)
+    return [str(found.getPath()) for found in (fs.globStatus(p) or [])]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

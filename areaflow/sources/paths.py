@@ -20,6 +20,13 @@ def hourly_globs(base: str, start: dt.datetime, end: dt.datetime, inclusive: boo
     return [f"{base}/{h:%Y%m%d}/{h:%H}*.json" for h in hours]
 
 
+def day_folders(base: str, start: dt.datetime, end: dt.datetime) -> list[str]:
+    """The folder of each day that a half-open window touches."""
+    last = end - dt.timedelta(microseconds=1)
+    days = range((last.date() - start.date()).days + 1)
+    return [f"{base}/{start.date() + dt.timedelta(days=i):%Y%m%d}" for i in days]
+
+
 def with_key_parts(df: DataFrame, path: Column) -> DataFrame:
     """Add ``file_ts``, ``file_hhmm`` and ``file_area_id``; NULL on a bad key."""
     ymd, hhmm, area = (F.nullif(F.regexp_extract(path, contracts.RAW_KEY, i), F.lit("")) for i in (1, 2, 3))

@@ -33,17 +33,16 @@ def window(
     end: dt.datetime,
     multiline: bool = False,
 ) -> DataFrame:
-    """Documents of a half-open file window; hours without files are no error."""
-    first_hour = start.replace(minute=0, second=0, microsecond=0)
-    globs = paths.hourly_globs(base, first_hour, end)
-    if len(globs) > 48:
-        # a long backfill lists whole days; the key filter below cuts the ends
-        globs = sorted({f"{glob.rsplit('/', 1)[0]}/*.json" for glob in globs})
-    globs = [g for g in globs if files.matches(spark, g)]
-    if not globs:
+    """Documents of a half-open file window; days without files are no error.
+
+    Every window reads its day folders; the key filter, applied while files are
+    listed, leaves those of other minutes unopened.
+    """
+    folders = [f for f in paths.day_folders(base, start, end) if files.exists(spark, f)]
+    if not folders:
         empty = spark.createDataFrame([], contracts.RAW_DOCUMENT).withColumn("path", F.lit(None).cast("string"))
         return paths.with_key_parts(empty, F.col("path"))
-    return documents(spark, globs, multiline).where(paths.in_window(F.col("file_ts"), start, end))
+    return documents(spark, folders, multiline).where(paths.in_window(F.col("file_ts"), start, end))
 
 
 def daily_slot(spark: SparkSession, base: str, day: dt.date, prefix: str = "003", multiline: bool = False) -> DataFrame:

@@ -56,6 +56,30 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str], keep_others: b
     _write(df, path, by, "overwrite", keep_others)
 
 
+def replace_load(df: DataFrame, path: str, load: str, by: Sequence[str]) -> None:
+    """Overwrite the partitions of one load; the last of ``by`` holds its name.
+
+    Partitions of the load that it no longer fills are removed after the others are in place.
+    """
+    spark = df.sparkSession
+    rows, scratch = session.staged(df, "load")
+    try:
+        before = files.matching(spark, "/".join([path, *["*"] * (len(by) - 1), f"{by[-1]}={load}"]))
+        if not (rows.isEmpty() and files.exists(spark, path)):
+            _write(rows, path, by, "overwrite", True)
+        # one value per calendar day of the window, or none
+        filled = {"/".join(_folder(c, v) for c, v in row.asDict().items()) for row in rows.select(*by).distinct().collect()}
+        for folder in before:
+            if "/".join(folder.rsplit("/", len(by))[1:]) not in filled:
+                files.remove(spark, folder)
+    finally:
+        files.remove(spark, scratch)
+
+
+def _folder(column: str, value) -> str:
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
 def append(df: DataFrame, path: str, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> None:
     """Append, optionally through an explicit column list."""
     _write(df.select(*columns) if columns else df, path, by, "append", False)
@@ -141,6 +165,32 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], by: str | None = DA
     _change(path, batch, by, lambda target, b: incremental.upsert(target, b, keys), unique=keys)
 
 
+def upsert_newest(
+    batch: DataFrame, path: str, keys: Sequence[str], newest: str, by: str | None = DATE
+) -> None:
+    """Merge a batch by key, the newest version staying.  The key must determine the partition date."""
+    nothing = batch.limit(0)
+    newer = incremental.upsert_newest(nothing, batch, keys, newest)
+    _change(path, newer, by, lambda target, b: incremental.upsert_newest(target, b, keys, newest), unique=keys)
+
+
+def add_unknown(batch: DataFrame, path: str, keys: Sequence[str], by: str = DATE) -> None:
+    """Add the rows whose key the partitions of their dates lack."""
+    _change(path, batch, by, lambda target, b: incremental.insert_only(target, b, keys))
+
+
+def replace_units(batch: DataFrame, path: str, unit: str, by: str = DATE) -> None:
+    """Rows of the load units in the batch become the batch's, on whatever dates they were."""
+    units = batch.select(unit).distinct()
+    _change(
+        path,
+        batch,
+        by,
+        lambda target, b: target.join(b.select(unit).distinct(), unit, "left_anti").select(*target.columns).unionByName(b),
+        stale_days=lambda target: target.join(units, unit, "left_semi"),
+    )
+
+
 def insert_only(batch: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Append the rows whose key is new; nothing is rewritten."""
     spark = batch.sparkSession

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from areaflow import contracts, session
-from areaflow.sources import files, paths, sinks
+from areaflow import contracts
+from areaflow.sources import paths, sinks
 
 EVENT_TIME = "_event_time"
 
@@ -68,34 +68,40 @@ def run_available(
     return query
 
 
-def upsert_sink(path: str, keys: Sequence[str], by: str | None = sinks.DATE) -> Callable[[DataFrame, int], None]:
-    """Merge each micro-batch by key; replaying a batch changes nothing."""
+def upsert_sink(
+    path: str, keys: Sequence[str], newest: str, by: str | None = sinks.DATE
+) -> Callable[[DataFrame, int], None]:
+    """Merge each micro-batch by key: the newest version by ``newest`` stays.
+
+    Replaying a batch, or an older version arriving later, changes nothing.
+    """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        # one key may return after its state expired, within one batch too
-        sinks.upsert(batch.drop(EVENT_TIME).dropDuplicates(list(keys)), path, keys, by)
+        sinks.upsert_newest(batch.drop(EVENT_TIME), path, keys, newest, by)
 
     return merge
 
 
-def append_sink(path: str, by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
-    """Write each micro-batch into its own folder, so a replay replaces it."""
+def append_sink(path: str, keys: Sequence[str], by: str = sinks.DATE) -> Callable[[DataFrame, int], None]:
+    """Add the rows of each micro-batch whose key is not stored yet.
+
+    A key may return after its state expired, and a batch may be replayed.
+    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch.drop(EVENT_TIME).withColumn("batch_id", F.lit(batch_id))
-        sinks.write_partitions(tagged, path, ["batch_id", *by])
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        sinks.add_unknown(batch.drop(EVENT_TIME).dropDuplicates(list(keys)), path, keys, by)
 
     return write
 
 
-def replace_range_sink(path: str, observed_at: str, by: str = sinks.DATE) -> Callable[[DataFrame, int], None]:
-    """Late data by replacement: each micro-batch reloads the range it spans."""
+def replace_unit_sink(path: str, unit: str, by: str = sinks.DATE) -> Callable[[DataFrame, int], None]:
+    """Late data by replacement: a load unit that arrives again replaces all its rows.
+
+    A unit is what arrives whole in one micro-batch, such as a file's minute and
+    area.  A micro-batch as such is no unit: other rows of its time range stay.
+    """
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
-        rows, scratch = session.staged(batch.drop(EVENT_TIME), "micro-batch")
-        low, high = rows.agg(F.min(observed_at), F.max(observed_at)).first()
-        if low is not None:
-            sinks.replace_range(rows, path, observed_at, low, high, by=by)
-        files.remove(rows.sparkSession, scratch)
+        sinks.replace_units(batch.drop(EVENT_TIME), path, unit, by)
 
     return replace

@@ -131,33 +131,37 @@ def test_document_stream_equals_batch(spark, base, wh, tmp_path):
     out = str(tmp_path / "bus")
     docs = streams.document_stream(spark, base, files_per_trigger=3)
     bus = feeds.transit(docs, c.BUS, RUN).withColumn(sinks.DATE, F.to_date("observed_at"))
-    streams.run_available(bus, str(tmp_path / "cp"), streams.upsert_sink(out, ["source_id"]))
+    streams.run_available(bus, str(tmp_path / "cp"), streams.upsert_sink(out, ["source_id"], "created_at"))
     batches.load_night(wh, base, RUN)
     names = c.SOURCE_TABLES["bus"].names
     streamed = sorted(map(tuple, spark.read.parquet(out).select(*names).collect()), key=str)
     assert streamed == sorted(map(tuple, wh.source("bus").collect()), key=str)
     # nothing new: a second run adds nothing
-    streams.run_available(bus, str(tmp_path / "cp"), streams.upsert_sink(out, ["source_id"]))
+    streams.run_available(bus, str(tmp_path / "cp"), streams.upsert_sink(out, ["source_id"], "created_at"))
     assert spark.read.parquet(out).count() == len(streamed)
 
 
-def test_late_rows_replace(spark, tmp_path):
-    """A late reload of the same range takes the place of what was there."""
+def test_units_that_arrive_again_replace_themselves(spark, tmp_path):
+    """A corrected unit takes the place of what it held; rows of other units in its range stay."""
     folder, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     folder.mkdir()
+    schema = T.StructType([*_SCHEMA.fields, T.StructField("unit", T.StringType())])
 
     def drop(name, rows):
         (folder / name).write_text("\n".join(json.dumps(r) for r in rows))
 
     def run():
-        stream = streams.json_stream(spark, str(folder), _SCHEMA).withColumn(sinks.DATE, F.to_date("at"))
-        streams.run_available(stream, cp, streams.replace_range_sink(out, "at"))
+        stream = streams.json_stream(spark, str(folder), schema).withColumn(sinks.DATE, F.to_date("at"))
+        streams.run_available(stream, cp, streams.replace_unit_sink(out, "unit"))
 
-    drop("a.json", [{"id": 1, "at": "2025-07-05T10:00:00"}, {"id": 2, "at": "2025-07-05T11:00:00"}])
+    drop("a.json", [{"id": 1, "at": "2025-07-05T10:00:00", "unit": "x"}, {"id": 2, "at": "2025-07-06T11:00:00", "unit": "x"}])
     run()
-    drop("b.json", [{"id": 3, "at": "2025-07-05T10:30:00"}, {"id": 4, "at": "2025-07-05T11:30:00"}])
+    drop("b.json", [{"id": 3, "at": "2025-07-05T10:30:00", "unit": "y"}, {"id": 4, "at": "2025-07-07T11:30:00", "unit": "y"}])
     run()
-    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 3, 4]
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
+    drop("c.json", [{"id": 5, "at": "2025-07-05T10:01:00", "unit": "x"}])
+    run()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [3, 4, 5]
 
 
 def test_late_rows_drop_behind_the_watermark(spark, tmp_path):
@@ -169,7 +173,8 @@ def test_late_rows_drop_behind_the_watermark(spark, tmp_path):
         rows = [{"id": 1, "at": f"2025-07-05T{m}:00"} for m in minutes]
         (folder / name).write_text("\n".join(map(json.dumps, rows)))
         counted = streams.tumbling(streams.json_stream(spark, str(folder), _SCHEMA), "at", 5, "10 minutes")
-        streams.run_available(counted, cp, streams.append_sink(out))
+        counted = counted.withColumn(sinks.DATE, F.to_date("slot"))
+        streams.run_available(counted, cp, streams.append_sink(out, ["slot"]))
 
     run("a.json", "10:01", "10:02", "10:07", "12:00")
     run("b.json", "10:03", "12:30")
@@ -184,3 +189,77 @@ def test_document_load_ignores_bad_keys(spark, base, wh):
         json.dump(document(9, "20250705 2102"), f)
     batches.load_night(wh, base, RUN)
     assert wh.source("commercial").where("area_code = 'POI009'").count() == 0
+
+
+def test_windows_with_one_start_lose_nothing(spark, base, wh):
+    """A short window, the night that starts with it, and the short one again after a late document."""
+    start = dt.datetime(2025, 7, 5, 21)
+    short = start + dt.timedelta(minutes=5)
+    batches.load_window(wh, base, start, short, RUN)
+    assert counts(wh)["commercial"] == counts(wh)["population"] == 2
+    batches.load_night(wh, base, RUN)
+    night = {"commercial": 10, "commercial_rsb": 20, "population": 10, "weather": 10}
+    assert {n: counts(wh)[n] for n in night} == night
+    land(base, 3, "20250705 2103")
+    batches.load_window(wh, base, start, short, RUN)
+    more = {"commercial": 11, "commercial_rsb": 22, "population": 11, "weather": 11}
+    assert {n: counts(wh)[n] for n in more} == more
+    assert wh.history("commercial").count() == wh.history("population").count() == 11
+    # running everything once more changes nothing
+    batches.load_window(wh, base, start, short, RUN)
+    batches.load_night(wh, base, RUN)
+    assert {n: counts(wh)[n] for n in more} == more
+    assert wh.history("commercial").count() == 11
+
+
+def test_weather_of_a_later_file_survives_a_repeat(spark, base, wh):
+    start = dt.datetime(2025, 7, 5, 21)
+    land(base, 4, "20250705 2109", file_minute="20250705 2112")
+    batches.load_window(wh, base, start, start + dt.timedelta(minutes=10), RUN)
+    batches.load_window(wh, base, start + dt.timedelta(minutes=10), start + dt.timedelta(minutes=20), RUN)
+    before = counts(wh)["weather"]
+    batches.load_window(wh, base, start, start + dt.timedelta(minutes=10), RUN)
+    assert counts(wh)["weather"] == before == 3
+
+
+def test_second_load_with_the_same_clock_reaches_the_facts(spark, base, wh):
+    first, second = dt.datetime(2025, 7, 5, 21), dt.datetime(2025, 7, 6)
+    batches.load_window(wh, base, first, first + dt.timedelta(hours=1), RUN)
+    batches.build_marts(wh, RUN)
+    batches.load_window(wh, base, second, second + dt.timedelta(hours=1), RUN)
+    batches.build_marts(wh, RUN)
+    for fact, rows in {"commercial": 6, "commercial_rsb": 12, "population": 6, "transport": 12, "weather": 6}.items():
+        assert wh.existing("fact", fact).count() == rows, fact
+
+
+def test_documents_without_an_area_are_refused(spark, base, wh):
+    for minute in ("20250705 2101", "20250705 2102"):
+        bad = document(9, minute)
+        bad[c.AREA_CODE] = ""
+        land(base, 9, minute, bad)
+    batches.load_night(wh, base, RUN)
+    refused = spark.read.parquet(wh.path("refused", "documents"))
+    assert [r.reason for r in refused.collect()] == ["no area code"] * 2
+    batches.build_marts(wh, RUN)
+    assert wh.existing("fact", "commercial").count() == 10
+    transport = wh.existing("fact", "transport")
+    assert {(r.area_id, r.area_code) for r in transport.collect()} == {(1, "POI001"), (2, "POI002")}
+
+
+def test_repeated_dimension_key_is_refused(spark, base, wh):
+    areas = spark.createDataFrame([(1, "POI001"), (9, "POI001")], "area_id int, area_code string")
+    sinks.replace_prefix(areas, wh.path("dim", "area"))
+    batches.load_night(wh, base, RUN)
+    with pytest.raises(ValueError, match="duplicate keys"):
+        batches.build_marts(wh, RUN)
+
+
+def test_any_window_lists_by_day(spark, base):
+    """A window of minutes and one of a hundred days read by the same rule, and only their files."""
+    from areaflow.sources import raw
+
+    start = dt.datetime(2025, 7, 5, 21)
+    for end, found in ((start + dt.timedelta(minutes=5), 2), (start + dt.timedelta(days=100), 10)):
+        docs = raw.window(spark, base, start, end)
+        assert docs.count() == found
+        assert len({r.path for r in docs.select("path").collect()}) == found
