@@ -217,13 +217,13 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) ->
 
 def near_duplicates(
     vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
-    threshold: float = THRESHOLD,
+    threshold: float = THRESHOLD, tile: int = TILE,
 ) -> DataFrame:
     """Per row: ``vec_id, n_links, component_id, kept``."""
     usable = _usable(vectors, vec_id, embedding, label)
     classes = usable.groupBy("label", "x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"))
     classes, _ = session.staged(classes, "classes")
-    counted, edges = links(classes.select("id", "label", "x", "size"), threshold)
+    counted, edges = links(classes.select("id", "label", "x", "size"), threshold, tile)
     joined = components(edges)
     classes = classes.join(counted, "id", "left").join(joined, classes["id"] == joined["v"], "left").select(
         "label", "x", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),

@@ -183,16 +183,18 @@ class Transducer:
                 ends.append(b)
                 new.append(True)
 
-        def copy(a: int, b: int) -> None:
+        def copy(a: int, b: int, after_gap: bool) -> None:
             out.append(text[a:b])
             starts.extend(range(a, b))
             ends.extend(range(a + 1, b + 1))
-            new.extend([False] * (b - a))
+            new.extend([after_gap] * min(1, b - a) + [False] * (b - a - 1))
 
         at = 0
+        vanished = False  # what follows an invisible character counts as rewritten
         for m in self.rules.finditer(text):
-            copy(at, m.start())
+            copy(at, m.start(), vanished)
             at = m.end()
+            vanished = m.lastgroup == "char" and not self.chars.get(m.group(), m.group())
             if m.lastgroup == "char":
                 put(self.chars.get(m.group(), m.group()), *m.span())
             elif m.lastgroup == "run":
@@ -201,7 +203,7 @@ class Transducer:
                     put(shown, *part.span())
             else:
                 put({"at": "@", "dot": ".", "plus": "+"}[m.lastgroup], *m.span())
-        copy(at, len(text))
+        copy(at, len(text), vanished)
         return "".join(out), starts, ends, new
 
 

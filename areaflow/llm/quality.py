@@ -162,6 +162,7 @@ def train(
     own = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
     # the chosen rows are bounded by a parameter, so sending them to every task is safe
     found = own.join(F.broadcast(chosen), "doc_id").select("doc_id", windows(F.col("text")).alias("pieces"), "label")
+    # rows that repeat an id may be many; the first ones do
     bounded = found.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "pieces").limit(rows).collect()
     return fit([(row["pieces"], row["label"]) for row in bounded])
 
