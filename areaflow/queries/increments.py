@@ -41,6 +41,29 @@ def _(spark, sf):
     return incremental.since(batch, target, F.col("o_orderdate"), "o_orderdate")
 
 
+@query("f7_same_clock", f"SELECT {_COLUMNS} FROM orders WHERE {_OLD}")
+def _(spark, sf):
+    """Two loads share the newest clock; the second, built after the first, still arrives."""
+    target, _batch = _split(spark, sf)
+    newest = F.col("o_orderdate") == clock.wall(_CUT - dt.timedelta(days=1))
+    second = newest & (F.col("o_orderstatus") == "F")
+    built = target.where(~second)
+    return incremental.upsert(built, incremental.from_mark(target, built, F.col("o_orderdate"), "o_orderdate"), ["o_orderkey"])
+
+
+@query(
+    "m1_newest_version_stays",
+    f"""SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderpriority = '2-HIGH' THEN 3 ELSE 2 END AS version
+        FROM orders""",
+)
+def _(spark, sf):
+    """A batch with a newer version of some rows and an older one of all."""
+    stored = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.lit(2).alias("version"))
+    newer = stored.where("o_orderpriority = '2-HIGH'").withColumn("version", F.lit(3))
+    batch = newer.unionByName(stored.withColumn("version", F.lit(1)))
+    return incremental.upsert_newest(stored, batch, ["o_orderkey"], "version")
+
+
 @query(
     "f8_since_event_time",
     f"""SELECT o_orderkey, o_orderdate FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m%d%H%M') AS BIGINT) >

@@ -425,6 +425,28 @@ def _(spark, sf):
     )
 
 
+@query(
+    "j1_duplicate_dimension_keys",
+    """SELECT nullif(n_regionkey, 0) AS n_regionkey, count(*) AS copies FROM nation
+       WHERE n_regionkey <> 0 GROUP BY n_regionkey HAVING count(*) > 1""",
+)
+def _(spark, sf):
+    """What a build refuses a dimension for; NULL keys match nothing and may repeat."""
+    keyed = table(spark, sf, "nation").withColumn("n_regionkey", F.nullif("n_regionkey", F.lit(0)))
+    return lookup.duplicate_keys(keyed, "n_regionkey")
+
+
+@query(
+    "d30_extreme_coordinates",
+    """SELECT event_id, CASE WHEN event_type <> 'click' THEN CAST(CAST(value AS DECIMAL(18,7)) AS VARCHAR) END AS shown
+       FROM events""",
+)
+def _(spark, sf):
+    """A coordinate that fits no place on earth becomes NULL in the key instead of stopping the build."""
+    value = F.when(F.col("event_type") == "click", F.lit(1e300)).otherwise(F.col("value"))
+    return table(spark, sf, "events").select("event_id", keys.coordinate_text(value).alias("shown"))
+
+
 # --- projections -----------------------------------------------------------------------
 
 
