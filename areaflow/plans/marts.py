@@ -114,15 +114,19 @@ def dim_event(stg: DataFrame, run_ts: dt.datetime, target: DataFrame | None = No
     A free event and one of unknown price share an id; the known price is kept.
     """
     fresh = incremental.since(stg, target, F.col("created_at"), "source_created_at")
-    # texts of different events can join to one id, so one whole row is taken; a known price sorts last
-    order = ["is_paid", *[a for a in EVENT_ATTRIBUTES if a != "is_paid"]]
+    # The id mostly fixes the texts and dates, so they can be grouping keys; what may
+    # vary under one id is fixed-width, which keeps this a hash aggregate.
+    varying = ["longitude", "latitude", "is_paid"]
+    fixed = [a for a in EVENT_ATTRIBUTES if a not in varying]
     events = (
         _event_attributes(fresh)
-        .groupBy("event_id")
-        .agg(F.max(F.struct(*order)).alias("row"), F.max("created_at").alias("source_created_at"))
+        .groupBy("event_id", *fixed)
+        .agg(*[F.max(v).alias(v) for v in varying], F.max("created_at").alias("source_created_at"))
     )
-    attributes = [F.col(f"row.{a}").alias(a) for a in EVENT_ATTRIBUTES]
-    return events.select("event_id", *attributes, clock.wall(run_ts).alias("created_at"), "source_created_at")
+    # texts of different events can join to one id; one whole row of such stays
+    order = [F.col(a).desc_nulls_last() for a in ["is_paid", *fixed, "longitude", "latitude"]]
+    one_each = dedupe.ranked_first(events, ["event_id"], order)
+    return one_each.select("event_id", *EVENT_ATTRIBUTES, clock.wall(run_ts).alias("created_at"), "source_created_at")
 
 
 def fact_event(
