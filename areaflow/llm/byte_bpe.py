@@ -1,13 +1,18 @@
 """Byte-level BPE in Spark's own functions.
 
-A word's bytes are an array of pieces, carried as one character per byte.  A fold
-merges, step by step, the adjacent pair of lowest rank, the leftmost of equals,
-until no pair has a rank; ranks come from a literal map, cut into buckets by hash
-so that a lookup stays constant.  The distinct words of the corpus that are
-frequent enough to be among the ``WORDS`` most frequent are folded once and their
-ids put into a second literal map; any other word is folded where it stands.
-Which words are in the map changes the speed, never the ids.  Decoding looks up
-the piece of every id and concatenates.
+A word's bytes become a string with one character per piece, the character that
+stands for the piece's id.  A fold merges, step by step, the adjacent pair of
+lowest rank, the leftmost of equals, until no pair has a rank; a literal map, cut
+into buckets by hash so that a lookup stays constant, gives the merged piece of a
+pair, and as ids are ranks, the least character is the lowest rank.  Of the
+corpus's distinct words the ``WORDS`` most frequent are folded once and put into a
+second literal map; any other word is folded where it stands.  Which words are in
+the map changes the speed, never the ids.  Decoding looks up the bytes of every id
+and concatenates.
+
+A step merges all places of its pair.  That equals one place at a time because a
+merge never makes a pair of a lower rank: a token's rank is above those of the two
+tokens it was made from.
 
 Defined results: a null text counts as empty and has no ids; words of any length
 are folded, at a cost that grows with the square of a single word's length; rows
@@ -18,6 +23,7 @@ rows; other columns are not read; an id without a piece is an error.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -26,102 +32,155 @@ from pyspark.sql import functions as F
 from areaflow import session
 
 #: Distinct words folded in advance at most; this bounds the literal map.
-WORDS = 1 << 16
-_BUCKETS = 1 << 14
+WORDS = 1 << 18
+#: Longer words in the corpus are never in the map, which bounds its bytes as well.
+WORD_CHARS = 64
 _BYTES = "ISO-8859-1"
+#: Ids are carried as characters from here on: no surrogates, and in the ids' order.
+_FIRST = 0x10000
 
 
 def _bucket(key: str, buckets: int) -> int:
-    """Where Spark's ``pmod(xxhash64(key), buckets)`` puts a key, for a power of two."""
+    """The low bits of Spark's ``xxhash64(key)``; ``buckets`` is a power of two."""
     return xxhash.xxh64_intdigest(key.encode(), seed=42) % buckets
 
 
-def _literal_map(entries: dict[str, object], kind: str) -> Column:
-    """A constant array of small maps; ``_look_up`` finds the right one by hash."""
-    buckets: list[dict[str, object]] = [{} for _ in range(_BUCKETS)]
-    for key, value in entries.items():
-        buckets[_bucket(key, _BUCKETS)][key] = value
-    text = json.dumps(buckets, separators=(",", ":"))
-    return F.from_json(F.lit(text), f"array<map<string,{kind}>>")
-
-
-def _look_up(table: Column, key: Column) -> Column:
-    own = F.get(table, F.pmod(F.xxhash64(key), F.lit(_BUCKETS)).cast("int"))
-    return F.try_element_at(own, key)
+class LiteralMap:
+    """A constant array of small maps; a key's hash tells which of them may hold it.
+
+    An expression should name the constant once and bind it: planning costs grow
+    with every copy of it.
+    """
+
+    def __init__(self, entries: dict[str, str]):
+        self.size = 1 << max(0, (len(entries) // 2).bit_length())
+        buckets: list[dict[str, str]] = [{} for _ in range(self.size)]
+        for key, value in entries.items():
+            buckets[_bucket(key, self.size)][key] = value
+        text = json.dumps(buckets, separators=(",", ":"), ensure_ascii=False)
+        self.buckets = F.from_json(F.lit(text), "array<map<string,string>>")
+
+    def get(self, buckets: Column, key: Column) -> Column:
+        """The key's value or NULL; ``buckets`` is what the constant is bound to."""
+        own = F.get(buckets, F.xxhash64(key).bitwiseAND(F.lit(self.size - 1)).cast("int"))
+        return F.try_element_at(own, key)
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _merges(ranks: dict[bytes, int]) -> dict[str, str]:
+    """For every two tokens that make a third, both characters and the third's."""
+    found = {}
+    for token, i in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                found[chr(_FIRST + left) + chr(_FIRST + right)] = chr(_FIRST + i)
+    return found
+
+
+def _unreachable(ranks: dict[bytes, int], merges: dict[str, str]) -> dict[str, str]:
+    """Tokens that no merges lead to; as whole words they are themselves all the same."""
+    found = {}
+    for token, i in ranks.items():
+        parts = [chr(_FIRST + ranks[token[k : k + 1]]) for k in range(len(token))]
+        while len(parts) > 1:
+            pairs = [merges.get(a + b, "\U0010ffff") for a, b in zip(parts, parts[1:], strict=False)]
+            best = min(pairs)
+            if best == "\U0010ffff":
+                break
+            at = pairs.index(best)
+            parts[at : at + 2] = [best]
+        if len(parts) > 1:
+            found[token.decode(errors="replace")] = chr(_FIRST + i)
+    return found
 
 
 class Vocabulary:
-    """``ranks``: bytes of each token and its id, every single byte among them; ``pattern`` splits texts."""
+    """``ranks``: bytes of each token and its id, every single byte among them; ``pattern`` splits texts.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, list[int]] | None = None):
-        self.ranks = _literal_map({token.decode(_BYTES): i for token, i in ranks.items()}, "int")
-        top = max(ranks.values()) + 1
-        pieces: list[str | None] = [None] * top
+    ``known`` has words and their ids as characters.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, str] | None = None):
+        merges = _merges(ranks)
+        self.merges = LiteralMap(merges)
+        self.known = LiteralMap(_unreachable(ranks, merges) | (known or {}))
+        pieces: list[str | None] = [None] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             pieces[i] = token.decode(_BYTES)
-        self.pieces = F.from_json(F.lit(json.dumps(pieces, separators=(",", ":"))), "array<string>")
+        self.pieces = F.from_json(F.lit(json.dumps(pieces, separators=(",", ":"), ensure_ascii=False)), "array<string>")
         self.pattern = f"(?U){pattern}"  # Unicode white space, as in the tokenizer's own pattern
-        self.known = None if known is None else _literal_map(known, "array<int>")
+        every = bytes(range(256))
+        self.bytes = every.decode(_BYTES), "".join(chr(_FIRST + ranks[every[k : k + 1]]) for k in range(256))
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
-    def rank(self, piece: Column) -> Column:
-        return _look_up(self.ranks, piece)
-
-    def ids_of_word(self, word: Column) -> Column:
-        """The ids of one word: itself if it is a token, else its bytes after all merges."""
+    def _folded(self, merges: Column, word: Column) -> Column:
+        """A character for each piece after all merges."""
         raw = F.decode(F.encode(word, "UTF-8"), _BYTES)
-        whole = self.rank(raw)
-        parts = F.split(raw, "")
-        ranks = F.zip_with(parts, F.slice(parts, 2, F.length(raw)), lambda a, b: self.rank(F.concat(a, b)))
-        merges = F.sequence(F.lit(1), F.length(raw) - 1)
-        start = F.struct(parts.alias("parts"), ranks.alias("ranks"))
-        folded = F.aggregate(
-            merges, start, lambda s, _: self._merged(s), lambda s: F.transform(s["parts"], lambda p: self.rank(p))
-        )
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)
-
-    def _merged(self, s: Column) -> Column:
-        """One merge; the state stays as it is where no pair has a rank."""
-        parts, ranks = s["parts"], s["ranks"]
-        n = F.size(parts)
-        # place of the lowest rank, 1 for the first pair
-        at = F.array_position(ranks, F.array_min(ranks)).cast("int")
-        new = F.concat(F.get(parts, at - 1), F.get(parts, at))
-        beside = F.transform(
-            F.array(F.concat(F.get(parts, at - 2), new), F.concat(new, F.get(parts, at + 1))), lambda p: self.rank(p)
-        )
-        some = F.greatest(n - at - 1, F.lit(0))
-        merged = F.struct(
-            F.concat(F.slice(parts, 1, at - 1), F.array(new), F.slice(parts, at + 2, some)).alias("parts"),
-            F.concat(
-                F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))),
-                F.when(at > 1, beside).otherwise(F.slice(beside, 2, 1)),
-                F.slice(ranks, at + 2, some),
-            ).alias("ranks"),
+        steps = F.sequence(F.lit(1), F.greatest(F.length(raw) - 1, F.lit(1)))
+        return F.aggregate(steps, F.translate(raw, *self.bytes), lambda s, _: self._merged(merges, s))
+
+    def _merged(self, merges: Column, state: Column) -> Column:
+        """One step; the state stays as it is where no pair has a rank."""
+
+        n = F.length(state)
+        # pairs of a long word come from one split of it: a character's place is costly to find far inside
+        short = F.transform(
+            F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
+            lambda i: self.merges.get(merges, F.substring(state, i, F.lit(2))),
         )
-        return F.when(F.array_min(ranks).isNull(), s).otherwise(merged)
+        chars = F.split(state, "")
+        long = F.zip_with(chars, F.slice(chars, 2, n), lambda a, b: self.merges.get(merges, F.concat(a, b)))
 
-    def encode(self, text: Column) -> Column:
-        """``array<int>``: the ids of a whole text."""
+        def step(made: Column) -> Column:
+            def put(least: Column) -> Column:
+                pair = F.substring(state, F.array_position(made, least).cast("int"), F.lit(2))
+                return F.when(least.isNull(), state).otherwise(F.replace(state, pair, least))
 
-        def ids(word: Column) -> Column:
-            folded = self.ids_of_word(word)
-            return folded if self.known is None else F.coalesce(_look_up(self.known, word), folded)
+            return _bound(F.array_min(made), put)
 
-        return F.flatten(F.transform(self.words(text), ids))
+        return _bound(F.when(n > 100, long).otherwise(short), step)
+
+    def _coded(self, merges: Column, known: Column, word: Column) -> Column:
+        return F.coalesce(self.known.get(known, word), self._folded(merges, word))
+
+    def _with_maps(self, body: Callable[[Column, Column], Column]) -> Column:
+        return _bound(self.merges.buckets, lambda m: _bound(self.known.buckets, lambda k: body(m, k)))
+
+    def code_word(self, word: Column) -> Column:
+        """The ids of one word as characters."""
+        return self._with_maps(lambda m, k: self._coded(m, k, word))
+
+    def code(self, text: Column) -> Column:
+        """The ids of a whole text as characters, for :func:`ids_of`."""
+        words = self.words(text)
+        return self._with_maps(
+            lambda m, k: F.array_join(F.transform(words, lambda w: self._coded(m, k, w)), "")
+        )
 
     def decode(self, ids: Column) -> Column:
-        """``binary``: the pieces of the ids, one after the other."""
+        """``binary``: the bytes of the ids of an ``array<int>``, one after the other."""
         joined = F.array_join(F.transform(ids, lambda i: F.element_at(self.pieces, i + 1)), "")
         return F.encode(joined, _BYTES)
 
 
+def ids_of(code: Column) -> Column:
+    """``array<int>`` from ids as characters."""
+    ids = F.transform(F.split(code, ""), lambda c: F.ascii(c) - F.lit(_FIRST))
+    return F.when(code == "", F.array().cast("array<int>")).otherwise(ids)
+
+
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", words: int = WORDS) -> DataFrame:
     """``word``: those above the count that at most ``words`` distinct words reach; counted over all texts."""
     counted = docs.select(F.explode(vocabulary.words(docs[text])).alias("word")).groupBy("word").count()
-    repeated, _ = session.staged(counted.filter("count > 1"), "words")
+    small = counted.filter((F.col("count") > 1) & (F.length("word") <= WORD_CHARS))
+    repeated, _ = session.staged(small, "words")
     # one row per distinct count, at most about the square root of twice the corpus
     sizes = repeated.groupBy("count").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("count"))
     least, total = None, 0
@@ -139,11 +198,12 @@ def learned(
     """A vocabulary that knows the corpus's frequent words' ids."""
     plain = Vocabulary(ranks, pattern)
     frequent = frequent_words(docs, plain, text, words)
-    folded = frequent.repartition(F.col("word")).select("word", plain.ids_of_word(F.col("word")).alias("ids"))
-    known = {row["word"]: list(row["ids"]) for row in folded.toLocalIterator()}
+    folded = frequent.repartition(F.col("word")).select("word", plain.code_word(F.col("word")).alias("code"))
+    known = {row["word"]: row["code"] for row in folded.toLocalIterator()}
     return Vocabulary(ranks, pattern, known)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the id and ``ids``."""
-    return docs.select(docs[doc_id].alias("doc_id"), vocabulary.encode(docs[text]).alias("ids"))
+    coded = docs.select(docs[doc_id].alias("doc_id"), vocabulary.code(docs[text]).alias("code"))
+    return coded.select("doc_id", ids_of(F.col("code")).alias("ids"))
