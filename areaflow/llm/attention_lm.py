@@ -37,11 +37,11 @@ from areaflow.llm import texts
 from areaflow.llm.quality import windows as spread_windows
 
 #: Frequent words whose logarithms travel with the scoring tasks, at most.
-WORDS = 1 << 16
+WORDS = 1 << 18
 #: Training texts the layers are fitted on at most, and windows of characters taken from each.
 SAMPLE_ROWS, SAMPLE_WINDOWS, SAMPLE_CHARS = 2000, 4, 600
 
-CLASSES, WIDTH, HIDDEN = 48, 16, 32
+CLASSES, WIDTH, HIDDEN = 40, 16, 24
 #: Ids scored in a window, and ids before them that it also sees.
 SCORED, CONTEXT = 24, 8
 _SPAN = SCORED + CONTEXT
@@ -83,33 +83,39 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     return narrow.mapInArrow(task, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Subwords:
-    """Ids of words by a public rank file; a word is encoded with the space before it."""
+class Remembered(dict):
+    """Words and their ids as 32-bit numbers, encoded when first asked for; forgets all when full."""
 
-    #: Words remembered at once.
     KEPT = 200_000
 
+    def __init__(self, encoding):
+        self.encoding = encoding
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.KEPT:
+            self.clear()
+        found = self.encoding.encode_to_numpy(" " + word.decode(), disallowed_special=()).astype("<u4").tobytes()
+        self[word] = found
+        return found
+
+
+class Subwords:
+    """Ids of words by a public rank file; a word is encoded with the space before it."""
+
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import tiktoken
 
         self.encoding = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
         self.size = self.end + 1
-        self.known: dict[bytes, bytes] = {}
+        self.known = Remembered(self.encoding)
 
     def ids(self, word: bytes) -> bytes:
         """The word's ids as 32-bit numbers."""
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= self.KEPT:
-                self.known.clear()
-            found = self.encoding.encode_to_numpy(" " + word.decode(), disallowed_special=()).astype("<u4").tobytes()
-            self.known[word] = found
-        return found
+        return self.known[word]
 
     def document(self, words: list[bytes]) -> np.ndarray:
-        known, ids = self.known, self.ids
-        joined = b"".join([known.get(w) or ids(w) for w in words])
+        joined = b"".join(map(self.known.__getitem__, words))
         return np.r_[np.frombuffer(joined, "<u4").astype(np.int32), np.int32(self.end)]
 
 
@@ -363,7 +369,7 @@ class Model:
         h = (own[..., :d] + mixed[..., :d] / mixed[..., d:]).reshape(-1, d)
         g = h + np.maximum(h @ w1 + b1, 0) @ w2
         logits = g @ w3 + b3
-        np.clip(logits, -_LIMIT, _LIMIT, out=logits)
+        np.minimum(logits, _LIMIT, out=logits)
         wanted = np.maximum(targets, 0).ravel()
         np.exp(logits, out=logits)
         total = logits @ np.ones(CLASSES, np.float32)
@@ -375,8 +381,12 @@ class Model:
 def train(docs: DataFrame, words: DataFrame, n_docs: int, ranks: dict[bytes, int], pattern: str, text: str = "text") -> Model:
     """Layers from a bounded sample of ``docs``; shares from ``words``, the counts of all of them."""
     plain = F.coalesce(docs[text], F.lit(""))
-    chosen = docs.select(F.xxhash64(plain).alias("h"), spread_windows(plain, SAMPLE_WINDOWS, SAMPLE_CHARS).alias("p"))
-    sample = chosen.orderBy("h", "p").limit(SAMPLE_ROWS).collect()
+    # the hash up to which there are as many texts as wanted, then those texts' windows alone
+    hashed = docs.select(F.xxhash64(plain).alias("h"))
+    upto = hashed.orderBy("h").limit(SAMPLE_ROWS).agg(F.max("h")).first()[0]
+    chosen = docs.where(F.xxhash64(plain) <= F.lit(upto)) if upto is not None else docs.limit(0)
+    windows = chosen.select(spread_windows(plain, SAMPLE_WINDOWS, SAMPLE_CHARS).alias("p"))
+    sample = windows.distinct().orderBy("p").collect()  # copies count once, so no more than wanted
     subwords = Subwords(ranks, pattern)
     ids = [subwords.document(words_of(piece)) for row in sample for piece in row["p"]]
     ids = ids or [np.array([subwords.end], np.int32)]
@@ -402,12 +412,15 @@ def score(
         bytes(r["word"]): r["n"] for r in words.filter(F.col("n") >= least).toLocalIterator()
     }
     model = train(training, words, n_docs, ranks, pattern, text)
-    shared = context.broadcast((ranks, known, astuple(model)))
+    shared = context.broadcast({"sent": (ranks, known, astuple(model))})
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, known, parts = shared.value
-        subwords, own = Subwords(ranks, pattern), Model(*parts)
-        logs = {w: float(np.log10((n + _SMOOTH) / below)) for w, n in known.items()}
+        kept = shared.value
+        if "made" not in kept:  # a worker keeps it for its next tasks
+            ranks, known, parts = kept.pop("sent")
+            logs = {w: float(np.log10((n + _SMOOTH) / below)) for w, n in known.items()}
+            kept["made"] = Subwords(ranks, pattern), Model(*parts), logs
+        subwords, own, logs = kept["made"]
         end = float(np.log10((n_docs + _SMOOTH) / below))
         row = TaskContext.get().partitionId() << 40
         for piece in texts.pieces(batches, "text", 1 << 19):
@@ -415,7 +428,7 @@ def score(
             scores = own.scores([subwords.document(ws) for ws in lists])
             base, seen, rare = [], [], []
             for ws in lists:
-                found = [logs.get(w) for w in ws]
+                found = list(map(logs.get, ws))
                 other = [w for w, x in zip(ws, found, strict=True) if x is None] if None in found else []
                 some = [x for x in found if x is not None] if other else found
                 base.append(sum(some) + end)
