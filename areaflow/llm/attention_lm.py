@@ -5,8 +5,10 @@ unigram model of words, counted over all training texts.  The attention model
 predicts subword ids: from the ids before, one attention layer and one hidden
 layer give a distribution over classes; an id belongs to several classes in parts,
 and inside a class it has its share of all training texts' ids.  Layers and parts
-are trained in numpy on a bounded sample of windows, the counts come from the
-whole corpus.  Scoring cuts a document's ids
+start from a fit on a bounded sample and are then trained on every training text:
+each task goes over all windows of its texts, and the tasks' layers are averaged,
+an id's row by how often the task met the id.  Parts are summed over all texts,
+and the counts come from the whole corpus.  Scoring cuts a document's ids
 into windows that overlap by the context, each id being scored once, with batched
 masked attention over many windows at a time.
 
@@ -17,7 +19,8 @@ counts, so no table of all words has to fit anywhere.
 Defined results: a null text is an empty one, whose only token is the end; rows
 are independent, so repeated rows give repeated results, also with repeated or
 null ids; without training texts N and V are 0; an empty table gives no rows;
-other columns are not read.
+other columns are not read.  ``score`` depends on how the training texts are dealt
+to tasks; the other columns do not.
 """
 
 from __future__ import annotations
@@ -34,12 +37,13 @@ from pyspark.sql import functions as F
 
 from areaflow import session
 from areaflow.llm import texts
-from areaflow.llm.quality import windows as spread_windows
 
 #: Frequent words whose logarithms travel with the scoring tasks, at most.
 WORDS = 1 << 18
-#: Training texts the layers are fitted on at most, and windows of characters taken from each.
-SAMPLE_ROWS, SAMPLE_WINDOWS, SAMPLE_CHARS = 2000, 4, 600
+#: Training texts that give the layers their starting values at most, and characters taken from each.
+SAMPLE_ROWS, SAMPLE_CHARS = 2000, 2400
+#: Words of training texts for each task of the pass over all of them, about.
+TASK_WORDS = 3_000_000
 
 CLASSES, WIDTH, HIDDEN = 40, 16, 24
 #: Ids scored in a window, and ids before them that it also sees.
@@ -52,6 +56,8 @@ _REFRESH = 25
 #: Exponents are held below what single precision can take; the result stays a distribution.
 _LIMIT = np.float32(40)
 _SMOOTH = 0.1
+#: The pass over all texts: its rate at the start, steps after which that has halved, ids in a row of sums.
+_PASS_RATE, _PASS_HALF, _BLOCK_IDS = 0.003, 300, 16
 
 
 def words_of(text: str) -> list[bytes]:
@@ -378,21 +384,150 @@ class Model:
         return np.where(targets.ravel() >= 0, log, 0.0).reshape(targets.shape).sum(axis=1, dtype=np.float64)
 
 
-def train(docs: DataFrame, words: DataFrame, n_docs: int, ranks: dict[bytes, int], pattern: str, text: str = "text") -> Model:
-    """Layers from a bounded sample of ``docs``; shares from ``words``, the counts of all of them."""
+class Learner:
+    """One task's training: Adam over the windows it is given, where only the rows of ids it meets move."""
+
+    def __init__(self, m: Layers, held: np.ndarray, counts: np.ndarray, seed: int):
+        self.m = Layers(*(x.copy() for x in astuple(m)))
+        self.held, self.counts = held, counts
+        self.shares = _shares(held, counts)
+        self.met = np.zeros(len(held))  # inputs
+        self.gathered = np.zeros(held.shape)  # classes' parts in the targets
+        self.first = {n: np.zeros_like(x) for n, x in vars(self.m).items()}
+        self.second = {n: np.zeros_like(x) for n, x in vars(self.m).items()}
+        self.rng = np.random.default_rng(seed)
+        self.steps = self.seen = 0
+
+    def learn(self, ids: list[np.ndarray]) -> None:
+        """Once over all windows of these documents, in random order."""
+        inputs, targets = cut(ids, len(self.held) - 1)
+        order = self.rng.permutation(len(inputs))
+        for at in range(0, len(order), _BATCH):
+            chosen = order[at : at + _BATCH]
+            self._step(inputs[chosen], targets[chosen])
+
+    def _step(self, inputs: np.ndarray, targets: np.ndarray) -> None:
+        _, grads, parts = _gradients(self.m, inputs, targets, self.shares)
+        wanted = targets >= 0
+        np.add.at(self.gathered, targets[wanted], parts[wanted])
+        rows, times = np.unique(inputs[inputs >= 0], return_counts=True)
+        self.met[rows] += times
+        self.seen += int(wanted.sum())
+        self.steps += 1
+        rate = _PASS_RATE / (1 + self.steps / _PASS_HALF)
+        low, high = 1 - 0.9**self.steps, 1 - 0.99**self.steps
+        for n, x in vars(self.m).items():
+            at = rows if n == "emb" else slice(None)
+            first, second, grad = self.first[n], self.second[n], grads[n][at]
+            first[at] += 0.1 * (grad - first[at])
+            second[at] += 0.01 * (grad**2 - second[at])
+            x[at] -= (rate * (first[at] / low) / (np.sqrt(second[at] / high) + 1e-7)).astype(np.float32)
+        if self.steps % (4 * _REFRESH) == 0:
+            self.shares = _shares(_parts(self.gathered, self.held), self.counts)
+
+    def sums(self) -> Iterator[tuple[int, bytes]]:
+        """Rows to be added up over tasks: blocks of ids, and -1 for the layers without ids."""
+        if not self.seen:
+            return
+        table = np.c_[self.met, self.m.emb * self.met[:, None], self.gathered].astype(np.float32)
+        table = np.pad(table, ((0, -len(table) % _BLOCK_IDS), (0, 0))).reshape(-1, _BLOCK_IDS * table.shape[1])
+        for block in np.flatnonzero(table.any(axis=1)):
+            yield int(block), table[block].tobytes()
+        dense = np.concatenate([x.ravel() for n, x in vars(self.m).items() if n != "emb"])
+        yield -1, (np.r_[1, dense] * self.seen).astype(np.float32).tobytes()
+
+
+def _parts(gathered: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The classes' parts in each id; what was held before counts as two occurrences."""
+    table = gathered + 2 * before
+    return table / table.sum(axis=1, keepdims=True)
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, row in zip(batch.column("block").to_pylist(), batch.column("row").to_pylist(), strict=True):
+            own = np.frombuffer(row, np.float32)
+            if block in total:
+                total[block] += own
+            else:
+                total[block] = own.astype(np.float64)
+    columns = [pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, names=["block", "row"])
+
+
+def averaged(m: Layers, held: np.ndarray, sums: dict[int, np.ndarray]) -> tuple[Layers, np.ndarray]:
+    """Layers and parts from the sums of all tasks; what no task met stays as it was."""
+    if -1 not in sums:
+        return m, held
+    size, width = len(held), 1 + WIDTH + CLASSES
+    table = np.zeros((-(-size // _BLOCK_IDS), _BLOCK_IDS * width))
+    for block, row in sums.items():
+        if block >= 0:
+            table[block] = row
+    table = table.reshape(-1, width)[:size]
+    met, emb = table[:, 0] > 0, m.emb.copy()
+    emb[met] = table[met, 1 : 1 + WIDTH] / table[met, :1]
+    dense, at, layers = sums[-1][1:] / sums[-1][0], 0, [emb]
+    for n, x in vars(m).items():
+        if n != "emb":
+            layers.append(dense[at : at + x.size].reshape(x.shape).astype(np.float32))
+            at += x.size
+    return Layers(*layers), _parts(table[:, 1 + WIDTH :], held)
+
+
+def learn_all(
+    docs: DataFrame, m: Layers, held: np.ndarray, counts: np.ndarray, ranks: dict[bytes, int], pattern: str,
+    tasks: int, text: str = "text",
+) -> tuple[Layers, np.ndarray]:
+    """Layers and parts after one pass over all texts, in about so many tasks."""
+    shared = docs.sparkSession.sparkContext.broadcast((m, held.astype(np.float32), counts, ranks))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, held, counts, ranks = shared.value
+        subwords, learner = Subwords(ranks, pattern), Learner(m, held, counts, TaskContext.get().partitionId())
+        for piece in texts.pieces(batches, "text", 1 << 19):
+            learner.learn([subwords.document(words_of(s)) for s in texts.strings(piece.column("text"))])
+        rows = list(learner.sums())
+        columns = [pa.array([b for b, _ in rows], pa.int32()), pa.array([r for _, r in rows], pa.binary())]
+        whole = pa.RecordBatch.from_arrays(columns, names=["block", "row"])
+        for at in range(0, whole.num_rows, 1000):
+            yield whole.slice(at, 1000)
+
+    narrow = docs.select(docs[text].alias("text")).coalesce(tasks)
+    rows = narrow.mapInArrow(task, "block int, row binary").repartition("block")
+    found = rows.mapInArrow(_add_up, "block int, row binary").collect()
+    return averaged(m, held, {r["block"]: np.frombuffer(r["row"]) for r in found})
+
+
+def starting_texts(docs: DataFrame, text: str = "text", most: int = SAMPLE_ROWS) -> list[tuple[str, bool]]:
+    """Beginnings of at most so many texts, by their hashes, and whether each is all of its text."""
     plain = F.coalesce(docs[text], F.lit(""))
-    # the hash up to which there are as many texts as wanted, then those texts' windows alone
+    # the hash up to which there are as many texts as wanted, then those texts' beginnings alone
     hashed = docs.select(F.xxhash64(plain).alias("h"))
-    upto = hashed.orderBy("h").limit(SAMPLE_ROWS).agg(F.max("h")).first()[0]
+    upto = hashed.orderBy("h").limit(most).agg(F.max("h")).first()[0]
     chosen = docs.where(F.xxhash64(plain) <= F.lit(upto)) if upto is not None else docs.limit(0)
-    windows = chosen.select(spread_windows(plain, SAMPLE_WINDOWS, SAMPLE_CHARS).alias("p"))
-    sample = windows.distinct().orderBy("p").collect()  # copies count once, so no more than wanted
+    begun = chosen.select(F.substr(plain, F.lit(1), F.lit(SAMPLE_CHARS)).alias("p"), (F.length(plain) <= SAMPLE_CHARS).alias("whole"))
+    return [(r["p"], r["whole"]) for r in begun.distinct().orderBy("p", "whole").collect()]  # copies count once
+
+
+def begun_ids(subwords: Subwords, begun: list[tuple[str, bool]]) -> list[np.ndarray]:
+    """Ids of the beginnings, the end only where the text ends; a last word that may be cut is left out."""
+    ids = [subwords.document(words_of(p)) if whole else subwords.document(words_of(p)[:-1])[:-1] for p, whole in begun]
+    return [x for x in ids if len(x)]
+
+
+def train(docs: DataFrame, words: DataFrame, n_docs: int, ranks: dict[bytes, int], pattern: str, text: str = "text") -> Model:
+    """Layers and parts from all of ``docs``, after a start on a bounded sample; shares from ``words``, their counts."""
     subwords = Subwords(ranks, pattern)
-    ids = [subwords.document(words_of(piece)) for row in sample for piece in row["p"]]
-    ids = ids or [np.array([subwords.end], np.int32)]
+    ids = begun_ids(subwords, starting_texts(docs, text)) or [np.array([subwords.end], np.int32)]
     counts = count_ids(words, ranks, pattern)
     counts[subwords.end] += n_docs
-    return Model.build(*fit(ids, subwords.size), counts)
+    m, held = fit(ids, subwords.size)
+    own = np.bincount(np.concatenate(ids), minlength=subwords.size)
+    held[own == 0] = own @ held / own.sum()  # nothing is known of ids outside the sample
+    n_words = words.agg(F.sum("n")).first()[0] or 0
+    return Model.build(*learn_all(docs, m, held, counts, ranks, pattern, 1 + n_words // TASK_WORDS, text), counts)
 
 
 def score(

@@ -196,3 +196,29 @@ def test_language_model_is_a_distribution():
     inputs, targets = a.cut(sample[:3], 40)
     loss, _, _ = a._gradients(layers, inputs, targets, a._shares(parts, counts))
     assert model.scores(sample[:3]).sum() == pytest.approx(-loss * (targets >= 0).sum() / np.log(10), rel=1e-3)
+
+
+def test_language_model_learns_from_every_text(spark):
+    """A text outside the starting sample changes what is known of context; so does the far end of a long text."""
+    ranks = packing.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    known = attention_lm.Subwords(ranks, public_tokenizers.PATTERN)
+    start = "alpha beta gamma delta eps zeta eta theta iota kappa "
+    size = known.size
+    layers, held = attention_lm.fit([known.document(attention_lm.words_of(start))], size)
+    held = np.full(held.shape, 1 / attention_lm.CLASSES)
+    late = attention_lm.words_of("omega psi chi")
+    ids = np.unique(np.concatenate([known.document([w])[:-1] for w in late]))
+    for tasks in (1, 3):
+        frame = docs.table(spark, [start * 40 + "omega psi chi " * 30, start, None]).repartition(3)
+        after, parts = attention_lm.learn_all(frame, layers, held, np.ones(size), ranks, public_tokenizers.PATTERN, tasks)
+        assert (after.emb[ids] != layers.emb[ids]).any(axis=1).all()
+        assert not np.allclose(parts[ids], held[ids]) and np.allclose(parts.sum(axis=1), 1)
+        unmet = np.setdiff1d(np.arange(size), np.concatenate([known.document(attention_lm.words_of(start)), ids]))
+        assert (after.emb[unmet] == layers.emb[unmet]).all()
+
+
+def test_language_model_ends_are_real():
+    ranks = packing.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    known = attention_lm.Subwords(ranks, public_tokenizers.PATTERN)
+    cut_off, whole = attention_lm.begun_ids(known, [("one two thr", False), ("one two", True), ("cut", False)])
+    assert whole[-1] == known.end and cut_off.tolist() == whole[:-1].tolist()
