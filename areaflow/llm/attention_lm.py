@@ -504,11 +504,11 @@ def starting_texts(docs: DataFrame, text: str = "text", most: int = SAMPLE_ROWS)
     """Beginnings of at most so many texts, by their hashes, and whether each is all of its text."""
     plain = F.coalesce(docs[text], F.lit(""))
     # the hash up to which there are as many texts as wanted, then those texts' beginnings alone
-    hashed = docs.select(F.xxhash64(plain).alias("h"))
+    hashed = docs.select(F.xxhash64(plain).alias("h")).distinct()  # a group of copies is one text
     upto = hashed.orderBy("h").limit(most).agg(F.max("h")).first()[0]
     chosen = docs.where(F.xxhash64(plain) <= F.lit(upto)) if upto is not None else docs.limit(0)
     begun = chosen.select(F.substr(plain, F.lit(1), F.lit(SAMPLE_CHARS)).alias("p"), (F.length(plain) <= SAMPLE_CHARS).alias("whole"))
-    return [(r["p"], r["whole"]) for r in begun.distinct().orderBy("p", "whole").collect()]  # copies count once
+    return [(r["p"], r["whole"]) for r in begun.distinct().orderBy("p", "whole").collect()]
 
 
 def begun_ids(subwords: Subwords, begun: list[tuple[str, bool]]) -> list[np.ndarray]:

@@ -222,3 +222,10 @@ def test_language_model_ends_are_real():
     known = attention_lm.Subwords(ranks, public_tokenizers.PATTERN)
     cut_off, whole = attention_lm.begun_ids(known, [("one two thr", False), ("one two", True), ("cut", False)])
     assert whole[-1] == known.end and cut_off.tolist() == whole[:-1].tolist()
+
+
+def test_language_model_starts_on_distinct_texts(spark):
+    frame = docs.table(spark, [f"text {k}" for k in range(40) for _ in range(50)])
+    begun = attention_lm.starting_texts(frame, most=10)
+    assert len(begun) == len(set(begun)) == 10 and all(whole for _, whole in begun)
+    assert attention_lm.starting_texts(docs.table(spark, [])) == []
