@@ -155,19 +155,18 @@ class Transducer:
         }
         self.rules = re.compile("|".join(f"(?P<{k}>{v})" for k, v in rules.items()), re.IGNORECASE)
         self.inside = re.compile(rf"(?P<word>{word})|(?P<gap>[\s,./-]+)", re.IGNORECASE)
-        self.odd = re.compile(rules["char"])
+        # with the two letters that rules take for i and s, and lower() does not
+        self.odd = re.compile(rules["char"] + "|[\u0130\u017f]")
+        self.words = re.compile(r"\w+")  # words end where the rules' \b is
         self.bracketed = re.compile(rf"[\[({{<]\s*(?:at|@|{dots}|\.)\s*[\])}}>]", re.IGNORECASE)
         # "un" and the like are words of their own; a run of digits holds others too
-        self.telling = frozenset(self.digits) - {"un", "oh", "null"} | frozenset(dots.split("|"))
+        self.telling = frozenset(self.digits) - {"un", "oh", "null"} | frozenset([*dots.split("|"), "plus"])
 
     def disguised(self, text: str) -> bool:
         """Cheap, and true wherever a rule could make an identifier."""
         if not text.isascii() and self.odd.search(text) or self.bracketed.search(text):
             return True
-        lowered = text.lower()
-        for gap in ",./-":
-            lowered = lowered.replace(gap, " ")
-        return not self.telling.isdisjoint(lowered.split())
+        return not self.telling.isdisjoint(self.words.findall(text.lower()))
 
     def rewrite(self, text: str) -> tuple[str, list[int], list[int], list[bool]]:
         """The rewritten text; for each of its characters the source interval, and whether it was rewritten."""

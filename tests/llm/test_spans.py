@@ -125,6 +125,23 @@ def test_disguises(text, kind, shown):
     assert pii.KINDS[k] == kind and text[a:b] == (shown or text) and not base
 
 
+def test_plus_before_written_digits():
+    for text in ("ruf plus 49 30 12345678 an", "PLUS 49 30 12345678", "ruf:plus 49 30 12345678", "(plus\n49 30 12345678)"):
+        assert [(pii.KINDS[k], digits(text[a:b])) for k, a, b, _ in pii.scan(text, TRANSDUCER)] == [("phone", "493012345678")]
+
+
+class Always(pii.Transducer):
+    def disguised(self, text):
+        return True
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from([*"plus PLUS one two vier zéro oh null un dot punkt at [at] (dot) [.] 49 30 1 192 168 12345678 joe example com , - . ( : _ о ４".split(), "plus 49", "49 171 23", "\n"]), max_size=14), st.sampled_from([" ", "", "-"]))
+def test_trigger_misses_nothing(words, gap):
+    text = gap.join(words)
+    assert pii.scan(text, TRANSDUCER) == pii.scan(text, Always())
+
+
 @pytest.mark.parametrize("text", ["meet me at the dot", "one two three four", "un un six", "é à ñ ß at noon dot", "a (at) b"])
 def test_clean_texts_stay_clean(text):
     assert pii.scan(text, TRANSDUCER) == []
