@@ -4,9 +4,13 @@ Base identifiers are matched in the text as it is.  Then a transducer rewrites
 disguises in one pass from left to right: look-alike characters become ASCII,
 spelled digits become digits, spelled or bracketed "at", "dot" and "plus" become
 their signs, invisible characters vanish.  It keeps for every written character
-the source interval it came from.  The same detectors run over the rewritten
-text, and a span found there is mapped back and added if it holds a rewritten
-character and touches no base span.  A cheap trigger leaves texts without any
+the source interval it came from.  Spelled digits are written in two ways: runs of
+three or more names as digits with spaces between, and any names as one number,
+where a dot between names stays a dot; the second serves ip, card and phone.  The
+same detectors run over each rewritten text, and a span found there is mapped back
+and added if it holds a rewritten character and touches no base span.  Of spans of
+one kind that touch, the first way's counts unless the second's holds it and two
+more digits.  A cheap trigger leaves texts without any
 disguise untouched.
 
 Defined results: a null text counts as empty and has no span; rows are
@@ -142,7 +146,7 @@ class Transducer:
         self.chars = _one_char()
         self.digits = {name: str(d) for d, names in enumerate(DIGIT_NAMES) for name in names}
         word = "(?:" + "|".join(sorted(self.digits, key=len, reverse=True)) + r")\b"
-        run = rf"\b{word}(?:[\s,./-]{{1,3}}{word}){{2,}}"
+        run = rf"\b{word}(?:[\s,./-]{{1,3}}{word})"
         opened, closed = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
         dots = "dot|punkt|punto|point"
         rules = {
@@ -151,25 +155,35 @@ class Transducer:
             "at": rf"{opened}(?:at|@){closed}|\s+at\s+(?=[a-z0-9-]+(?:\s+(?:{dots})\s+|{opened}(?:{dots}|\.){closed})[a-z0-9-])",
             "dot": rf"{opened}(?:{dots}|\.){closed}|(?<=[a-z0-9])\s+(?:{dots})\s+(?=[a-z0-9])",
             "plus": rf"\bplus\s+(?=[0-9]|{word})",
-            "run": run,
         }
-        self.rules = re.compile("|".join(f"(?P<{k}>{v})" for k, v in rules.items()), re.IGNORECASE)
+        most = "|".join(f"(?P<{k}>{v})" for k, v in rules.items())
+        self.rules = re.compile(rf"{most}|(?P<run>{run}{{2,}})", re.IGNORECASE)
+        self.joining = re.compile(rf"{most}|(?P<run>{run}*)", re.IGNORECASE)
         self.inside = re.compile(rf"(?P<word>{word})|(?P<gap>[\s,./-]+)", re.IGNORECASE)
         # with the two letters that rules take for i and s, and lower() does not
         self.odd = re.compile(rules["char"] + "|[\u0130\u017f]")
         self.words = re.compile(r"\w+")  # words end where the rules' \b is
         self.bracketed = re.compile(rf"[\[({{<]\s*(?:at|@|{dots}|\.)\s*[\])}}>]", re.IGNORECASE)
-        # "un" and the like are words of their own; a run of digits holds others too
-        self.telling = frozenset(self.digits) - {"un", "oh", "null"} | frozenset([*dots.split("|"), "plus"])
+        # "un" and the like are words of their own, and tell only beside a digit or each other
+        unsure = "un|oh|null"
+        self.unsure = frozenset(unsure.split("|"))
+        self.beside = re.compile(
+            rf"\b(?:{unsure})\b[\W_]{{1,4}}(?:[0-9]|(?:{unsure})\b)|[0-9][\W_]{{1,4}}(?:{unsure})\b", re.IGNORECASE
+        )
+        self.telling = frozenset(self.digits) - self.unsure | frozenset([*dots.split("|"), "plus"])
 
     def disguised(self, text: str) -> bool:
         """Cheap, and true wherever a rule could make an identifier."""
         if not text.isascii() and self.odd.search(text) or self.bracketed.search(text):
             return True
-        return not self.telling.isdisjoint(self.words.findall(text.lower()))
+        words = set(self.words.findall(text.lower()))
+        return not self.telling.isdisjoint(words) or not self.unsure.isdisjoint(words) and bool(self.beside.search(text))
 
-    def rewrite(self, text: str) -> tuple[str, list[int], list[int], list[bool]]:
-        """The rewritten text; for each of its characters the source interval, and whether it was rewritten."""
+    def rewrite(self, text: str, joined: bool = False) -> tuple[str, list[int], list[int], list[bool]]:
+        """The rewritten text; for each of its characters the source interval, and whether it was rewritten.
+
+        ``joined``: any digit names, also one alone, as one number.
+        """
         out: list[str] = []
         starts: list[int] = []
         ends: list[int] = []
@@ -190,7 +204,7 @@ class Transducer:
 
         at = 0
         vanished = False  # what follows an invisible character counts as rewritten
-        for m in self.rules.finditer(text):
+        for m in (self.joining if joined else self.rules).finditer(text):
             copy(at, m.start(), vanished)
             at = m.end()
             vanished = m.lastgroup == "char" and not self.chars.get(m.group(), m.group())
@@ -198,8 +212,10 @@ class Transducer:
                 put(self.chars.get(m.group(), m.group()), *m.span())
             elif m.lastgroup == "run":
                 for part in self.inside.finditer(text, *m.span()):
-                    shown = self.digits[part.group().lower()] if part.lastgroup == "word" else " "
-                    put(shown, *part.span())
+                    if part.lastgroup == "word":
+                        put(self.digits[part.group().lower()], *part.span())
+                    else:
+                        put(" " if not joined else "." if "." in part.group() else "", *part.span())
             else:
                 put({"at": "@", "dot": ".", "plus": "+"}[m.lastgroup], *m.span())
         copy(at, len(text), vanished)
@@ -210,22 +226,30 @@ def scan(text: str, transducer: Transducer) -> list[tuple[int, int, int, bool]]:
     """Spans as (place of the kind, start, end, whether it is a base span), ascending."""
     found = [(k, a, b, True) for k, kind in enumerate(KINDS) for a, b in DETECTORS[kind](text)]
     if transducer.disguised(text):
-        plain, starts, ends, new = transducer.rewrite(text)
         taken = sorted((a, b) for _, a, b, _ in found)
-        changed = [0]
-        for n in new:
-            changed.append(changed[-1] + n)
-        added = []
-        for k, kind in enumerate(KINDS):
-            for a, b in DETECTORS[kind](plain):
-                if changed[b] > changed[a]:
-                    added.append((k, starts[a], ends[b - 1], False))
-        for span in added:
-            if not _touches(taken, span[1], span[2]):
-                found.append(span)
+        added = _rewritten(text, transducer, False, KINDS)
+        for span, n in _rewritten(text, transducer, True, KINDS[1:]).items():
+            touched = [x for x in added if x[0] == span[0] and _touches([x[1:]], *span[1:])]
+            if all(span[1] <= a and b <= span[2] and n >= added[k, a, b] + 2 for k, a, b in touched):
+                for x in touched:
+                    del added[x]
+                added[span] = n
+        found += [(k, a, b, False) for k, a, b in added if not _touches(taken, a, b)]
     return sorted(found)
 
 
+def _rewritten(text: str, transducer: Transducer, joined: bool, kinds: tuple[str, ...]) -> dict[tuple[int, int, int], int]:
+    """Spans in ``text`` of what one way of rewriting shows, and the digits of each."""
+    plain, starts, ends, new = transducer.rewrite(text, joined)
+    changed = [0]
+    for n in new:
+        changed.append(changed[-1] + n)
+    return {
+        (KINDS.index(kind), starts[a], ends[b - 1]): len(_NO_DIGIT.sub("", plain[a:b]))
+        for kind in kinds for a, b in DETECTORS[kind](plain) if changed[b] > changed[a]
+    }
+
+
 def _touches(taken: list[Span], start: int, end: int) -> bool:
     return any(a < end and start < b for a, b in taken)
 

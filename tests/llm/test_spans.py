@@ -130,6 +130,31 @@ def test_plus_before_written_digits():
         assert [(pii.KINDS[k], digits(text[a:b])) for k, a, b, _ in pii.scan(text, TRANSDUCER)] == [("phone", "493012345678")]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "shown"),
+    [
+        ("on one two seven dot zero dot zero dot one!", "ip", "one two seven dot zero dot zero dot one"),
+        ("192 dot one six eight dot 1 dot 1", "ip", None),
+        ("un neuf deux.un six huit.un.un", "ip", None),
+        ("10.null.null.7", "ip", None),
+        ("call +49 171 two three 45678 now", "phone", "+49 171 two three 45678"),
+        ("+49 171 null null 45678", "phone", None),
+        ("plus four nine 171 two three 45678", "phone", None),
+        ("plus 49 171 23456 six seven", "phone", None),
+        ("4111 1111 1111 11 one one", "card", None),
+        ("four-one-one-one 1111 one one one one 1111", "card", None),
+    ],
+)
+def test_spelled_digits_among_others(text, kind, shown):
+    assert [(pii.KINDS[k], text[a:b]) for k, a, b, _ in pii.scan(text, TRANSDUCER)] == [(kind, shown or text)]
+
+
+@pytest.mark.parametrize("text", ["one ４１１１ 1111 1111 1111", "４１１１ 1111 1111 1111 one time", "+４９ 171 2345678 one time"])
+def test_names_beside_do_not_hide(text):
+    [(_, a, b, _)] = pii.scan(text, TRANSDUCER)
+    assert "one" not in text[a:b]
+
+
 class Always(pii.Transducer):
     def disguised(self, text):
         return True
