@@ -16,6 +16,8 @@ their own; other columns are not read.
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -41,6 +43,18 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def read_added(ranks_path: str) -> dict[str, int]:
+    """Added tokens of the ``tokenizers`` file beside the ranks, which that library finds in any text."""
+    path = ranks_path.removesuffix(".tiktoken") + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+        raise ValueError(f"added tokens that look at their neighbours are not supported: {path}")
+    return {t["content"]: t["id"] for t in added}
+
+
 def pieces(
     docs: DataFrame, ranks_path: str, pattern: str, length: int = LENGTH, keep_ids: bool = False,
     doc_id: str = "doc_id", text: str = "text",
@@ -51,17 +65,18 @@ def pieces(
     The vocabulary has a fixed size and travels with the broadcast below.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    shared = docs.sparkSession.sparkContext.broadcast((read_ranks(ranks_path), read_added(ranks_path)))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        encoding = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
+        ranks, added = shared.value
+        encoding = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
         salt = 0
         for piece in texts.pieces(batches, "text"):
             rows: dict[str, list] = {n: [] for n in ("at", "start", "length", "ids_crc32", "doc_tokens", "ids")}
             for i, s in enumerate(texts.strings(piece.column("text"))):
-                ids = np.append(encoding.encode_to_numpy(s, disallowed_special=()), END_ID).astype("<u4")
+                ids = np.append(encoding.encode_to_numpy(s, allowed_special="all"), END_ID).astype("<u4")
                 for start in range(0, len(ids), length):
                     own = ids[start : start + length]
                     rows["at"].append(i)

@@ -47,6 +47,14 @@ def test_odd_documents(spark, reference, length):
     check(rows, texts, range(len(texts)), reference, length)
 
 
+def test_added_tokens_in_a_text(spark, reference):
+    end = "<|endoftext|>"
+    texts = [end, f"one {end} two", f"one  {end}{end}\n\n x", f"a<|endoftext|b{end[:-1]}", f"  {end}  "]
+    rows = packing.pack(docs.table(spark, texts), PATH, public_tokenizers.PATTERN).collect()
+    assert reference.encode(end, add_special_tokens=False).ids == [50256]
+    check(rows, texts, range(len(texts)), reference, packing.LENGTH)
+
+
 def test_sequences_hold_the_ids(spark, reference):
     texts = docs.odd_texts()[:12]
     packed, _ = packing.session.staged(
