@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import attention_lm, byte_bpe, chunk_dedup, embedding_dedup, language, ngram_join, packing, pii, quality, secret_scan, spans
+from areaflow.llm import attention_lm, byte_bpe, centroids, chunk_dedup, embedding_dedup, language, line_dedup
+from areaflow.llm import ngram_join, packing, pii, quality, secret_scan, spans, token_alignment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,3 +163,86 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find(_documents(spark, sf_dir))
     return found.select("doc_id", *spans.columns(found["found"], secret_scan.BASE_KINDS))
+
+
+def _centroid_sql(k: int, rounds: int, size: int) -> str:
+    """Whole-number k-means, one round after the other."""
+    difference = "(v[i] - c[i]) * (v[i] - c[i])"
+    distance = f"list_sum(list_transform(range(1, {size + 1}), lambda i: {difference}))::BIGINT"
+    steps = [
+        f"""start AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE len(embedding) = {size}
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), whole AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM start),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, v) - 1 AS n, v AS c
+            FROM (SELECT sha256('{centroids.SEED}:' || vec_id) AS h, v FROM whole WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k})
+        )"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+            SELECT r, min(struct_pack(d := {distance}, n := n)) AS best FROM whole CROSS JOIN c{i} GROUP BY r
+        )"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""m{i} AS MATERIALIZED (
+            SELECT n, list(CAST((s - ((s % t + t) % t)) // t AS BIGINT) ORDER BY place) AS c FROM (
+                SELECT best.n AS n, place, sum(v[place])::BIGINT AS s, count(*) AS t
+                FROM whole JOIN a{i} USING (r), range(1, {size + 1}) AS places(place) GROUP BY best.n, place
+            ) GROUP BY n
+        ), c{i + 1} AS MATERIALIZED (SELECT c{i}.n, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (n))"""
+            )
+    return f"""WITH {", ".join(steps)}
+        SELECT vec_id, CAST(n AS INTEGER) AS cluster, best.d AS distance,
+            CAST(sum(best.d) OVER (PARTITION BY n) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM whole JOIN a{rounds} USING (r) JOIN c{rounds} ON c{rounds}.n = best.n"""
+
+
+@query("op11_centroids", _centroid_sql(centroids.K, centroids.ROUNDS, centroids.SIZE))
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, final = centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return centroids.with_inertia(assigned.drop("compared"), final)
+
+
+def _sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest() if text else ""
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = token_alignment.ByteVocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    second = token_alignment.PieceVocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    found = token_alignment.align(_documents(spark, sf_dir), first, second, digest=_sha)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query(
+    "op13_line_dedup",
+    r"""
+    WITH split AS (
+        SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+    ), lines AS (
+        SELECT r, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n FROM split
+    ), keyed AS (
+        SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM lines
+    ), owners AS (
+        SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10
+        GROUP BY key HAVING count(DISTINCT doc_id) > 1
+    ), marked AS (
+        SELECT r, keyed.doc_id, line, n, coalesce(owner <> keyed.doc_id, false) AS dropped
+        FROM keyed LEFT JOIN owners ON owners.key = keyed.key
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT dropped), '')) AS kept_sha256
+    FROM marked GROUP BY r, doc_id
+    """,
+)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_shared(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
