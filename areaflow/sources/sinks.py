@@ -1,8 +1,8 @@
 """Parquet loads: append, overwrite, replace and upsert by touched partitions.
 
 A changed table is never written over the files it is read from.  The changed
-partitions are staged in shared scratch, then published; a job that dies while
-publishing leaves the staged copy, from which :func:`publish` can run again.
+partitions are written beside it, once, and moved into place by a publish that
+the next writer finishes where one died: see :mod:`areaflow.sources.journal`.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from areaflow import session
 from areaflow.functions import clock
 from areaflow.operators import conform, incremental, lookup
 from areaflow.operators import history as processed
-from areaflow.sources import files
+from areaflow.sources import files, journal
 
 DATE = "observed_date"
 
@@ -46,34 +46,47 @@ def write_batch(df: DataFrame, root: str, stamp: dt.datetime) -> str:
     return path
 
 
+def _put(df: DataFrame, path: str, by: Sequence[str], removed: Sequence[str] = ()) -> list[str]:
+    """Publish the partitions of ``df`` in place of those of the same name; ``removed`` ones go unless they are among them.
+
+    Without partition columns the files of ``df`` become the table.  Returns the partition folders touched.
+    """
+    spark = df.sparkSession
+    staged = journal.staging(path)
+    try:
+        _write(df, staged, by, "errorifexists", False)
+    except BaseException:
+        files.remove(spark, staged)
+        raise
+    moved = journal.folders(spark, staged, len(by))
+    before = removed if by else journal.folders(spark, path, 0)
+    journal.publish(spark, path, staged, moved, before)
+    return sorted({*moved, *before})
+
+
 def replace_prefix(df: DataFrame, path: str) -> None:
     """Everything under the path becomes this batch."""
-    _write(df, path, [], "overwrite", False)
+    journal.recover(df.sparkSession, path)
+    _put(df, path, [])
 
 
 def write_partitions(df: DataFrame, path: str, by: Sequence[str], keep_others: bool = True) -> None:
     """Overwrite the partitions the batch holds; others stay unless told not to."""
-    _write(df, path, by, "overwrite", keep_others)
+    spark = df.sparkSession
+    journal.recover(spark, path)
+    _put(df, path, by, () if keep_others else journal.folders(spark, path, len(by)))
 
 
-def replace_load(df: DataFrame, path: str, load: str, by: Sequence[str]) -> None:
+def replace_load(df: DataFrame, path: str, load: str, by: Sequence[str]) -> list[str]:
     """Overwrite the partitions of one load; the last of ``by`` holds its name.
 
-    Partitions of the load that it no longer fills are removed after the others are in place.
+    Partitions of the load that it no longer fills are removed.  Returns the partition folders touched.
     """
     spark = df.sparkSession
-    rows, scratch = session.staged(df, "load")
-    try:
-        before = files.matching(spark, "/".join([path, *["*"] * (len(by) - 1), f"{by[-1]}={load}"]))
-        if not (rows.isEmpty() and files.exists(spark, path)):
-            _write(rows, path, by, "overwrite", True)
-        # one value per calendar day of the window, or none
-        filled = {"/".join(_folder(c, v) for c, v in row.asDict().items()) for row in rows.select(*by).distinct().collect()}
-        for folder in before:
-            if "/".join(folder.rsplit("/", len(by))[1:]) not in filled:
-                files.remove(spark, folder)
-    finally:
-        files.remove(spark, scratch)
+    journal.recover(spark, path)
+    pattern = "/".join([*["*"] * (len(by) - 1), _folder(by[-1], load)])
+    before = files.children(spark, path, pattern) if files.exists(spark, path) else []
+    return _put(df, path, by, before)
 
 
 def _folder(column: str, value) -> str:
@@ -111,11 +124,6 @@ def _on_days(df: DataFrame, by: str, days: list) -> DataFrame:
     return df.where(condition | F.col(by).isNull()) if None in days else df.where(condition)
 
 
-def publish(staged: DataFrame, path: str, by: str | None) -> None:
-    """Put staged partitions (or a whole unpartitioned table) in place."""
-    _write(staged, path, [by] if by else [], "overwrite", by is not None)
-
-
 def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The stored table; one whose last partition was removed has no files."""
     if files.matches(spark, f"{path}/*.parquet") or files.matches(spark, f"{path}/*/*.parquet"):
@@ -130,39 +138,50 @@ def _change(
     change: Callable[[DataFrame, DataFrame], DataFrame],
     stale_days: Callable[[DataFrame], DataFrame] | None = None,
     unique: Sequence[str] = (),
-) -> None:
-    """Apply ``change(target, batch)`` to the partitions it can affect."""
+    more_days: Sequence = (),
+) -> list:
+    """Apply ``change(target, batch)`` to the partitions it can affect; returns their dates."""
     spark = batch.sparkSession
+    journal.recover(spark, path)
     batch, batch_path = session.staged(batch, "batch")
-    if unique:
-        lookup.require_unique(batch, *unique)
-    known = files.exists(spark, path)
-    if not known or (stale_days is None and batch.isEmpty()):
-        if not batch.isEmpty():
-            publish(batch, path, by)
+    try:
+        if unique:
+            lookup.require_unique(batch, *unique)
+        partitions = [by] if by else []
+        if not files.exists(spark, path):
+            if not batch.isEmpty():
+                _put(batch, path, partitions)
+            return _days(batch, by) if by else []
+        if stale_days is None and not more_days and batch.isEmpty():
+            return []
+        target = _table(spark, path, batch.schema)
+        days: list = []
+        if by:
+            days = list({*_days(batch, by), *more_days, *(_days(stale_days(target), by) if stale_days else [])})
+            target = _on_days(target, by, days)
+        # a partition left without rows is not written, so it is removed
+        _put(change(target, batch), path, partitions, [_folder(by, day) for day in days] if by else [])
+        return days
+    finally:
         files.remove(spark, batch_path)
-        return
-    target = _table(spark, path, batch.schema)
-    days: list = []
-    if by:
-        days = _days(batch, by)
-        if stale_days:
-            days = list({*days, *_days(stale_days(target), by)})
-        target = _on_days(target, by, days)
-    changed, changed_path = session.staged(change(target, batch), "changed")
-    publish(changed, path, by)
-    if by:
-        # a partition left without rows is not overwritten, so it is removed
-        for day in set(days) - set(_days(changed, by)):
-            name = "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
-            files.remove(spark, f"{path}/{by}={name}")
-    files.remove(spark, changed_path)
-    files.remove(spark, batch_path)
 
 
-def upsert(batch: DataFrame, path: str, keys: Sequence[str], by: str | None = DATE) -> None:
-    """Merge a batch by key.  The key must determine the partition date."""
-    _change(path, batch, by, lambda target, b: incremental.upsert(target, b, keys), unique=keys)
+def upsert(batch: DataFrame, path: str, keys: Sequence[str], by: str | None = DATE) -> list:
+    """Merge a batch by key.  The key must determine the partition date.  Returns the dates touched."""
+    return _change(path, batch, by, lambda target, b: incremental.upsert(target, b, keys), unique=keys)
+
+
+def upsert_alive(
+    batch: DataFrame, path: str, keys: Sequence[str], alive: DataFrame, days: Sequence[dt.date], by: str = DATE
+) -> list:
+    """Merge a batch by key; stored rows of ``days`` whose key is not among ``alive`` go."""
+
+    def change(target: DataFrame, b: DataFrame) -> DataFrame:
+        checked = F.coalesce(F.col(by).isin(list(days)), F.lit(False))
+        known = target.where(checked).join(alive.select(*keys).distinct(), list(keys), "left_semi").select(*target.columns)
+        return incremental.upsert(target.where(~checked).unionByName(known), b, keys)
+
+    return _change(path, batch, by, change, unique=keys, more_days=days)
 
 
 def upsert_newest(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from areaflow.operators import dedupe, incremental, lookup
-from areaflow.sources import files, sinks
+from areaflow.sources import files, journal, sinks
 
 SCHEMA = "id int, day int, v string"
 
@@ -155,3 +155,82 @@ def test_lookup_needs_unique_keys(spark):
     with pytest.raises(ValueError, match="duplicate"):
         lookup.require_unique(df, "id")
     assert lookup.require_unique(df.distinct(), "id").count() == 2
+
+
+class _Died(Exception):
+    pass
+
+
+@pytest.mark.parametrize("by", [sinks.DATE, None])
+def test_a_job_that_dies_at_any_step_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, by):
+    """Every move, removal and record of a publish fails once; the next writer finds the old table or makes the new one."""
+    before = rows(spark, (1, 0, "a"), (2, 1, "a"), (3, 2, "a"))
+    # day 0 changes, day 1 loses its only row, day 3 is new
+    low, high = dt.datetime(2025, 7, 1), dt.datetime(2025, 7, 2, 23)
+    batch = rows(spark, (5, 0, "b"), (6, 3, "b"))
+    old = [(1, 0, "a"), (2, 1, "a"), (3, 2, "a")]
+    new = [(3, 2, "a"), (5, 0, "b"), (6, 3, "b")]
+
+    def change(path):
+        if by:
+            sinks.replace_range(batch, path, "at", low, high)
+        else:
+            sinks.replace_prefix(batch.unionByName(before.where("id = 3")), path)
+
+    failed, step = 0, 0
+    while True:
+        path = str(tmp_path / f"table-{step}")
+        if by:
+            sinks.write_partitions(before, path, [by])
+        else:
+            sinks.replace_prefix(before, path)
+        calls = 0
+
+        def counted(real):
+            def call(*args):
+                nonlocal calls
+                calls += 1
+                if calls == step + 1:
+                    raise _Died
+                return real(*args)
+
+            return call
+
+        with monkeypatch.context() as patch:
+            for name in ("write_text", "rename", "remove", "make_folder"):
+                patch.setattr(files, name, counted(getattr(files, name)))
+            try:
+                change(path)
+                died = False
+            except _Died:
+                died = True
+        intended = journal.recover(spark, path)
+        found = content(spark, path)
+        assert found == new if intended or not died else found in (old, new)
+        assert journal.recover(spark, path) == 0
+        if found == old:
+            change(path)
+            assert content(spark, path) == new
+        if not died:
+            break
+        failed += 1
+        step += 1
+    assert failed >= 6
+
+
+def test_staged_rows_of_a_dead_writer_are_not_read(spark, path):
+    sinks.write_partitions(rows(spark, (1, 0, "a")), path, [sinks.DATE])
+    rows(spark, (9, 0, "x")).write.partitionBy(sinks.DATE).parquet(journal.staging(path))
+    assert content(spark, path) == [(1, 0, "a")]
+    assert journal.recover(spark, path) == 0
+    sinks.upsert(rows(spark, (2, 0, "b")), path, ["id"])
+    assert content(spark, path) == [(1, 0, "a"), (2, 0, "b")]
+
+
+def test_a_failing_change_leaves_no_scratch(spark, path, tmp_path):
+    sinks.upsert(rows(spark, (1, 0, "a")), path, ["id"])
+    bad = rows(spark, (2, 0, "b")).withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.upsert(bad, path, ["id"])
+    assert content(spark, path) == [(1, 0, "a")]
+    assert not list((tmp_path / "_publish" / "table").iterdir())
