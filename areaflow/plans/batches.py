@@ -10,28 +10,35 @@ loads of overlapping windows have other names and are left alone.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areaflow import contracts as c
 from areaflow import session
 from areaflow.functions import clock, text
-from areaflow.operators import history, incremental, lookup
-from areaflow.plans import feeds, marts
-from areaflow.sources import files, paths, raw, sinks
-from areaflow.sources.tables import Warehouse
-
-BATCH = "load_batch"
-
+from areaflow.operators import history, lookup
+from areaflow.plans import builds, feeds, marts
+from areaflow.sources import files, ledger, paths, raw, sinks
+from areaflow.sources.tables import BATCH, Warehouse
 
 def load_name(start: dt.datetime, end: dt.datetime) -> str:
     return f"{start:%Y%m%d%H%M}-{end:%Y%m%d%H%M}"
 
 
-def _load(wh: Warehouse, name: str, df: DataFrame, load: str) -> None:
+def store_load(wh: Warehouse, name: str, df: DataFrame, load: str) -> None:
+    """Store a load of a source and record it for the builds."""
     dated = df.withColumns({sinks.DATE: F.to_date("observed_at"), BATCH: F.lit(load)})
-    sinks.replace_load(dated, wh.path("source", name), load, [sinks.DATE, BATCH])
+    touched = sinks.replace_load(dated, wh.path("source", name), load, [sinks.DATE, BATCH])
+    if touched:
+        ledger.record(wh, name, load, sorted({_day(folder) for folder in touched}, key=str))
+
+
+def _day(folder: str) -> dt.date | None:
+    """The date of a partition folder."""
+    value = folder.split("/")[0].split("=")[1]
+    return None if value.startswith("__") else dt.date.fromisoformat(value)
 
 
 def _known(wh: Warehouse, feed: str, seen: DataFrame, load: str) -> DataFrame:
@@ -69,8 +76,8 @@ def load_commercial(docs: DataFrame, wh: Warehouse, load: str, run_ts: dt.dateti
     first = paths.first_per_location(seen, "area_id", "observed_at").select("path")
     chosen = docs.join(first, "path", "left_semi")
     known = _known(wh, "commercial", seen, load)
-    _load(wh, "commercial", feeds.commercial(chosen, run_ts, known), load)
-    _load(wh, "commercial_rsb", feeds.commercial_rsb(chosen, run_ts, known), load)
+    store_load(wh, "commercial", feeds.commercial(chosen, run_ts, known), load)
+    store_load(wh, "commercial_rsb", feeds.commercial_rsb(chosen, run_ts, known), load)
     _remember(wh, "commercial", seen, run_ts, load)
 
 
@@ -78,23 +85,25 @@ def load_population(docs: DataFrame, wh: Warehouse, load: str, run_ts: dt.dateti
     typed, path = session.staged(feeds.population(docs, run_ts), "population")
     numbered = typed.withColumn("area_id", text.area_number(F.col("area_code")))
     fresh = history.unseen(numbered, _known(wh, "population", numbered, load))
-    _load(wh, "population", fresh.drop("area_id"), load)
+    store_load(wh, "population", fresh.drop("area_id"), load)
     _remember(wh, "population", numbered.select("area_id", "observed_at").dropna(), run_ts, load)
     files.remove(wh.spark, path)
 
 
 def load_transit(docs: DataFrame, wh: Warehouse, load: str, run_ts: dt.datetime) -> None:
     for feed in (c.BUS, c.SUBWAY):
-        _load(wh, feed.label, feeds.transit(docs, feed, run_ts), load)
+        store_load(wh, feed.label, feeds.transit(docs, feed, run_ts), load)
 
 
-def load_weather(docs: DataFrame, wh: Warehouse, run_ts: dt.datetime) -> None:
+def load_weather(docs: DataFrame, wh: Warehouse, load: str, run_ts: dt.datetime) -> None:
     """Observations replace themselves by id.
 
     A window's files are not all that report its observations, so nothing else is removed.
     """
     batch = feeds.weather(docs, run_ts).where("observed_at is not null").withColumn(sinks.DATE, F.to_date("observed_at"))
-    sinks.upsert(batch, wh.path("source", "weather"), ["source_id"])
+    days = sinks.upsert(batch, wh.path("source", "weather"), ["source_id"])
+    if days:
+        ledger.record(wh, "weather", load, sorted(days))
 
 
 def load_events(wh: Warehouse, base: str, day: dt.date, run_ts: dt.datetime, multiline: bool = False) -> None:
@@ -103,6 +112,7 @@ def load_events(wh: Warehouse, base: str, day: dt.date, run_ts: dt.datetime, mul
     midnight = dt.datetime.combine(day, dt.time())
     batch = feeds.event(docs, run_ts, clock.wall(midnight)).withColumn(sinks.DATE, F.lit(day))
     sinks.replace_key(batch, wh.path("source", "event"), "observed_at", midnight)
+    ledger.record(wh, "event", str(day), [day])
 
 
 def load_window(
@@ -116,7 +126,7 @@ def load_window(
         load_commercial(docs, wh, load, run_ts)
         load_population(docs, wh, load, run_ts)
         load_transit(docs, wh, load, run_ts)
-        load_weather(docs, wh, run_ts)
+        load_weather(docs, wh, load, run_ts)
     finally:
         files.remove(wh.spark, path)
 
@@ -127,82 +137,38 @@ def load_night(wh: Warehouse, base: str, run_ts: dt.datetime, multiline: bool =
     load_window(wh, base, start, end, run_ts, multiline)
 
 
-def _key_date(key: Column) -> Column:
-    return F.try_to_date(F.substring(key.cast("string"), 1, 8), "yyyyMMdd")
-
-
 def build_event_marts(wh: Warehouse, run_ts: dt.datetime, full_refresh: bool = False) -> None:
     """The event dimension first: the fact reads the stored ids."""
-    existing = (lambda layer, name: None) if full_refresh else wh.existing
-    stg = marts.stg_event(wh.source("event"))
-    dim_path = wh.path("dim", "event")
-    events = marts.dim_event(stg, run_ts, existing("dim", "event"))
-    if full_refresh:
-        sinks.replace_prefix(events, dim_path)
-    else:
-        sinks.insert_only(events, dim_path, ["event_id"])
-    fact = marts.fact_event(
-        stg, wh.existing("dim", "event"), lookup.require_unique(wh.dimension("area"), "area_code"), run_ts, existing("fact", "event")
-    ).withColumn(sinks.DATE, F.to_date("observed_at"))
-    _store(wh, "event", fact, ["event_id", "area_id", "observed_at"], full_refresh)
-
-
-def _store(wh: Warehouse, name: str, fact: DataFrame, keys: list[str], full_refresh: bool) -> None:
-    path = wh.path("fact", name)
-    if full_refresh:
-        sinks.write_partitions(fact, path, [sinks.DATE], keep_others=False)
-    else:
-        sinks.upsert(fact, path, keys)
-
-
-def build_marts(wh: Warehouse, run_ts: dt.datetime, full_refresh: bool = False, lateness_minutes: int = 24 * 60) -> None:
-    """All minute facts, incrementally unless a full refresh is asked for."""
-
-    def target(name: str) -> DataFrame | None:
-        return None if full_refresh else wh.existing("fact", name)
-
-    def new(name: str, mark: str, built: str | None = None) -> DataFrame:
-        return incremental.since_or_unknown(wh.source(name), target(built or name), F.col("created_at"), mark)
-
-    # a repeated key would give an observation several fact rows
+    _build_events(wh, run_ts, full_refresh)
     areas = lookup.require_unique(wh.dimension("area"), "area_code")
-    pairs = lookup.require_unique(wh.dimension("category"), "category_large", "category_medium")
-    labels = lookup.require_unique(wh.dimension("congestion"), "congestion_label")
-    categories = new("commercial_rsb", "created_at")
-    # a parent has the observation time of its categories
-    first_day = categories.agg(F.min(F.to_date("observed_at"))).first()[0]
-    parents = wh.source("commercial", first_day or run_ts.date())
-    weather_from = incremental.event_time_bound(target("weather"), lateness_minutes)
-    built = {
-        "commercial": marts.fact_commercial(
-            marts.stg_commercial(wh.source("commercial")), areas, target("commercial")
-        ),
-        "commercial_rsb": marts.fact_commercial_rsb(
-            marts.stg_commercial_rsb(categories, parents), pairs, target("commercial_rsb")
-        ),
-        "population": marts.fact_population(
-            marts.stg_population(wh.source("population")),
-            areas,
-            labels,
-            run_ts,
-            target("population"),
-        ),
-        # the newest load of an observation is among the new ones, if there are any
-        "transport": marts.fact_transport(
-            *[marts.stg_transit(new(f.label, "source_created_at", "transport")) for f in (c.BUS, c.SUBWAY)],
-            areas,
-            run_ts,
-            target("transport"),
-        ),
-        "weather": marts.fact_weather(
-            marts.stg_weather(wh.source("weather", weather_from and weather_from.date())),
-            areas,
-            run_ts,
-            target("weather"),
-            lateness_minutes,
-        ),
-    }
-    ids = {name: f"fact_{name}_id" for name in built}
-    for name, fact in built.items():
-        dated = fact.withColumn(sinks.DATE, _key_date(F.col("time_key")))
-        _store(wh, name, dated, [ids[name]], full_refresh)
+    events = wh.existing("dim", "event")
+    if events is not None:
+        builds.build(wh, builds.PLANS["event"], {"area": areas, "event": events}, run_ts, full_refresh)
+
+
+def _build_events(wh: Warehouse, run_ts: dt.datetime, full_refresh: bool) -> None:
+    ledger.adopt(wh, "event")
+    unbuilt, path = ledger.unbuilt(wh, _EVENTS, ["event"])
+    try:
+        everything = full_refresh or not ledger.is_built(wh, _EVENTS)
+        days = None if everything else builds.New.of(unbuilt).of_sources(["event"])
+        if days is None or days:
+            events = marts.dim_event(marts.stg_event(builds.source_rows(wh, "event", days)), run_ts)
+            if everything:
+                sinks.replace_prefix(events, wh.path("dim", "event"))
+            else:
+                sinks.insert_only(events, wh.path("dim", "event"), ["event_id"])
+            ledger.mark_built(wh, _EVENTS, unbuilt)
+    finally:
+        files.remove(wh.spark, path)
+
+
+_EVENTS = "dim_event"
+
+
+def build_marts(
+    wh: Warehouse, run_ts: dt.datetime, full_refresh: bool = False, facts: Sequence[str] = builds.MINUTE_FACTS
+) -> list[str]:
+    """The minute facts, from loads not built yet unless a full refresh is asked for; returns those that changed."""
+    dims = builds.dimensions(wh)
+    return [name for name in facts if builds.build(wh, builds.PLANS[name], dims, run_ts, full_refresh)]

@@ -9,6 +9,7 @@ the watermark.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +34,12 @@ def stg_commercial(source: DataFrame) -> DataFrame:
     return source.select(*c.SOURCE_TABLES["commercial"].names)
 
 
-def stg_commercial_rsb(categories: DataFrame, commercial: DataFrame) -> DataFrame:
+def stg_commercial_rsb(categories: DataFrame, commercial: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Categories with the minute key of their parent observation."""
     parents = commercial.select("source_id", clock.time_key(F.col("observed_at")).alias("time_key")).distinct()
     joined = lookup.lookup(categories, parents, {"source_id": "source_id"}, {"time_key": "time_key"})
     fields = [f.column for f in c.CATEGORY_FIELDS]
-    return joined.select("commercial_id", "source_id", "time_key", *fields, "created_at")
+    return joined.select("commercial_id", "source_id", "time_key", *fields, "created_at", *carry)
 
 
 def stg_event(source: DataFrame) -> DataFrame:
@@ -58,6 +59,21 @@ def stg_weather(source: DataFrame) -> DataFrame:
 
 # --- shared pieces ------------------------------------------------------------
 
+_CARRIED = "_key_"
+
+
+def carried(name: str) -> str:
+    """The column under which a fact carries a column of its staging view for a build."""
+    return f"{_CARRIED}{name}"
+
+
+def is_carried(name: str) -> bool:
+    return name.startswith(_CARRIED)
+
+
+def _carry(names: Sequence[str]) -> list[Column]:
+    return [F.col(n).alias(carried(n)) for n in names]
+
 
 def _with_area(df: DataFrame, areas: DataFrame, how: str = "left") -> DataFrame:
     return lookup.lookup(df, areas, {"area_code": "area_code"}, {"area_id": "area_id"}, how)
@@ -109,11 +125,11 @@ is_paid thumbnail_url event_url event_extra_detail
 
 
 def dim_event(stg: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None) -> DataFrame:
-    """New events, one row per id.
+    """New events, one row per id; loads of the newest clock are read again, as ids are merged.
 
     A free event and one of unknown price share an id; the known price is kept.
     """
-    fresh = incremental.since(stg, target, F.col("created_at"), "source_created_at")
+    fresh = incremental.from_mark(stg, target, F.col("created_at"), "source_created_at")
     # The id mostly fixes the texts and dates, so they can be grouping keys; what may
     # vary under one id is fixed-width, which keeps this a hash aggregate.
     varying = ["longitude", "latitude", "is_paid"]
@@ -130,18 +146,30 @@ def dim_event(stg: DataFrame, run_ts: dt.datetime, target: DataFrame | None = No
 
 
 def fact_event(
-    stg: DataFrame, events: DataFrame, areas: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None
+    stg: DataFrame,
+    events: DataFrame,
+    areas: DataFrame,
+    run_ts: dt.datetime,
+    target: DataFrame | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per event, area and observation; unmatched events are dropped."""
+    """One row per event, area and observation; unmatched events are dropped.
+
+    With ``carry`` rows of unknown areas stay, without an area, for a build to note and drop.
+    """
     fresh = incremental.from_mark(stg, target, F.col("created_at"), "source_created_at")
     keyed = _event_attributes(fresh).select(
         "event_id", "area_code", "event_period", "observed_at", F.col("created_at").alias("source_created_at")
     )
     known = lookup.lookup(keyed, events, {"event_id": "event_id"}, {"event_id": "_known"}, how="inner")
-    placed = _with_area(known, areas, how="inner").drop("_known")
+    placed = _with_area(known, areas, how="left" if carry else "inner").drop("_known")
     grain = ["event_id", "area_id", "observed_at"]
-    one_each = placed.groupBy(*grain).agg(
-        F.max("event_period").alias("event_period"), F.max("source_created_at").alias("source_created_at")
+    # an unknown area has no number yet, so its rows are told apart by their code
+    unplaced = [F.when(F.col("area_id").isNull(), F.col("area_code")).alias("_unplaced")] if carry else []
+    one_each = placed.groupBy(*grain, *unplaced).agg(
+        F.max("event_period").alias("event_period"),
+        F.max("source_created_at").alias("source_created_at"),
+        F.max("area_code").alias("area_code"),
     )
     fact_id = keys.surrogate_key(
         F.col("event_id"), F.col("area_id"), F.date_format("observed_at", c.DASHED_SECOND)
@@ -152,13 +180,16 @@ def fact_event(
         clock.wall(run_ts).alias("created_at"),
         *grain,
         "source_created_at",
+        *_carry(carry),
     )
 
 
 # --- other facts --------------------------------------------------------------
 
 
-def fact_commercial(stg: DataFrame, areas: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def fact_commercial(
+    stg: DataFrame, areas: DataFrame, target: DataFrame | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
     fresh = incremental.from_mark(stg, target, F.col("created_at"), "created_at")
     payments = [F.col(n).cast("int").alias(n) for n in _names(c.COMMERCIAL_FIELDS) if n.startswith(("total", "payment"))]
     ratios = [F.col(n).cast("decimal(5,2)").alias(n) for n in _names(c.COMMERCIAL_FIELDS) if n.endswith("_ratio")]
@@ -170,10 +201,13 @@ def fact_commercial(stg: DataFrame, areas: DataFrame, target: DataFrame | None =
         *ratios,
         F.col("area_id").cast("int").alias("area_id"),
         "created_at",
+        *_carry(carry),
     )
 
 
-def fact_commercial_rsb(stg: DataFrame, categories: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def fact_commercial_rsb(
+    stg: DataFrame, categories: DataFrame, target: DataFrame | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
     fresh = incremental.from_mark(stg, target, F.col("created_at"), "created_at")
     pair = {"category_large": "category_large", "category_medium": "category_medium"}
     placed = lookup.lookup(fresh, categories, pair, {"category_id": "category_id"})
@@ -188,11 +222,17 @@ def fact_commercial_rsb(stg: DataFrame, categories: DataFrame, target: DataFrame
         F.col("category_id").cast("int").alias("category_id"),
         "time_key",
         "created_at",
+        *_carry(carry),
     )
 
 
 def fact_population(
-    stg: DataFrame, areas: DataFrame, congestion: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None
+    stg: DataFrame,
+    areas: DataFrame,
+    congestion: DataFrame,
+    run_ts: dt.datetime,
+    target: DataFrame | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     fresh = incremental.from_mark(stg, target, F.col("created_at"), "source_created_at")
     labelled = lookup.lookup(
@@ -207,11 +247,17 @@ def fact_population(
         "congestion_id",
         _minute().alias("time_key"),
         F.col("created_at").alias("source_created_at"),
+        *_carry(carry),
     )
 
 
 def fact_transport(
-    bus: DataFrame, subway: DataFrame, areas: DataFrame, run_ts: dt.datetime, target: DataFrame | None = None
+    bus: DataFrame,
+    subway: DataFrame,
+    areas: DataFrame,
+    run_ts: dt.datetime,
+    target: DataFrame | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Both staged transit feeds under one key, with the area's number as in the other facts."""
     tagged = [
@@ -234,6 +280,7 @@ def fact_transport(
         _minute().alias("time_key"),
         clock.wall(run_ts).alias("created_at"),
         F.col("created_at").alias("source_created_at"),
+        *_carry(carry),
     )
 
 
@@ -247,6 +294,7 @@ def fact_weather(
     run_ts: dt.datetime,
     target: DataFrame | None = None,
     lateness_minutes: int = 0,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Event-time watermark, widened by an allowed lateness for backfills."""
     fresh = incremental.since_event_time(stg, target, lateness_minutes=lateness_minutes)
@@ -257,4 +305,5 @@ def fact_weather(
         F.col("area_id").cast("int").alias("area_id"),
         clock.wall(run_ts).alias("created_at"),
         _minute().alias("time_key"),
+        *_carry(carry),
     )

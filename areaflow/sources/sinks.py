@@ -118,7 +118,7 @@ def _days(df: DataFrame, by: str) -> list:
     return [row[0] for row in df.select(by).distinct().collect()]
 
 
-def _on_days(df: DataFrame, by: str, days: list) -> DataFrame:
+def on_days(df: DataFrame, by: str, days: list) -> DataFrame:
     known = [d for d in days if d is not None]
     condition = F.col(by).isin(known) if known else F.lit(False)
     return df.where(condition | F.col(by).isNull()) if None in days else df.where(condition)
@@ -158,7 +158,7 @@ def _change(
         days: list = []
         if by:
             days = list({*_days(batch, by), *more_days, *(_days(stale_days(target), by) if stale_days else [])})
-            target = _on_days(target, by, days)
+            target = on_days(target, by, days)
         # a partition left without rows is not written, so it is removed
         _put(change(target, batch), path, partitions, [_folder(by, day) for day in days] if by else [])
         return days
@@ -198,6 +198,21 @@ def add_unknown(batch: DataFrame, path: str, keys: Sequence[str], by: str = DATE
     _change(path, batch, by, lambda target, b: incremental.insert_only(target, b, keys))
 
 
+def exchange(added: DataFrame, gone: DataFrame, path: str, keys: Sequence[str], by: str = DATE) -> list:
+    """Rows with the keys of ``gone`` and ``added`` go, those of ``added`` come."""
+    spark = added.sparkSession
+    days = _days(gone, by)
+    if not files.exists(spark, path):
+        write_partitions(added, path, [by])
+        return days
+
+    def change(target: DataFrame, b: DataFrame) -> DataFrame:
+        out = gone.select(*keys).unionByName(b.select(*keys)).distinct()
+        return target.join(out, list(keys), "left_anti").select(*b.columns).unionByName(b)
+
+    return _change(path, added, by, change, more_days=days)
+
+
 def replace_units(batch: DataFrame, path: str, unit: str, by: str = DATE) -> None:
     """Rows of the load units in the batch become the batch's, on whatever dates they were."""
     units = batch.select(unit).distinct()
@@ -235,9 +250,9 @@ def replace_range(
     )
 
 
-def replace_key(batch: DataFrame, path: str, column: str, value: dt.datetime, by: str = DATE) -> None:
-    """Delete the rows of one load key and load the batch."""
-    _change(
+def replace_key(batch: DataFrame, path: str, column: str, value: dt.datetime, by: str = DATE) -> list:
+    """Delete the rows of one load key and load the batch; returns the dates touched."""
+    return _change(
         path,
         batch,
         by,

@@ -6,12 +6,19 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areaflow import contracts
 from areaflow.functions import clock
 from areaflow.sources import files
 
 
+#: Partition columns of stored sources: the observation's date, and the load where several share a date.
+DATE = "observed_date"
+BATCH = "load_batch"
+_BY_DATE = ("weather", "event")
+
+
 class Warehouse:
     """Resolves ``source`` tables, dimensions and facts by name."""
 
@@ -22,13 +29,19 @@ class Warehouse:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def stored(self, name: str) -> DataFrame:
+        """A source table with its partition columns."""
+        schema = T.StructType([*contracts.SOURCE_TABLES[name].fields, T.StructField(DATE, T.DateType())])
+        if name not in _BY_DATE:
+            schema.add(BATCH, T.StringType())
+        return files.read_or_empty(self.spark, self.path("source", name), schema)
+
     def source(self, name: str, from_day: dt.date | None = None) -> DataFrame:
         """A source table in its contract order, pruned to the days from ``from_day`` on."""
-        schema = contracts.SOURCE_TABLES[name]
-        stored = files.read_or_empty(self.spark, self.path("source", name), schema)
-        if from_day and "observed_date" in stored.columns:
-            stored = stored.where(F.col("observed_date") >= F.lit(from_day))
-        return stored.select(*schema.names)
+        stored = self.stored(name)
+        if from_day:
+            stored = stored.where(F.col(DATE) >= F.lit(from_day))
+        return stored.select(*contracts.SOURCE_TABLES[name].names)
 
     def dimension(self, name: str) -> DataFrame:
         return files.read_or_empty(self.spark, self.path("dim", name), contracts.DIMENSIONS[name])
