@@ -18,7 +18,8 @@ from areaflow.sources import ledger, sinks
 from areaflow.sources.tables import Warehouse
 
 _LATER = RUN_TS + dt.timedelta(hours=1)
-_HALF = clock.wall("2024-01-16")
+_SINGLE = "QUALIFY count(*) OVER (PARTITION BY {}) = 1"
+_HALF = dt.datetime(2024, 1, 16)
 
 
 def _warehouse(spark, sf, **dims) -> Warehouse:
@@ -34,8 +35,13 @@ def _stored(wh: Warehouse, fact: str):
     return wh.existing("fact", fact).drop(sinks.DATE)
 
 
+def _single(rows, key: str):
+    """Rows whose key no other row has: loads hold one document of an observation, the events at times two."""
+    return rows.join(rows.groupBy(key).count().where("count = 1"), key, "left_semi").select(*rows.columns)
+
+
 def _halves(rows):
-    first = F.col("observed_at") < _HALF
+    first = F.col("observed_at") < clock.wall(_HALF)
     return rows.where(first), rows.where(~first)
 
 
@@ -44,13 +50,13 @@ def _halves(rows):
     with_sql(
         E, AREAS, SOURCE_COMMERCIAL, marts.FACT_COMMERCIAL,
         select=f"""SELECT * REPLACE (CASE WHEN time_key < 202401160000 THEN TIMESTAMP '{_LATER}' ELSE {RUN} END AS created_at)
-            FROM fact_commercial""",
+            FROM fact_commercial {_SINGLE.format("fact_commercial_id")}""",
     ),
 )
 def _(spark, sf):
     """The load that is stored and built second carries the earlier clock."""
     wh = _warehouse(spark, sf)
-    first, second = _halves(marts.source_commercial(spark, sf))
+    first, second = _halves(_single(marts.source_commercial(spark, sf), "source_id"))
     batches.store_load(wh, "commercial", first.withColumn("created_at", clock.wall(_LATER)), "later-clock")
     batches.build_marts(wh, _LATER, facts=["commercial"])
     batches.store_load(wh, "commercial", second, "earlier-clock")
@@ -62,13 +68,14 @@ def _(spark, sf):
     "m5_load_run_again",
     with_sql(
         E, AREAS, SOURCE_COMMERCIAL, marts.FACT_COMMERCIAL,
-        select="SELECT * FROM fact_commercial WHERE time_key >= 202401160000 OR congestion_level <> 'click'",
+        select=f"""SELECT * FROM (SELECT * FROM fact_commercial {_SINGLE.format("fact_commercial_id")})
+            WHERE time_key >= 202401160000 OR congestion_level <> 'click'""",
     ),
 )
 def _(spark, sf):
     """A built load runs again and has lost rows; the fact loses them, and those of other loads on its dates stay."""
     wh = _warehouse(spark, sf)
-    first, second = _halves(marts.source_commercial(spark, sf))
+    first, second = _halves(_single(marts.source_commercial(spark, sf), "source_id"))
     batches.store_load(wh, "commercial", first, "first")
     batches.store_load(wh, "commercial", second, "second")
     batches.build_marts(wh, RUN_TS, facts=["commercial"])
@@ -121,14 +128,14 @@ def _(spark, sf):
     "j5_parent_arrives_later",
     with_sql(
         E, CATEGORIES, SOURCE_COMMERCIAL, SOURCE_CATEGORY, marts.STG_CATEGORY, marts.FACT_CATEGORY,
-        select="SELECT * FROM fact_rsb",
+        select=f"SELECT * FROM fact_rsb {_SINGLE.format('fact_commercial_rsb_id')}",
     ),
 )
 def _(spark, sf):
     """Categories are built before the observations they belong to; these arrive in two loads."""
     wh = _warehouse(spark, sf)
     docs = roles.documents(spark, sf)
-    batches.store_load(wh, "commercial_rsb", marts.source_category(spark, sf, docs), "categories")
+    batches.store_load(wh, "commercial_rsb", _single(marts.source_category(spark, sf, docs), "commercial_id"), "categories")
     batches.build_marts(wh, RUN_TS, facts=["commercial_rsb"])
     for name, part in zip(("first", "second"), _halves(marts.source_commercial(spark, sf, docs)), strict=True):
         batches.store_load(wh, "commercial", part, name)
