@@ -12,7 +12,7 @@ from areaflow.functions import clock
 from areaflow.operators import conform
 from areaflow.queries.registry import query, table
 from areaflow.queries.roles import E, areas, json_documents, landed_documents, observations, raw_key, with_sql
-from areaflow.sources import files, paths, raw, sinks, tables
+from areaflow.sources import files, manifest, paths, raw, sinks, tables
 
 _START, _END = dt.datetime(2024, 1, 10, 21), dt.datetime(2024, 1, 20, 9)
 
@@ -170,6 +170,23 @@ def _(spark, sf):
     return tables.hour_partitions(_hour_table(spark, sf), _START, _END).select("event_id", "ts")
 
 
+@query(
+    "s15_manifest_scan",
+    f"""SELECT event_id, ts, CAST(hour(ts) AS INTEGER) AS hour FROM events
+        WHERE date_trunc('hour', ts) >= TIMESTAMP '{_START}' AND date_trunc('hour', ts) < TIMESTAMP '{_END}'""",
+)
+def _(spark, sf):
+    """A window's files as listed, each of them; what lands in the hours afterwards is another load's."""
+    root, path = session.scratch(spark, "hourly"), session.scratch(spark, "manifest")
+    dated = conform.with_date_parts(table(spark, sf, "events"), "ts")
+    by = ["year", "month", "day", "hour"]
+    sinks.write_partitions(dated, root, by)
+    if not manifest.write(spark, root, _START, _END, path):
+        return dated.select("event_id", "ts", "hour").limit(0)
+    sinks.append(dated.where("event_type = 'click'"), root, by=by)
+    return manifest.scan(spark, path).select("event_id", "ts", "hour")
+
+
 @query(
     "s16_staged_json",
     with_sql(E, select="SELECT event_id, user_id, k, ts FROM e"),
