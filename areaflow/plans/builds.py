@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from areaflow import contracts as c
 from areaflow import session
 from areaflow.operators import lookup
-from areaflow.plans import marts
+from areaflow.plans import marts, serving
 from areaflow.sources import files, ledger, sinks
 from areaflow.sources.tables import BATCH, Warehouse
 
@@ -275,7 +275,9 @@ def _rows(plan: Plan, built: DataFrame) -> DataFrame:
 def _build_all(wh: Warehouse, plan: Plan, dims: Frames, run_ts: dt.datetime, scratch: list[str]) -> None:
     built, path = session.staged(_dated(plan.frame(_frames(wh, plan, None), dims, run_ts)), "build")
     scratch.append(path)
-    sinks.write_partitions(_rows(plan, built), wh.path("fact", plan.name), [DATE], keep_others=False)
+    rows = _rows(plan, built)
+    sinks.write_partitions(rows, wh.path("fact", plan.name), [DATE], keep_others=False)
+    serving.refresh(wh, plan.name, rows, None)
     keys = missed(plan, built)
     if files.exists(wh.spark, wh.path("pending", plan.name)) or not keys.isEmpty():
         sinks.write_partitions(keys, wh.path("pending", plan.name), [DATE], keep_others=False)
@@ -302,13 +304,15 @@ def _build_new(
         return bool(new.loads)
     built, path = session.staged(_dated(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])), "build")
     scratch.append(path)
-    fact_path = wh.path("fact", plan.name)
-    if new.again & days:
+    fact_path, rows = wh.path("fact", plan.name), _rows(plan, built)
+    again = sorted(new.again & days)
+    if again:
         alive, alive_path = session.staged(plan.frame(_frames(wh, plan, new.again), dims, run_ts).select(*plan.key()), "alive")
         scratch.append(alive_path)
-        sinks.upsert_alive(_rows(plan, built), fact_path, plan.key(), alive, sorted(new.again & days))
+        touched = sinks.upsert_alive(rows, fact_path, plan.key(), alive, again)
     else:
-        sinks.upsert(_rows(plan, built), fact_path, plan.key())
+        touched = sinks.upsert(rows, fact_path, plan.key())
+    serving.refresh(wh, plan.name, rows, touched, again)
     _note(wh, plan, missed(plan, built), learned[0] if late_days else None)
     return True
 

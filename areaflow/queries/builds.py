@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from areaflow import session
 from areaflow.functions import clock
-from areaflow.plans import batches
-from areaflow.queries import marts, roles
+from areaflow.plans import batches, serving
+from areaflow.queries import dashboards, marts, roles
 from areaflow.queries.registry import RUN_TS, query
 from areaflow.queries.roles import (
-    AREAS, CATEGORIES, CONGESTIONS, RUN, SOURCE_CATEGORY, SOURCE_COMMERCIAL, SOURCE_EVENT, SOURCE_POPULATION, E, with_sql,
+    AREAS, CATEGORIES, CONGESTIONS, RUN, SOURCE_CATEGORY, SOURCE_COMMERCIAL, SOURCE_EVENT, SOURCE_POPULATION,
+    SOURCE_WEATHER, E, with_sql,
 )
 from areaflow.sources import ledger, sinks
 from areaflow.sources.tables import Warehouse
@@ -141,3 +142,46 @@ def _(spark, sf):
         batches.store_load(wh, "commercial", part, name)
         batches.build_marts(wh, RUN_TS, facts=["commercial_rsb"])
     return _stored(wh, "commercial_rsb")
+
+
+def _latest(feed: str, columns: str) -> str:
+    single = f"(SELECT * FROM fact_{feed} {_SINGLE.format(f'fact_{feed}_id')})"
+    return dashboards._latest(single, f"fact_{feed}_id", f"time_key AS {feed}_time_key, {columns}")
+
+
+@query(
+    "d50_latest_state",
+    with_sql(
+        E, AREAS, CONGESTIONS, SOURCE_COMMERCIAL, marts.FACT_COMMERCIAL, SOURCE_POPULATION, marts.FACT_POPULATION,
+        SOURCE_WEATHER, marts.FACT_WEATHER,
+        select=f"""SELECT * FROM {_latest("commercial", "congestion_level, total_payment_count")}
+            FULL JOIN {_latest("population", "congestion_id, population_min, population_max")} USING (area_id)
+            FULL JOIN {_latest("weather", "temperature, pm10_value, air_quality_value")} USING (area_id)""",
+    ),
+)
+def _(spark, sf):
+    """The newest row of every area from the state that two loads' builds kept, the newer load built first."""
+    wh = _warehouse(spark, sf)
+    docs = roles.documents(spark, sf)
+    feeds = {"commercial": marts.source_commercial, "population": marts.source_population, "weather": marts.source_weather}
+    kept = {name: session.staged(_single(make(spark, sf, docs), "source_id"), name)[0] for name, make in feeds.items()}
+    halves = {name: _halves(rows) for name, rows in kept.items()}
+    for load in (1, 0):
+        for name, parts in halves.items():
+            if name == "weather":
+                days = sinks.upsert(parts[load].withColumn(sinks.DATE, F.to_date("observed_at")), wh.path("source", name), ["source_id"])
+                ledger.record(wh, name, f"load {load}", days)
+            else:
+                batches.store_load(wh, name, parts[load], f"load {load}")
+        batches.build_marts(wh, RUN_TS, facts=list(feeds))
+    return serving.latest_state(wh)
+
+
+@query("d51_weekly_partials", dashboards._WEEKLY_SQL)
+def _(spark, sf):
+    """A week merged from the hours that two loads' builds kept."""
+    wh = _warehouse(spark, sf)
+    for name, part in zip(("first", "second"), _halves(marts.source_population(spark, sf)), strict=True):
+        batches.store_load(wh, "population", part, name)
+        batches.build_marts(wh, RUN_TS, facts=["population"])
+    return serving.weekly_stats(wh, dashboards._WEEK)

@@ -121,18 +121,18 @@ def _(spark, sf):
     return dashboards.latest_snapshot(*facts)
 
 
-@query(
-    "d51_weekly_stats",
-    with_sql(
-        E, AREAS, CONGESTIONS, SOURCE_POPULATION, marts.FACT_POPULATION,
-        select="""SELECT area_id, CAST(isodow(minute_at) AS INTEGER) AS weekday, CAST(hour(minute_at) AS INTEGER) AS hour,
-            count(*) AS observations, min(population_min) AS population_min, max(population_max) AS population_max,
-            CAST(sum(population_min + population_max) AS DOUBLE) / 2 / count(*) AS population_avg
-            FROM (SELECT *, strptime(CAST(time_key AS VARCHAR), '%Y%m%d%H%M') AS minute_at FROM fact_population)
-            WHERE minute_at >= TIMESTAMP '2024-01-15' AND minute_at < TIMESTAMP '2024-01-22' AND area_id IS NOT NULL
-            GROUP BY ALL""",
-    ),
+_WEEKLY_SQL = with_sql(
+    E, AREAS, CONGESTIONS, SOURCE_POPULATION, marts.FACT_POPULATION,
+    select="""SELECT area_id, CAST(isodow(minute_at) AS INTEGER) AS weekday, CAST(hour(minute_at) AS INTEGER) AS hour,
+        count(*) AS observations, min(population_min) AS population_min, max(population_max) AS population_max,
+        CAST(sum(population_min + population_max) AS DOUBLE) / 2 / count(*) AS population_avg
+        FROM (SELECT *, strptime(CAST(time_key AS VARCHAR), '%Y%m%d%H%M') AS minute_at FROM fact_population)
+        WHERE minute_at >= TIMESTAMP '2024-01-15' AND minute_at < TIMESTAMP '2024-01-22' AND area_id IS NOT NULL
+        GROUP BY ALL""",
 )
+
+
+@query("d51_weekly_stats", _WEEKLY_SQL)
 def _(spark, sf):
     return dashboards.weekly_stats(marts.fact_population(spark, sf), _WEEK)
 

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+@functools.lru_cache(maxsize=4)
+def _path_class(jvm):
+    """Looked up once: resolving a class name asks the JVM for every part of it."""
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def _fs(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path = _path_class(spark._jvm)(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 

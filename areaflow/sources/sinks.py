@@ -77,6 +77,12 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str], keep_others: b
     _put(df, path, by, () if keep_others else journal.folders(spark, path, len(by)))
 
 
+def replace_days(df: DataFrame, path: str, days: Sequence[dt.date | None], by: str = DATE) -> None:
+    """The rows of some dates become these; a date without rows loses its partition."""
+    journal.recover(df.sparkSession, path)
+    _put(df, path, [by], [_folder(by, day) for day in days])
+
+
 def replace_load(df: DataFrame, path: str, load: str, by: Sequence[str]) -> list[str]:
     """Overwrite the partitions of one load; the last of ``by`` holds its name.
 

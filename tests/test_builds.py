@@ -123,3 +123,49 @@ def test_ledger_files_stay_few(spark, wh, monkeypatch):
     assert len(files.matching(spark, f"{wh.path('ledger', 'loads')}/*.parquet")) <= 4
     unbuilt, _ = ledger.unbuilt(wh, "transport", ["bus"])
     assert sorted(r.load for r in unbuilt.collect()) == [f"load {i}" for i in range(6)]
+
+
+def state(wh):
+    """The stored state, and the ranking of the whole fact it must equal."""
+    kept = {r.area_id: (r.time_key, r.fact_commercial_id) for r in wh.existing("state", "commercial").collect()}
+    whole: dict = {}
+    for r in wh.existing("fact", "commercial").where("area_id is not null").collect():
+        best = whole.get(r.area_id)
+        if best is None or (-r.time_key, r.fact_commercial_id) < (-best[0], best[1]):
+            whole[r.area_id] = (r.time_key, r.fact_commercial_id)
+    return kept, whole
+
+
+def test_state_follows_loads_replays_and_replaced_loads(spark, wh):
+    more = spark.createDataFrame([(1, "POI001"), (2, "POI002")], "area_id int, area_code string")
+    sinks.replace_prefix(more, wh.path("dim", "area"))
+    loads = [
+        ("old", [("a", "POI001", -40, 9), ("b", "POI002", -3, 9), ("c", "POI001", -9, 9)]),
+        ("new", [("d", "POI001", 2, 9), ("e", "POI002", 2, 9)]),
+        ("earlier", [("f", "POI001", 1, 3)]),
+        ("new", [("d", "POI001", 2, 9), ("e", "POI002", 2, 9)]),
+        ("new", [("e", "POI002", 2, 9)]),
+        ("earlier", [("g", "POI002", 0, 3)]),
+        ("old", [("a", "POI001", -40, 9)]),
+    ]
+    for name, rows in loads:
+        batches.store_load(wh, "commercial", observations(spark, *rows), name)
+        run(wh)
+        kept, whole = state(wh)
+        assert kept == whole, (name, rows)
+    assert set(kept) == {1, 2}
+
+
+def test_dashboards_read_no_fact(spark, wh):
+    from areaflow.plans import serving
+
+    names = c.SOURCE_TABLES["population"]
+    row = spark.createDataFrame([tuple([None] * len(names))], names)
+    filled = row.withColumns({"source_id": F.lit("a"), "area_code": F.lit("POI001"), "observed_at": clock.wall("2025-06-25 08:00:00"),
+                              "population_min": F.lit(3), "population_max": F.lit(4)})
+    batches.store_load(wh, "population", filled, "x")
+    batches.build_marts(wh, RUN, facts=["population"])
+    weekly = serving.weekly_stats(wh, dt.datetime(2025, 7, 2))
+    assert [(r.area_id, r.weekday, r.hour, r.population_avg) for r in weekly.collect()] == [(1, 3, 8, 3.5)]
+    text = weekly._jdf.queryExecution().executedPlan().toString()
+    assert "/fact/" not in text and "observed_date" in text[text.index("PartitionFilters") : text.index("PushedFilters")]
