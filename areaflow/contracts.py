@@ -255,6 +255,15 @@ HISTORY_TABLE = _table(
     ("load_batch", T.StringType()),
 )
 
+HISTORY_MINUTES = _table(
+    ("area_id", T.IntegerType()),
+    ("bits", T.BinaryType()),
+    ("rest", T.ArrayType(_NTZ)),
+    ("processed_at", _NTZ),
+    ("observed_date", T.DateType()),
+    ("load_batch", T.StringType()),
+)
+
 DIMENSIONS: dict[str, T.StructType] = {
     "area": _table(("area_id", T.IntegerType()), ("area_code", T.StringType())),
     "category": _table(

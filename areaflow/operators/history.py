@@ -1,7 +1,7 @@
 """Processed-observation history: which (area, observation time) was loaded.
 
-Held as a table partitioned by observation date.  A batch only ever looks at
-the dates of its own window, however long the history has grown.
+Stored as minute bitmaps partitioned by observation date and load.  A batch only ever
+looks at the dates of its own window, however long the history has grown.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from areaflow import contracts
 from areaflow.functions import clock, text
-from areaflow.operators import generators
+from areaflow.operators import generators, minutes
 
 KEYS = ("area_id", "observed_at")
 
@@ -91,9 +91,13 @@ def unseen(batch: DataFrame, history: DataFrame, on: Mapping[str, str] | None =
     """Rows whose key is not in the history.
 
     ``on`` maps batch columns to history columns, by default :data:`KEYS` to
-    themselves.  The history side is reduced to distinct keys before the join.
+    themselves.  The history side is reduced to distinct keys before the join; packed
+    history (:mod:`areaflow.operators.minutes`) is tested bit by bit.
     """
     on = on or {k: k for k in KEYS}
+    if minutes.is_packed(history):
+        area, observed_at = (next(b for b, h in on.items() if h == k) for k in KEYS)
+        return minutes.unseen(batch, history, area, observed_at)
     side = history.select(*[F.col(h).alias(f"_seen_{i}") for i, h in enumerate(on.values())]).distinct()
     condition = [batch[b] == side[f"_seen_{i}"] for i, b in enumerate(on)]
     return batch.join(side, condition, "left_anti")

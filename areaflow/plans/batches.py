@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from areaflow import contracts as c
 from areaflow import session
 from areaflow.functions import clock, text
-from areaflow.operators import history, lookup
+from areaflow.operators import history, lookup, minutes
 from areaflow.plans import builds, feeds, marts
 from areaflow.sources import files, ledger, paths, raw, sinks
 from areaflow.sources.tables import BATCH, Warehouse
@@ -42,14 +42,17 @@ def _day(folder: str) -> dt.date | None:
 
 
 def _known(wh: Warehouse, feed: str, seen: DataFrame, load: str) -> DataFrame:
-    return history.by_others(history.for_batch(wh.history(feed), seen), load)
+    """Minutes of other loads on the batch's dates, one row per area and date."""
+    packed = history.by_others(history.for_batch(wh.history_minutes(feed), seen), load)
+    older = history.by_others(history.for_batch(wh.history_rows(feed), seen), load)
+    columns = ["area_id", sinks.DATE, minutes.BITS, minutes.REST]
+    return minutes.merged(packed.select(*columns).unionByName(minutes.pack(older).select(*columns)))
 
 
 def _remember(wh: Warehouse, feed: str, seen: DataFrame, run_ts: dt.datetime, load: str) -> None:
     entries = history.unseen(history.entries_of(seen, run_ts), _known(wh, feed, seen, load))
-    fresh, path = session.staged(entries.withColumn(BATCH, F.lit(load)), "history")
-    sinks.replace_load(fresh, wh.path("history", feed), load, [sinks.DATE, BATCH])
-    files.remove(wh.spark, path)
+    fresh = minutes.pack(entries, by=["processed_at"]).withColumn(BATCH, F.lit(load))
+    sinks.replace_load(fresh, wh.path("history_minutes", feed), load, [sinks.DATE, BATCH])
 
 
 def refuse(docs: DataFrame, wh: Warehouse, run_ts: dt.datetime, load: str) -> DataFrame:

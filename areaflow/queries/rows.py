@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from areaflow import contracts as c
 from areaflow.functions import clock, keys, parsing, text
-from areaflow.operators import conform, dedupe, generators, history, incremental, lookup
+from areaflow.operators import conform, dedupe, generators, history, incremental, lookup, minutes
 from areaflow.queries.registry import RUN_TS, query, table
 from areaflow.queries.roles import (
     AREAS, CATEGORIES, CONGESTIONS, E, TRANSIT_LOADS, areas, categories, congestions, documents, observations,
@@ -126,6 +126,38 @@ def _(spark, sf):
     return history.unseen(batch, _finished(spark, sf), {"o_custkey": "area_id", "o_orderdate": "observed_at"})
 
 
+# History of purchases, some of them off the whole minute; the batch is every event.
+_MINUTE_SQL = """CASE WHEN event_id % 3 = 0 THEN date_trunc('second', ts) ELSE date_trunc('minute', ts) END"""
+
+
+def _observed(spark, sf):
+    at = F.when(F.col("event_id") % 3 == 0, clock.truncated(F.col("ts"), "second")).otherwise(clock.truncated(F.col("ts"), "minute"))
+    return table(spark, sf, "events").select("event_id", F.col("user_id").cast("int").alias("area_id"), at.alias("observed_at"), "event_type")
+
+
+@query(
+    "j6_history_minutes",
+    f"""WITH o AS (SELECT event_id, CAST(user_id AS INTEGER) AS area_id, CAST({_MINUTE_SQL} AS TIMESTAMP) AS observed_at, event_type FROM events)
+        SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM o h WHERE h.event_type = 'purchase'
+          AND h.area_id = o.area_id AND h.observed_at = o.observed_at)""",
+)
+def _(spark, sf):
+    """The anti-join against bitmaps of two loads."""
+    rows = _observed(spark, sf)
+    loads = minutes.pack(rows.where("event_type = 'purchase'").withColumn("load", F.col("event_id") % 2), by=["load"])
+    return history.unseen(rows, minutes.merged(loads))
+
+
+@query(
+    "k13_history_minutes",
+    f"""SELECT DISTINCT CAST(user_id AS INTEGER) AS area_id, CAST({_MINUTE_SQL} AS TIMESTAMP) AS observed_at,
+        CAST(ts AS DATE) AS observed_date FROM events""",
+)
+def _(spark, sf):
+    """Every observation packed, merged and read back as rows."""
+    return minutes.unpack(minutes.merged(minutes.pack(_observed(spark, sf), by=["event_type"])))
+
+
 @query(
     "j7_history_anti_using",
     """SELECT area_id, observed_at, count(*) AS n FROM (

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from areaflow import contracts
 from areaflow.functions import clock
+from areaflow.operators import minutes
 from areaflow.sources import files
 
 
@@ -46,9 +47,19 @@ class Warehouse:
     def dimension(self, name: str) -> DataFrame:
         return files.read_or_empty(self.spark, self.path("dim", name), contracts.DIMENSIONS[name])
 
-    def history(self, feed: str) -> DataFrame:
+    def history_minutes(self, feed: str) -> DataFrame:
+        """History as stored: one row of bits per area, date and load."""
+        return files.read_or_empty(self.spark, self.path("history_minutes", feed), contracts.HISTORY_MINUTES)
+
+    def history_rows(self, feed: str) -> DataFrame:
+        """History stored row by row, as it was before there were bits."""
         return files.read_or_empty(self.spark, self.path("history", feed), contracts.HISTORY_TABLE)
 
+    def history(self, feed: str) -> DataFrame:
+        """All history as rows."""
+        rows = self.history_rows(feed)
+        return minutes.unpack(self.history_minutes(feed)).select(*rows.columns).unionByName(rows)
+
     def existing(self, layer: str, name: str) -> DataFrame | None:
         """A built table, or None before its first build."""
         path = self.path(layer, name)
