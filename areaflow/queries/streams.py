@@ -111,3 +111,46 @@ def _(spark, sf):
         mode="update",
     )
     return spark.read.parquet(path).drop(sinks.DATE)
+
+
+@query(
+    "b7_stream_unit_in_pieces",
+    """SELECT event_id, ts, event_type, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-15' THEN 2 ELSE 1 END AS load, true AS complete
+       FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-15' OR event_type <> 'click'""",
+)
+def _(spark, sf):
+    """Days are units whose rows arrive over three triggers; one arrives again later, in two pieces, and replaces itself."""
+    path = session.scratch(spark, "stream-pieces")
+    rows = _dated(_events(spark, sf)).select("event_id", "ts", "event_type", F.col(sinks.DATE).cast("string").alias("unit"))
+    sizes = rows.groupBy("unit").agg(F.count("*").alias("size"))
+    first = rows.join(sizes, "unit").withColumn("load", F.lit(1))
+    again = rows.where("unit = '2024-01-15' AND event_type <> 'click'").withColumn("load", F.lit(2))
+    again = again.join(again.groupBy("unit").agg(F.count("*").alias("size")), "unit").select(*first.columns)
+    pieces = [first.where(F.col("event_id") % 3 == i) for i in range(3)]
+    halves = [again.where(F.col("event_id") % 2 == i) for i in range(2)]
+    _stream(
+        [[p] for p in [*pieces, *halves]],
+        lambda stream: batches.whole_units(_dated(stream), "unit", expected="size"),
+        batches.replace_unit_sink(path, "unit"),
+    )
+    return spark.read.parquet(path).select("event_id", "ts", "event_type", "load", "complete")
+
+
+@query(
+    "b6_stream_late_rows",
+    """SELECT 'on time' AS arrived, event_type, count(*) AS n FROM events GROUP BY event_type
+       UNION ALL SELECT 'behind the watermark', event_type, count(*) FROM events
+       WHERE event_type = 'click' AND ts < TIMESTAMP '2024-01-11' GROUP BY event_type""",
+)
+def _(spark, sf):
+    """The month in thirds, clicks of the first again with the last: these are kept as late, with the reason."""
+    path = session.scratch(spark, "stream-late")
+    first, second, third = _thirds(_events(spark, sf))
+    _stream(
+        [[first], [second], [third, first.where("event_type = 'click'")]],
+        lambda stream: stream,
+        batches.routed_sink(path, "ts", 5, 2 * 24 * 60, "event_type"),
+    )
+    on_time = batches.slot_counts(spark, path, "event_type").select(F.lit("on time").alias("arrived"), "event_type", "n")
+    late = batches.late_counts(spark, path, "event_type").select(F.col("reason").alias("arrived"), "event_type", "n")
+    return on_time.unionByName(late).groupBy("arrived", "event_type").agg(F.sum("n").alias("n"))

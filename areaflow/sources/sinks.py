@@ -21,6 +21,8 @@ from areaflow.operators import history as processed
 from areaflow.sources import files, journal
 
 DATE = "observed_date"
+#: Files of an index before it is rewritten as few.
+INDEX_FILES = 64
 
 
 def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -219,16 +221,56 @@ def exchange(added: DataFrame, gone: DataFrame, path: str, keys: Sequence[str],
     return _change(path, added, by, change, more_days=days)
 
 
+def _unit_index(path: str) -> str:
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_units/{name}"
+
+
+def _unit_days(target: DataFrame, unit: str, by: str) -> DataFrame:
+    """Which dates each unit has rows on, sorted so that a range of units is a few row groups."""
+    return target.select(F.col(unit).alias("unit"), F.col(by).alias("day")).distinct().sort("unit")
+
+
+def _known_days(units: DataFrame, path: str, unit: str, by: str) -> list:
+    """The dates that units of a batch had rows on, from the index beside the table."""
+    spark, index = units.sparkSession, _unit_index(path)
+    if not files.exists(spark, path):
+        return []
+    if not files.exists(spark, index):
+        append(_unit_days(spark.read.parquet(path), unit, by), index)
+    low, high = units.agg(F.min(unit), F.max(unit)).first()
+    # names of units begin with their time, so the bounds leave most files unread
+    near = spark.read.parquet(index).where(F.col("unit").between(F.lit(low), F.lit(high)))
+    found = near.join(units.select(F.col(unit).alias("unit")).distinct(), "unit", "left_semi")
+    return [row[0] for row in found.select("day").distinct().collect()]
+
+
 def replace_units(batch: DataFrame, path: str, unit: str, by: str = DATE) -> None:
-    """Rows of the load units in the batch become the batch's, on whatever dates they were."""
-    units = batch.select(unit).distinct()
-    _change(
-        path,
-        batch,
-        by,
-        lambda target, b: target.join(b.select(unit).distinct(), unit, "left_anti").select(*target.columns).unionByName(b),
-        stale_days=lambda target: target.join(units, unit, "left_semi"),
-    )
+    """Rows of the load units in the batch become the batch's, on whatever dates they were.
+
+    An index from units to dates says which partitions to rewrite.  It is added to before the
+    table changes, so it never lacks a date; one too many costs a partition read in vain.
+    """
+    spark = batch.sparkSession
+    journal.recover(spark, path)
+    rows, rows_path = session.staged(batch, "units")
+    try:
+        if rows.isEmpty():
+            return
+        index = _unit_index(path)
+        days = _known_days(rows, path, unit, by)
+        append(_unit_days(rows, unit, by).coalesce(1), index)
+        if len(files.matching(spark, f"{index}/*.parquet")) > INDEX_FILES:
+            replace_prefix(spark.read.parquet(index).distinct().sort("unit"), index)
+        _change(
+            path,
+            rows,
+            by,
+            lambda target, b: target.join(b.select(unit).distinct(), unit, "left_anti").select(*target.columns).unionByName(b),
+            more_days=days,
+        )
+    finally:
+        files.remove(spark, rows_path)
 
 
 def insert_only(batch: DataFrame, path: str, keys: Sequence[str]) -> None:

@@ -6,15 +6,19 @@ the stateful step and cast back to wall clocks in each micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import datetime as dt
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from areaflow import contracts
-from areaflow.sources import paths, sinks
+from areaflow import contracts, session
+from areaflow.functions import clock
+from areaflow.sources import files, paths, sinks
 
 EVENT_TIME = "_event_time"
 
@@ -53,6 +57,110 @@ def tumbling(df: DataFrame, observed_at: str, minutes: int, delay: str, *by: str
     return counted.select(F.col("window.start").cast("timestamp_ntz").alias("slot"), *by, F.col("count").alias("n"))
 
 
+# --- units that arrive in pieces --------------------------------------------------------
+
+_GATHERED = "rows array<string>, expected int"
+# rows wait as JSON, with times to the microsecond
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_EXACT = {"timestampNTZFormat": _MICROS, "timestampFormat": f"{_MICROS}XXX", "ignoreNullFields": "false"}
+
+
+def whole_units(
+    df: DataFrame, unit: str, expected: str | None = None, patience_ms: int = 1_800_000
+) -> DataFrame:
+    """Rows of a load unit together, however many micro-batches they arrive in.
+
+    Rows wait in the state of their unit until there are as many as ``expected`` says, or until
+    others have been arriving for ``patience_ms`` longer; then all leave at once, with
+    ``complete`` telling which.  A unit that arrives again after that is gathered anew.  Timers
+    and watermark go by the time of arrival, so a unit of any age is taken and none is late.
+    State holds the units under way, each as large as one unit.
+    """
+    kept = [f for f in df.schema.fields if f.name != expected]
+    row_type = T.StructType(kept)
+    packed = df.select(
+        F.col(unit).cast("string").alias("_unit"),
+        F.to_json(F.struct(*[f.name for f in kept]), _EXACT).alias("_row"),
+        (F.col(expected).cast("int") if expected else F.lit(None).cast("int")).alias("_expected"),
+        F.current_timestamp().alias("_arrived"),
+    )
+    timed = packed.withWatermark("_arrived", f"{patience_ms} milliseconds").withColumn("_at", F.unix_millis("_arrived"))
+
+    def gather(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows, size = (list(state.get[0]), state.get[1]) if state.exists else ([], None)
+        arrived = 0
+        # a timer brings no rows
+        for piece in () if state.hasTimedOut else pieces:
+            rows.extend(piece["_row"].tolist())
+            arrived = max(arrived, int(piece["_at"].max()))
+            sizes = piece["_expected"].dropna()
+            size = int(sizes.iloc[-1]) if len(sizes) else size
+        complete = size is not None and len(rows) >= size
+        if complete or state.hasTimedOut:
+            if state.exists:
+                state.remove()
+            yield pd.DataFrame({"_row": rows, "complete": complete})
+        else:
+            state.update((rows, size))
+            state.setTimeoutTimestamp(arrived)
+
+    whole = timed.groupBy("_unit").applyInPandasWithState(
+        gather, "_row string, complete boolean", _GATHERED, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return whole.select(F.from_json("_row", row_type, _EXACT).alias("_r"), "complete").select("_r.*", "complete")
+
+
+# --- rows behind the watermark ----------------------------------------------------------------
+
+
+def routed_sink(path: str, observed_at: str, minutes: int, delay_minutes: int, *by: str) -> Callable[[DataFrame, int], None]:
+    """Counts per tumbling slot, with rows of closed slots kept apart instead of dropped.
+
+    A slot is closed once it ends at or before the newest time of earlier micro-batches less the
+    delay.  ``on_time`` holds counts, ``late`` whole rows with the reason, both by micro-batch, so
+    a micro-batch that runs again replaces what it wrote; ``marks`` holds each one's newest time.
+    """
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows, staged = session.staged(batch.withColumn(_BATCH, F.lit(batch_id).cast("bigint")), "micro-batch")
+        try:
+            mark = None
+            if files.exists(spark, f"{path}/marks"):
+                earlier = spark.read.schema(_MARKS).parquet(f"{path}/marks").where(F.col(_BATCH) < batch_id)
+                mark = earlier.agg(F.max("newest")).first()[0]
+            slot = F.timestamp_add("MINUTE", -(F.minute(observed_at) % minutes), clock.truncated(F.col(observed_at), "minute"))
+            slotted = rows.withColumn("slot", slot)
+            bound = F.lit(None).cast("timestamp_ntz") if mark is None else clock.wall(mark - dt.timedelta(minutes=delay_minutes))
+            closed = F.timestamp_add("MINUTE", F.lit(minutes), F.col("slot")) <= bound
+            reason = F.when(F.col("slot").isNull(), "no time").when(closed, "behind the watermark")
+            judged = slotted.withColumns({"reason": reason, "bound": bound})
+            late = judged.where("reason is not null")
+            counted = judged.where("reason is null").groupBy("slot", *by, _BATCH).agg(F.count("*").alias("n"))
+            sinks.write_partitions(late, f"{path}/late", [_BATCH])
+            sinks.write_partitions(counted, f"{path}/on_time", [_BATCH])
+            newest = rows.groupBy(_BATCH).agg(F.max(F.col(observed_at).cast("timestamp_ntz")).alias("newest"))
+            sinks.write_partitions(newest.select("newest", _BATCH), f"{path}/marks", [_BATCH])
+        finally:
+            files.remove(spark, staged)
+
+    return route
+
+
+_BATCH = "batch_id"
+_MARKS = f"newest timestamp_ntz, {_BATCH} bigint"
+
+
+def slot_counts(spark: SparkSession, path: str, *by: str) -> DataFrame:
+    """Rows on time of every slot."""
+    return spark.read.parquet(f"{path}/on_time").groupBy("slot", *by).agg(F.sum("n").alias("n"))
+
+
+def late_counts(spark: SparkSession, path: str, *by: str) -> DataFrame:
+    """How many rows came too late, by reason and slot."""
+    return spark.read.parquet(f"{path}/late").groupBy("reason", "slot", *by).agg(F.count("*").alias("n"))
+
+
 def run_available(
     df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append"
 ) -> StreamingQuery:
@@ -98,7 +206,8 @@ def replace_unit_sink(path: str, unit: str, by: str = sinks.DATE) -> Callable[[D
     """Late data by replacement: a load unit that arrives again replaces all its rows.
 
     A unit is what arrives whole in one micro-batch, such as a file's minute and
-    area.  A micro-batch as such is no unit: other rows of its time range stay.
+    area, or what :func:`whole_units` has gathered.  A micro-batch as such is no unit:
+    other rows of its time range stay.
     """
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
