@@ -136,15 +136,20 @@ def weekly_stats(fact_population: DataFrame, run_ts: dt.datetime, area_id: int |
     )
 
 
+#: What the insight view takes of each fact, next to area and minute.
+INSIGHT = {
+    "commercial": [*_PAYMENT_NAMES, *_RATIO_NAMES],
+    "population": ["congestion_id", "population_min", "population_max", "resident_ratio", "non_resident_ratio"],
+}
+
+
 def insight(
     fact_commercial: DataFrame, fact_population: DataFrame, conditions: Sequence[Column], order: Sequence[Column]
 ) -> DataFrame:
     """Spending and crowd traits of the same area and minute, filtered and sorted."""
     at = ["area_id", "time_key"]
-    spends = fact_commercial.select(*at, *_PAYMENT_NAMES, *_RATIO_NAMES)
-    crowds = fact_population.select(
-        *at, "congestion_id", "population_min", "population_max", "resident_ratio", "non_resident_ratio"
-    )
+    spends = fact_commercial.select(*at, *INSIGHT["commercial"])
+    crowds = fact_population.select(*at, *INSIGHT["population"])
     joined = spends.join(crowds, at)
     for condition in conditions:
         joined = joined.where(condition)

@@ -6,6 +6,9 @@ is looked up anew, from the newest dates backwards.
 
 ``partials`` holds count, sum, least and greatest crowd sizes of every area, date and hour.
 A build writes the dates it touched; longer periods merge hours.
+
+``insight`` holds, once asked for, the columns of two facts that are read side by side,
+bucketed by area and minute, so that their join moves no row.
 """
 
 from __future__ import annotations
@@ -13,13 +16,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areaflow import session
 from areaflow.functions import clock
 from areaflow.operators import dedupe
-from areaflow.sources import files, journal, sinks
+from areaflow.plans import dashboards
+from areaflow.sources import buckets, files, journal, sinks
 from areaflow.sources.tables import Warehouse
 
 DATE = sinks.DATE
@@ -139,10 +143,52 @@ def weekly_stats(wh: Warehouse, run_ts: dt.datetime, area_id: int | None = None)
     )
 
 
+# --- facts side by side -------------------------------------------------------------------
+
+INSIGHT_KEYS = ["area_id", "time_key"]
+
+
+def _side(fact: DataFrame, feed: str) -> DataFrame:
+    """Rows that can find a partner."""
+    return fact.dropna(subset=INSIGHT_KEYS).select(*INSIGHT_KEYS, *dashboards.INSIGHT[feed], DATE)
+
+
+def keep_insight(wh: Warehouse, count: int) -> None:
+    """Keep the sides of the insight view from now on, each date in ``count`` buckets.
+
+    A bucket is what one task reads of all dates asked for, so the count follows from the
+    size of the longest usual range.
+    """
+    for feed in dashboards.INSIGHT:
+        buckets.create(_side(wh.existing("fact", feed), feed), wh.path("insight", feed), INSIGHT_KEYS, count)
+
+
+def refresh_insight(wh: Warehouse, feed: str, days: Sequence[dt.date | None] | None) -> None:
+    """Rewrite a side on some dates, or on all; nothing where it is not kept."""
+    path = wh.path("insight", feed)
+    if not buckets.exists(wh.spark, path):
+        return
+    rows = _side(wh.existing("fact", feed), feed)
+    if days is None:
+        days = sorted({*_stored_days(wh, feed), *(row[0] for row in buckets.read(wh.spark, path).select(DATE).distinct().collect())})
+    buckets.replace_days(sinks.on_days(rows, DATE, list(days)), path, days)
+
+
+def insight(
+    wh: Warehouse, start: dt.date, end: dt.date, conditions: Sequence[Column], order: Sequence[Column]
+) -> DataFrame:
+    """What `dashboards.insight` gives for the dates of ``[start, end)``, from the sides kept."""
+    dates = (F.col(DATE) >= F.lit(start)) & (F.col(DATE) < F.lit(end))
+    sides = [buckets.read(wh.spark, wh.path("insight", feed)).where(dates) for feed in dashboards.INSIGHT]
+    return dashboards.insight(*sides, conditions, order)
+
+
 def refresh(wh: Warehouse, fact: str, rows: DataFrame, days: Sequence | None, again: Sequence = ()) -> None:
     """After a build: ``rows`` it stored, the dates it touched or None for all, and those where rows may have gone."""
     if fact in STATE:
         refresh_state(wh, fact, rows, again, everything=days is None)
     if fact == "population":
         refresh_partials(wh, days)
+    if fact in dashboards.INSIGHT:
+        refresh_insight(wh, fact, days)
 

@@ -185,3 +185,28 @@ def _(spark, sf):
         batches.store_load(wh, "population", part, name)
         batches.build_marts(wh, RUN_TS, facts=["population"])
     return serving.weekly_stats(wh, dashboards._WEEK)
+
+
+def _of_one(feed: str) -> str:
+    return f"(SELECT * FROM fact_{feed} {_SINGLE.format(f'fact_{feed}_id')})"
+
+
+@query(
+    "d52_bucketed_facts",
+    dashboards._insight_sql(
+        _of_one("commercial"), _of_one("population"), "time_key >= 202401080000 AND time_key < 202401290000"
+    ),
+)
+def _(spark, sf):
+    """Three weeks of both facts side by side from their buckets; the second load's dates were added by its build."""
+    wh = _warehouse(spark, sf)
+    docs = roles.documents(spark, sf)
+    feeds = {"commercial": marts.source_commercial, "population": marts.source_population}
+    kept = {name: session.staged(_single(make(spark, sf, docs), "source_id"), name)[0] for name, make in feeds.items()}
+    for load in (0, 1):
+        for name, rows in kept.items():
+            batches.store_load(wh, name, _halves(rows)[load], f"load {load}")
+        batches.build_marts(wh, RUN_TS, facts=list(feeds))
+        if load == 0:
+            serving.keep_insight(wh, 8)
+    return serving.insight(wh, dt.date(2024, 1, 8), dt.date(2024, 1, 29), *dashboards._insight_view())

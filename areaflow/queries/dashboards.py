@@ -140,20 +140,26 @@ def _(spark, sf):
 _INSIGHT = {**dashboards._PAYMENT_NAMES, **dashboards._RATIO_NAMES}
 
 
-@query(
-    "d52_insight",
-    with_sql(
+def _insight_sql(commercial: str = "fact_commercial", population: str = "fact_population", also: str = "TRUE") -> str:
+    return with_sql(
         *_COMMERCIAL, CONGESTIONS, SOURCE_POPULATION, marts.FACT_POPULATION,
         select=f"""SELECT area_id, time_key, {", ".join(f"c.{n}" for n in _INSIGHT)}, congestion_id, population_min,
             population_max, resident_ratio, non_resident_ratio
-            FROM fact_commercial c JOIN fact_population p USING (area_id, time_key)
-            WHERE c.male_ratio >= 20 AND p.population_max > 300 AND p.resident_ratio < 90
+            FROM {commercial} c JOIN {population} p USING (area_id, time_key)
+            WHERE c.male_ratio >= 20 AND p.population_max > 300 AND p.resident_ratio < 90 AND {also}
             ORDER BY population_max DESC, area_id, time_key""",
-    ),
-)
-def _(spark, sf):
+    )
+
+
+def _insight_view():
+    """Conditions and order, as a user of the view may set them."""
     conditions = [F.col("male_ratio") >= 20, F.col("population_max") > 300, F.col("resident_ratio") < 90]
-    order = [F.col("population_max").desc(), F.col("area_id").asc(), F.col("time_key").asc()]
+    return conditions, [F.col("population_max").desc(), F.col("area_id").asc(), F.col("time_key").asc()]
+
+
+@query("d52_insight", _insight_sql())
+def _(spark, sf):
+    conditions, order = _insight_view()
     docs = documents(spark, sf)
     facts = (build(spark, sf, docs) for build in (marts.fact_commercial, marts.fact_population))
     return dashboards.insight(*facts, conditions, order)

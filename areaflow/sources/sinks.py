@@ -21,6 +21,8 @@ from areaflow.operators import history as processed
 from areaflow.sources import files, journal
 
 DATE = "observed_date"
+#: Writes rows to a new folder, by partition columns.
+Write = Callable[[DataFrame, str, Sequence[str]], None]
 #: Files of an index before it is rewritten as few.
 INDEX_FILES = 64
 
@@ -48,7 +50,13 @@ def write_batch(df: DataFrame, root: str, stamp: dt.datetime) -> str:
     return path
 
 
-def _put(df: DataFrame, path: str, by: Sequence[str], removed: Sequence[str] = ()) -> list[str]:
+def _write_new(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    _write(df, path, by, "errorifexists", False)
+
+
+def _put(
+    df: DataFrame, path: str, by: Sequence[str], removed: Sequence[str] = (), write: Write = _write_new
+) -> list[str]:
     """Publish the partitions of ``df`` in place of those of the same name; ``removed`` ones go unless they are among them.
 
     Without partition columns the files of ``df`` become the table.  Returns the partition folders touched.
@@ -56,7 +64,7 @@ def _put(df: DataFrame, path: str, by: Sequence[str], removed: Sequence[str] = (
     spark = df.sparkSession
     staged = journal.staging(path)
     try:
-        _write(df, staged, by, "errorifexists", False)
+        write(df, staged, by)
     except BaseException:
         files.remove(spark, staged)
         raise
@@ -72,17 +80,21 @@ def replace_prefix(df: DataFrame, path: str) -> None:
     _put(df, path, [])
 
 
-def write_partitions(df: DataFrame, path: str, by: Sequence[str], keep_others: bool = True) -> None:
+def write_partitions(
+    df: DataFrame, path: str, by: Sequence[str], keep_others: bool = True, write: Write = _write_new
+) -> None:
     """Overwrite the partitions the batch holds; others stay unless told not to."""
     spark = df.sparkSession
     journal.recover(spark, path)
-    _put(df, path, by, () if keep_others else journal.folders(spark, path, len(by)))
+    _put(df, path, by, () if keep_others else journal.folders(spark, path, len(by)), write)
 
 
-def replace_days(df: DataFrame, path: str, days: Sequence[dt.date | None], by: str = DATE) -> None:
+def replace_days(
+    df: DataFrame, path: str, days: Sequence[dt.date | None], by: str = DATE, write: Write = _write_new
+) -> None:
     """The rows of some dates become these; a date without rows loses its partition."""
     journal.recover(df.sparkSession, path)
-    _put(df, path, [by], [_folder(by, day) for day in days])
+    _put(df, path, [by], [_folder(by, day) for day in days], write)
 
 
 def replace_load(df: DataFrame, path: str, load: str, by: Sequence[str]) -> list[str]:
