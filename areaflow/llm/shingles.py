@@ -13,8 +13,12 @@ from areaflow.llm import texts
 WORDS = 5
 _PIECE = 1 << 20
 
-_BASE = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 8
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C13, -1, 1 << 64))
+_STEP = np.uint64(0xA24BAED4963EE407)
+#: Bytes of a word that are hashed eight at a time, all words at once; longer words are hashed one by one.
+_SHORT = 256
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32  # A-Z count as a-z
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _GAP = np.zeros(256, bool)
 _GAP[[32, *range(9, 14)]] = True
 
@@ -25,16 +29,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values() -> np.ndarray:
-    values = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-    values[65:91] = values[97:123]  # A-Z count as a-z
-    return values
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    powers = np.full(n, base, dtype=np.uint64)
-    powers[0] = 1
-    return np.multiply.accumulate(powers)
+def _hashed(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each lower-cased word; words of up to eight bytes never collide among those of their length."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = _LOWER[data]
+    blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from every place on
+    hashes = _mixed(sizes.astype(np.uint64) * _STEP)
+    some = np.flatnonzero(sizes <= _SHORT)
+    done = 0
+    while len(some):
+        block = blocks[starts[some] + done] & _MASKS[np.minimum(sizes[some] - done, 8)]
+        hashes[some] = _mixed((hashes[some] ^ block) + _STEP)
+        done += 8
+        some = some[sizes[some] > done]
+    for k in np.flatnonzero(sizes > _SHORT).tolist():
+        word = padded[starts[k] : starts[k] + sizes[k]]
+        hashes[k] = np.frombuffer(hashlib.blake2b(word, digest_size=8).digest(), np.uint64)[0]
+    return hashes
 
 
 class Shingler:
@@ -42,14 +53,10 @@ class Shingler:
 
     def __init__(self, words: int = WORDS):
         self.words = words
-        self.values = _byte_values()
         self.factors = _mixed(np.arange(11, 11 + words, dtype=np.uint64)) | np.uint64(1)
-        self.powers = self.inverses = np.zeros(0, np.uint64)
 
     def word_hashes(self, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The hash of every word, and the n + 1 places in it where each text's words begin."""
-        if len(self.powers) <= len(data):
-            self.powers, self.inverses = _powers(_BASE, len(data) + 1), _powers(_INVERSE, len(data) + 1)
         gap = _GAP[data]
         inside = np.flatnonzero(~gap)
         if not len(inside):
@@ -59,10 +66,7 @@ class Shingler:
         first = np.r_[True, np.diff(inside) > 1] | cut[inside]
         starts = inside[first]
         lasts = inside[np.r_[np.flatnonzero(first)[1:] - 1, len(inside) - 1]]
-        sums = np.cumsum(self.values[data] * self.powers[: len(data)])
-        whole = sums[lasts] - np.where(starts > 0, sums[starts - 1], np.uint64(0))
-        sizes = (lasts - starts + 1).astype(np.uint64)
-        hashes = _mixed(whole * self.inverses[starts] + sizes * np.uint64(0xA24BAED4963EE407))
+        hashes = _hashed(data, starts, lasts - starts + 1)
         return hashes, np.searchsorted(starts, begins)
 
     def sets(self, column: pa.Array) -> Iterator[np.ndarray]:

@@ -4,8 +4,10 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from areaflow.llm import ngram_join, prefix_tree, shingles
+from areaflow.llm import texts as texts_module
 from tests.llm import docs
 
 
@@ -101,6 +103,26 @@ def test_shingles_against_sets():
             assert len(np.intersect1d(s, t)) == len(shingle_set(a) & shingle_set(b))
 
 
+def thue_morse(n, flip=False):
+    return "".join("ab"[(k.bit_count() + flip) % 2] for k in range(n))
+
+
+@pytest.mark.parametrize("n", [8, 64, 256, 1024, 1 << 15])
+def test_words_that_polynomials_modulo_powers_of_two_confuse(spark, n):
+    words = [thue_morse(n), thue_morse(n, True), thue_morse(n).upper()]
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs.table(spark, words)).collect()}
+    assert found == {0: 0, 1: 1, 2: 0}
+
+
+def test_words_of_every_length_have_their_own_hash():
+    words = sorted({c * n for c in "abé\x00" for n in range(1, 300)} | {"a" * n + "b" for n in range(300)})
+    data, begins = texts_module.raw_bytes(pa.array(words, pa.string()))
+    hashes, at = shingles.Shingler().word_hashes(data, begins)
+    assert len(set(hashes.tolist())) == len(words) == len(hashes)
+    alone = [shingles.Shingler().word_hashes(*texts_module.raw_bytes(pa.array([w], pa.string())))[0][0] for w in words[::50]]
+    assert alone == hashes[::50].tolist()
+
+
 def test_packed_numbers_come_back():
     numbers = np.array([0, 1, 2**63, 2**64 - 1], np.uint64)
     assert (shingles.unpack(shingles.pack(numbers), np.uint64) == numbers).all()
