@@ -86,9 +86,12 @@ def survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     decided, _ = session.staged(duplicates(docs, doc_id, text), "duplicates")
     stay = decided.filter("kept").groupBy("doc_id", "text_sha256").count()
     sha = F.sha2(F.encode(normalised(docs[text]), "UTF-8"), 256)
-    rows = docs.withColumn("_sha", sha)
-    same = F.col(f"rows.{doc_id}").eqNullSafe(F.col("stay.doc_id")) & (F.col("rows._sha") == F.col("stay.text_sha256"))
+    name = "_sha"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    rows = docs.withColumn(name, sha)
+    same = F.col(f"rows.{doc_id}").eqNullSafe(F.col("stay.doc_id")) & (F.col(f"rows.{name}") == F.col("stay.text_sha256"))
     left = rows.alias("rows").join(stay.alias("stay"), same, "left_semi")
     if not stay.filter("count > 1").isEmpty():
-        left = left.dropDuplicates([doc_id, "_sha"])
-    return left.drop("_sha")
+        left = left.dropDuplicates([doc_id, name])
+    return left.drop(name)

@@ -53,6 +53,12 @@ def test_survivors_keep_columns_and_leave_one(spark):
     assert sorted((r.doc_id, r.text) for r in left.collect()) == [(3, "a  b"), (9, "c")]
 
 
+def test_survivors_keep_a_column_of_any_name(spark):
+    frame = docs.table(spark, ["a", "a", "b"]).withColumns({n: F.col("doc_id") for n in ("_SHA", "_sha_", "plain")})
+    left = chunk_dedup.survivors(frame)
+    assert left.columns == frame.columns and left.count() == 2
+
+
 def test_chunks_cover_the_text(spark):
     text = docs.odd_texts()[13]
     frame = spark.createDataFrame([(text,)], "t string").select(chunk_dedup._chunks(F.col("t")).alias("c"))
