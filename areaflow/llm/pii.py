@@ -15,14 +15,17 @@ disguise untouched.
 
 Defined results: a null text counts as empty and has no span; rows are
 independent, so repeated rows give repeated results; an empty table gives no
-rows; other columns are not read.  Work is linear in the text's length.
+rows; other columns are not read.  White space inside a disguise counts up to 32
+characters on each side.  Work is linear in the text's length, but for sorting spans.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -147,14 +150,16 @@ class Transducer:
         self.digits = {name: str(d) for d, names in enumerate(DIGIT_NAMES) for name in names}
         word = "(?:" + "|".join(sorted(self.digits, key=len, reverse=True)) + r")\b"
         run = rf"\b{word}(?:[\s,./-]{{1,3}}{word})"
-        opened, closed = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
+        # bounded and without a way back, so that a long run of white space costs no more than its length
+        maybe, gap = r"\s{0,32}+", r"\s{1,32}+"
+        opened, closed = rf"{maybe}[\[({{<]{maybe}", rf"{maybe}[\])}}>]{maybe}"
         dots = "dot|punkt|punto|point"
         rules = {
             # one class for the basic plane, which is looked up by table, and ranges beyond
             "char": "[" + re.escape("".join(sorted(c for c in self.chars if c <= "\uffff"))) + "]|" + _BEYOND,
-            "at": rf"{opened}(?:at|@){closed}|\s+at\s+(?=[a-z0-9-]+(?:\s+(?:{dots})\s+|{opened}(?:{dots}|\.){closed})[a-z0-9-])",
-            "dot": rf"{opened}(?:{dots}|\.){closed}|(?<=[a-z0-9])\s+(?:{dots})\s+(?=[a-z0-9])",
-            "plus": rf"\bplus\s+(?=[0-9]|{word})",
+            "at": rf"{opened}(?:at|@){closed}|{gap}at{gap}(?=[a-z0-9-]++(?:{gap}(?:{dots}){gap}|{opened}(?:{dots}|\.){closed})[a-z0-9-])",
+            "dot": rf"{opened}(?:{dots}|\.){closed}|(?<=[a-z0-9]){gap}(?:{dots}){gap}(?=[a-z0-9])",
+            "plus": rf"\bplus{gap}(?=[0-9]|{word})",
         }
         most = "|".join(f"(?P<{k}>{v})" for k, v in rules.items())
         self.rules = re.compile(rf"{most}|(?P<run>{run}{{2,}})", re.IGNORECASE)
@@ -163,7 +168,7 @@ class Transducer:
         # with the two letters that rules take for i and s, and lower() does not
         self.odd = re.compile(rules["char"] + "|[\u0130\u017f]")
         self.words = re.compile(r"\w+")  # words end where the rules' \b is
-        self.bracketed = re.compile(rf"[\[({{<]\s*(?:at|@|{dots}|\.)\s*[\])}}>]", re.IGNORECASE)
+        self.bracketed = re.compile(rf"[\[({{<]{maybe}(?:at|@|{dots}|\.){maybe}[\])}}>]", re.IGNORECASE)
         # "un" and the like are words of their own, and tell only beside a digit or each other
         unsure = "un|oh|null"
         self.unsure = frozenset(unsure.split("|"))
@@ -227,14 +232,9 @@ def scan(text: str, transducer: Transducer) -> list[tuple[int, int, int, bool]]:
     found = [(k, a, b, True) for k, kind in enumerate(KINDS) for a, b in DETECTORS[kind](text)]
     if transducer.disguised(text):
         taken = sorted((a, b) for _, a, b, _ in found)
-        added = _rewritten(text, transducer, False, KINDS)
-        for span, n in _rewritten(text, transducer, True, KINDS[1:]).items():
-            touched = [x for x in added if x[0] == span[0] and _touches([x[1:]], *span[1:])]
-            if all(span[1] <= a and b <= span[2] and n >= added[k, a, b] + 2 for k, a, b in touched):
-                for x in touched:
-                    del added[x]
-                added[span] = n
-        found += [(k, a, b, False) for k, a, b in added if not _touches(taken, a, b)]
+        reach = list(accumulate((b for _, b in taken), max))
+        added = _either(_rewritten(text, transducer, False, KINDS), _rewritten(text, transducer, True, KINDS[1:]))
+        found += [(k, a, b, False) for k, a, b in added if not _touches(taken, reach, a, b)]
     return sorted(found)
 
 
@@ -250,8 +250,26 @@ def _rewritten(text: str, transducer: Transducer, joined: bool, kinds: tuple[str
     }
 
 
-def _touches(taken: list[Span], start: int, end: int) -> bool:
-    return any(a < end and start < b for a, b in taken)
+def _either(apart: dict[tuple[int, int, int], int], joined: dict[tuple[int, int, int], int]) -> list[tuple[int, int, int]]:
+    """Spans of both ways of rewriting; of ones that touch, a joined one only if it holds the others and two more digits."""
+    # spans of one kind and way lie apart, so those touching another are neighbours
+    by_kind = [sorted((a, b) for k, a, b in apart if k == kind) for kind in range(len(KINDS))]
+    kept = dict(apart)
+    for (kind, start, end), n in joined.items():
+        near = by_kind[kind]
+        first = bisect_right(near, start, key=lambda s: s[1])
+        touched = near[first : bisect_left(near, end, lo=first, key=lambda s: s[0])]
+        if all(start <= a and b <= end and n >= apart[kind, a, b] + 2 for a, b in touched):
+            for a, b in touched:
+                kept.pop((kind, a, b), None)
+            kept[kind, start, end] = n
+    return list(kept)
+
+
+def _touches(taken: list[Span], reach: list[int], start: int, end: int) -> bool:
+    """Whether one of the ascending spans ``taken``, the first k of which reach ``reach[k - 1]``, touches another."""
+    before = bisect_left(taken, end, key=lambda s: s[0])
+    return before > 0 and reach[before - 1] > start
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

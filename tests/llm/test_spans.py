@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -172,6 +173,31 @@ def test_clean_texts_stay_clean(text):
     assert pii.scan(text, TRANSDUCER) == []
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "one two" + " " * 1_000_000 + "x", "one two" + " \xa0" * 300_000, "one two " + "[ " * 300_000,
+        "joe at " + "a" * 1_000_000 + " dot", "plus " * 200_000, "one " * 250_000, "a" + "\n\t" * 400_000 + "[at]",
+    ],
+)
+def test_long_texts_end_soon(text):
+    begun = time.process_time()
+    pii.scan(text, TRANSDUCER)
+    assert time.process_time() - begun < 20
+
+
+def test_many_disguised_addresses_end_soon():
+    begun = time.process_time()
+    found = pii.scan("one two seven dot zero dot zero dot one, joe at example dot com; " * 50_000, TRANSDUCER)
+    assert time.process_time() - begun < 60
+    assert len(found) == 100_000 and found[0][1:3] == (41, 41 + len("joe at example dot com"))
+
+
+def test_gaps_in_disguises():
+    for n, hit in ((1, True), (32, True), (33, False)):
+        assert bool(pii.scan("joe" + " " * n + "[at]" + " " * n + "example.com", TRANSDUCER)) is hit
+
+
 def test_personal_data_in_odd_documents(spark):
     # the octet and the card below are one match of 19 digits, which fails Luhn and is not tried again
     texts = docs.odd_texts() + ["a@b.co +49 171 2345678 and 10.0.0.255 4111-1111-1111-1111", "1" * 50_000, "a" * 100_000 + "@"]
