@@ -5,19 +5,21 @@ stands for the piece's id.  A fold merges, step by step, the adjacent pair of
 lowest rank, the leftmost of equals, until no pair has a rank; a literal map, cut
 into buckets by hash so that a lookup stays constant, gives the merged piece of a
 pair, and as ids are ranks, the least character is the lowest rank.  Of the
-corpus's distinct words the ``WORDS`` most frequent are folded once and put into a
-second literal map; any other word is folded where it stands.  Which words are in
-the map changes the speed, never the ids.  Decoding looks up the bytes of every id
-and concatenates.
+corpus's distinct words the most frequent, up to ``WORDS`` of them and
+``WORD_BYTES`` bytes, are folded once in tasks and written as one row of buckets.
+The scan over the texts reads this row through a scalar subquery, so no plan holds
+the words; any other word is folded where it stands.  Which words are in the map
+changes the speed, never the ids.  Decoding looks up the bytes of every id and
+concatenates.
 
 A step merges all places of its pair.  That equals one place at a time because a
 merge never makes a pair of a lower rank: a token's rank is above those of the two
 tokens it was made from.
 
 Defined results: a null text counts as empty and has no ids; words of any length
-are folded, at a cost that grows with the square of a single word's length; rows
-are independent, so repeated rows give repeated results; an empty table gives no
-rows; other columns are not read; an id without a piece is an error.
+are folded, at a cost of the word's length for each different pair that merges;
+rows are independent, so repeated rows give repeated results; an empty table gives
+no rows; other columns are not read; an id without a piece is an error.
 """
 
 from __future__ import annotations
@@ -31,10 +33,13 @@ from pyspark.sql import functions as F
 
 from areaflow import session
 
-#: Distinct words folded in advance at most; this bounds the literal map.
+#: Distinct words folded in advance at most, and the bytes they and their ids may take in the map.
 WORDS = 1 << 18
-#: Longer words in the corpus are never in the map, which bounds its bytes as well.
+WORD_BYTES = 32 << 20
+#: Longer words in the corpus are never in the map.
 WORD_CHARS = 64
+#: From this many bytes on a word's fold stops early once no pair is left.
+_LONG = 100
 _BYTES = "ISO-8859-1"
 #: Ids are carried as characters from here on: no surrogates, and in the ids' order.
 _FIRST = 0x10000
@@ -45,25 +50,59 @@ def _bucket(key: str, buckets: int) -> int:
     return xxhash.xxh64_intdigest(key.encode(), seed=42) % buckets
 
 
-class LiteralMap:
-    """A constant array of small maps; a key's hash tells which of them may hold it.
+class BucketMap:
+    """One value, an array of ``size`` small maps; a key's hash tells which of them may hold it.
 
-    An expression should name the constant once and bind it: planning costs grow
+    An expression should name the value once and bind it: planning costs grow
     with every copy of it.
     """
 
-    def __init__(self, entries: dict[str, str]):
-        self.size = 1 << max(0, (len(entries) // 2).bit_length())
-        buckets: list[dict[str, str]] = [{} for _ in range(self.size)]
+    def __init__(self, buckets: Column, size: int, row: DataFrame | None = None):
+        self.buckets, self.size, self.row = buckets, size, row
+
+    @classmethod
+    def literal(cls, entries: dict[str, str]) -> BucketMap:
+        """A constant of the plan, for entries whose number is fixed."""
+        size = _buckets_for(len(entries))
+        buckets: list[dict[str, str]] = [{} for _ in range(size)]
         for key, value in entries.items():
-            buckets[_bucket(key, self.size)][key] = value
+            buckets[_bucket(key, size)][key] = value
         text = json.dumps(buckets, separators=(",", ":"), ensure_ascii=False)
-        self.buckets = F.from_json(F.lit(text), "array<map<string,string>>")
+        return cls(F.from_json(F.lit(text), "array<map<string,string>>"), size)
+
+    @classmethod
+    def stored(cls, entries: DataFrame, key: str, value: str) -> BucketMap:
+        """Entries of a bounded table, written as one row, which ``beside`` puts beside the rows that need it."""
+        size = _buckets_for(entries.count())
+        pairs = entries.select(_slot(F.col(key), size).alias("slot"), F.struct(key, value).alias("pair"))
+        filled = pairs.groupBy("slot").agg(F.collect_list("pair").alias("pairs"))
+        every = entries.sparkSession.range(size).select(F.col("id").cast("int").alias("slot"))
+        none = F.array().cast(filled.schema["pairs"].dataType)
+        rows = every.join(filled, "slot", "left").select("slot", F.coalesce("pairs", none).alias("pairs"))
+        ordered = F.sort_array(F.collect_list(F.struct("slot", "pairs")))
+        one = rows.agg(F.transform(ordered, lambda b: F.map_from_entries(b["pairs"])).alias("buckets"))
+        row, _ = session.staged(one, "words-map")
+        return cls(F.col("_buckets"), size, row)
+
+    def beside(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the value as one more column, a scalar subquery.
+
+        The optimizer moves the subquery into the one expression that uses the column,
+        so no row carries it (a test looks at the plan).
+        """
+        return rows.select("*", self.row.scalar().alias("_buckets"))
 
     def get(self, buckets: Column, key: Column) -> Column:
-        """The key's value or NULL; ``buckets`` is what the constant is bound to."""
-        own = F.get(buckets, F.xxhash64(key).bitwiseAND(F.lit(self.size - 1)).cast("int"))
-        return F.try_element_at(own, key)
+        """The key's value or NULL; ``buckets`` is what the value is bound to."""
+        return F.try_element_at(F.get(buckets, _slot(key, self.size)), key)
+
+
+def _buckets_for(entries: int) -> int:
+    return 1 << max(0, (entries // 2).bit_length())
+
+
+def _slot(key: Column, size: int) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit(size - 1)).cast("int")
 
 
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -102,13 +141,15 @@ def _unreachable(ranks: dict[bytes, int], merges: dict[str, str]) -> dict[str, s
 class Vocabulary:
     """``ranks``: bytes of each token and its id, every single byte among them; ``pattern`` splits texts.
 
-    ``known`` has words and their ids as characters.
+    ``known`` gives words' ids as characters.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, str] | None = None):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, known: BucketMap | None = None):
         merges = _merges(ranks)
-        self.merges = LiteralMap(merges)
-        self.known = LiteralMap(_unreachable(ranks, merges) | (known or {}))
+        self.merges = BucketMap.literal(merges)
+        apart = _unreachable(ranks, merges)
+        self.apart = BucketMap.literal(apart) if apart else None
+        self.known = known
         pieces: list[str | None] = [None] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             pieces[i] = token.decode(_BYTES)
@@ -123,20 +164,34 @@ class Vocabulary:
     def _folded(self, merges: Column, word: Column) -> Column:
         """A character for each piece after all merges."""
         raw = F.decode(F.encode(word, "UTF-8"), _BYTES)
+        start = F.translate(raw, *self.bytes)
         steps = F.sequence(F.lit(1), F.greatest(F.length(raw) - 1, F.lit(1)))
-        return F.aggregate(steps, F.translate(raw, *self.bytes), lambda s, _: self._merged(merges, s))
 
-    def _merged(self, merges: Column, state: Column) -> Column:
+        def on(state: Column) -> Column:
+            # a long word has far fewer different pairs than bytes: the steps behind the last merge cost nothing
+            text = state["text"]
+            step = _bound(
+                self._merged(merges, text, True), lambda t: F.struct(t.alias("text"), (t == text).alias("done"))
+            )
+            return F.when(state["done"], state).otherwise(step)
+
+        first = F.struct(start.alias("text"), F.lit(False).alias("done"))
+        long = F.aggregate(steps, first, lambda s, _: on(s), lambda s: s["text"])
+        short = F.aggregate(steps, start, lambda s, _: self._merged(merges, s, False))
+        return F.when(F.length(raw) > _LONG, long).otherwise(short)
+
+    def _merged(self, merges: Column, state: Column, split: bool) -> Column:
         """One step; the state stays as it is where no pair has a rank."""
 
         n = F.length(state)
-        # pairs of a long word come from one split of it: a character's place is costly to find far inside
-        short = F.transform(
-            F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-            lambda i: self.merges.get(merges, F.substring(state, i, F.lit(2))),
-        )
-        chars = F.split(state, "")
-        long = F.zip_with(chars, F.slice(chars, 2, n), lambda a, b: self.merges.get(merges, F.concat(a, b)))
+        if split:  # a character's place is costly to find far inside
+            chars = F.split(state, "")
+            pairs = F.zip_with(chars, F.slice(chars, 2, n), lambda a, b: self.merges.get(merges, F.concat(a, b)))
+        else:
+            pairs = F.transform(
+                F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
+                lambda i: self.merges.get(merges, F.substring(state, i, F.lit(2))),
+            )
 
         def step(made: Column) -> Column:
             def put(least: Column) -> Column:
@@ -145,24 +200,36 @@ class Vocabulary:
 
             return _bound(F.array_min(made), put)
 
-        return _bound(F.when(n > 100, long).otherwise(short), step)
+        return _bound(pairs, step)
+
+    def _with_maps(self, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
+        """``body`` of a function that gives a word's ids; each map is bound once."""
+
+        def with_merges(merges: Column) -> Column:
+            def fold(word: Column) -> Column:
+                return self._folded(merges, word)
+
+            return self._looked_up(self.apart, fold, lambda first: self._looked_up(self.known, first, body))
 
-    def _coded(self, merges: Column, known: Column, word: Column) -> Column:
-        return F.coalesce(self.known.get(known, word), self._folded(merges, word))
+        return _bound(self.merges.buckets, with_merges)
 
-    def _with_maps(self, body: Callable[[Column, Column], Column]) -> Column:
-        return _bound(self.merges.buckets, lambda m: _bound(self.known.buckets, lambda k: body(m, k)))
+    @staticmethod
+    def _looked_up(
+        own: BucketMap | None, other: Callable[[Column], Column], body: Callable[[Callable[[Column], Column]], Column]
+    ) -> Column:
+        """``body`` of a function that looks into ``own`` first."""
+        if own is None:
+            return body(other)
+        return _bound(own.buckets, lambda b: body(lambda word: F.coalesce(own.get(b, word), other(word))))
 
     def code_word(self, word: Column) -> Column:
         """The ids of one word as characters."""
-        return self._with_maps(lambda m, k: self._coded(m, k, word))
+        return self._with_maps(lambda coded: coded(word))
 
     def code(self, text: Column) -> Column:
         """The ids of a whole text as characters, for :func:`ids_of`."""
         words = self.words(text)
-        return self._with_maps(
-            lambda m, k: F.array_join(F.transform(words, lambda w: self._coded(m, k, w)), "")
-        )
+        return self._with_maps(lambda coded: F.array_join(F.transform(words, coded), ""))
 
     def decode(self, ids: Column) -> Column:
         """``binary``: the bytes of the ids of an ``array<int>``, one after the other."""
@@ -177,16 +244,19 @@ def ids_of(code: Column) -> Column:
 
 
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", words: int = WORDS) -> DataFrame:
-    """``word``: those above the count that at most ``words`` distinct words reach; counted over all texts."""
+    """``word``: those above the count that ``words`` distinct words or their bytes reach; counted over all texts."""
     counted = docs.select(F.explode(vocabulary.words(docs[text])).alias("word")).groupBy("word").count()
     small = counted.filter((F.col("count") > 1) & (F.length("word") <= WORD_CHARS))
     repeated, _ = session.staged(small, "words")
+    # an id takes four bytes and stands for at least one
+    size = F.sum(F.octet_length("word") * 5).alias("bytes")
     # one row per distinct count, at most about the square root of twice the corpus
-    sizes = repeated.groupBy("count").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("count"))
-    least, total = None, 0
+    sizes = repeated.groupBy("count").agg(F.count(F.lit(1)).alias("n"), size).orderBy(F.desc("count"))
+    least, total, taken = None, 0, 0
     for row in sizes.toLocalIterator():
         total += row["n"]
-        if total > words:
+        taken += row["bytes"]
+        if total > words or taken > WORD_BYTES:
             break
         least = row["count"]
     return repeated.filter(F.lit(False) if least is None else F.col("count") >= least).select("word")
@@ -197,13 +267,16 @@ def learned(
 ) -> Vocabulary:
     """A vocabulary that knows the corpus's frequent words' ids."""
     plain = Vocabulary(ranks, pattern)
-    frequent = frequent_words(docs, plain, text, words)
-    folded = frequent.repartition(F.col("word")).select("word", plain.code_word(F.col("word")).alias("code"))
-    known = {row["word"]: row["code"] for row in folded.toLocalIterator()}
-    return Vocabulary(ranks, pattern, known)
+    # a word costs far more than its bytes, which adaptive execution goes by, and each task a copy of the rank map
+    frequent = frequent_words(docs, plain, text, words).repartition(16, "word")
+    folded, _ = session.staged(frequent.select("word", plain.code_word(F.col("word")).alias("code")), "words-folded")
+    return Vocabulary(ranks, pattern, BucketMap.stored(folded, "word", "code"))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the id and ``ids``."""
-    coded = docs.select(docs[doc_id].alias("doc_id"), vocabulary.code(docs[text]).alias("code"))
+    narrow = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
+    if vocabulary.known is not None:
+        narrow = vocabulary.known.beside(narrow)
+    coded = narrow.select("doc_id", vocabulary.code(F.col("text")).alias("code"))
     return coded.select("doc_id", ids_of(F.col("code")).alias("ids"))

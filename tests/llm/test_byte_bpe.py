@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import string
+
 import public_tokenizers
 import pytest
 import tiktoken
@@ -32,12 +35,36 @@ def round_trip(spark, texts, ranks, words):
 
 @pytest.mark.parametrize("words", [0, 5, 1 << 16])
 def test_odd_documents(spark, ranks, reference, words):
-    texts = [t if t is None else t[:3000] for t in docs.odd_texts()] + ["aaaaaa aaaaaaaaaaaaa", "it's we'll \r\n\r\n  x", "a\x1cb"]
+    texts = docs.odd_texts() + ["aaaaaa aaaaaaaaaaaaa", "it's we'll \r\n\r\n  x", "a\x1cb"]
     found = round_trip(spark, texts, ranks, words)
     for i, t in enumerate(texts):
         assert found[i] == (reference.encode_ordinary(t or ""), (t or "").encode()), t
 
 
+def test_long_words_end(spark, ranks, reference):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(string.ascii_lowercase, k=n)) for n in (99, 100, 101, 102, 4_000)] + ["ab" * 50_000]
+    assert {i: ids for i, (ids, _) in round_trip(spark, texts, ranks, 0).items()} == {
+        i: reference.encode_ordinary(t) for i, t in enumerate(texts)
+    }
+
+
+def test_words_are_no_part_of_a_plan_or_a_row(spark, ranks, capsys):
+    frame = docs.table(spark, ["zyxwvutsrq zyxwvutsrq"] * 2)
+    vocabulary = byte_bpe.learned(frame, ranks, public_tokenizers.PATTERN)
+    byte_bpe.encode(frame, vocabulary).explain()
+    plan = capsys.readouterr().out
+    assert "Subquery" in plan and "zyxwvutsrq" not in plan
+    assert "AS _buckets" not in plan  # the optimizer moved it into the expression that uses it
+
+
+def test_words_are_bounded_in_bytes(spark, ranks, reference, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "WORD_BYTES", 60)
+    frame = docs.table(spark, ["alpha beta alpha beta alpha"] * 3)
+    vocabulary = byte_bpe.Vocabulary(ranks, public_tokenizers.PATTERN)
+    assert {r.word for r in byte_bpe.frequent_words(frame, vocabulary).collect()} == {" alpha", " beta"}
+
+
 def test_empty_table(spark, ranks):
     assert round_trip(spark, [], ranks, 10) == {}
 
