@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,27 @@ def test_chunks_cover_the_text(spark):
     assert "".join(chunks) == text and len(chunks) > 50
 
 
+def test_most_chunks_survive_an_insertion_in_front(spark, sf_dir):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(F.length("text") > 20_000)
+    plain = chunk_dedup.normalised(F.col("text"))
+    cut = frame.select(
+        chunk_dedup._chunks(plain).alias("a"), chunk_dedup._chunks(F.concat(F.lit("q" * 93), plain)).alias("b")
+    )
+    again, every = cut.select(
+        F.sum(F.size(F.filter("a", lambda c: F.array_contains("b", c)))), F.sum(F.size("a"))
+    ).first()
+    assert every > 100 and again > 0.8 * every
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзиклмнопрстуфхцчшщыэюя", "กขคงจฉชซญฎฏฐฑฒณดตถทธนบปผฝพ", "가나다라마바사아자차카타파하거너더러머버서어저처"])
+def test_other_scripts_are_cut_by_content(spark, letters):
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(20_000))
+    frame = spark.createDataFrame([(text, "x" * 93 + text)], "t string, u string")
+    a, b = frame.select(chunk_dedup._chunks(F.col("t")), chunk_dedup._chunks(F.col("u"))).first()
+    assert "".join(a) == text and len(set(a) & set(b)) > 0.8 * len(a)
+
+
 def test_no_python_in_the_plan(spark, sf_dir, capsys):
     frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
     chunk_dedup.duplicates(frame).explain()
