@@ -6,8 +6,9 @@ and the maximum of its chunks, and how full its first chunk is, which one hidden
 layer turns into a probability.
 Max-pooling sees what occurs in a chunk and, by low maxima, how little does,
 which betrays repetition.  The network is trained in numpy on the driver from a
-bounded sample of labelled rows; scoring runs in tasks over whole texts.  There a
-filter is three lookups of byte pairs, so no multiplication is left.
+bounded sample of labelled rows, whose whole texts it sees in the chunks that
+scoring uses; scoring runs in tasks over whole texts.  There a filter is three
+lookups of byte pairs, so no multiplication is left.
 
 Defined results: null and empty texts have no chunk and get the score of zero
 features; texts shorter than a filter are padded; rows are independent, so
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 
 from areaflow.llm import texts
 
-#: Labelled rows the network is fitted on at most, and windows looked at in each.
+#: Labelled rows the network is fitted on at most, and the bytes of their texts: rows are taken whole, in
+#: the order of a hash of the id, until the next one would pass the bytes.
 SAMPLE_ROWS = 4000
-SAMPLE_WINDOWS = 12
+SAMPLE_BYTES = 64 << 20
 
 FILTERS, WIDTH, HIDDEN = 24, 6, 24
 #: Mean and maximum over the chunks, and how full the first chunk is.
@@ -57,27 +59,23 @@ class Network:
         return 1 / (1 + np.exp(-(layer @ self.out + self.out_bias)))
 
 
-def windows(text: Column, count: int = SAMPLE_WINDOWS, size: int = CHUNK) -> Column:
-    """Up to ``count`` pieces of ``size`` characters, spread evenly over the whole text."""
-    length = F.length(text)
-    pieces = F.least(F.lit(count), F.ceil(length / size))
-    places = F.when(pieces > 0, F.sequence(F.lit(0).cast("long"), pieces - 1)).otherwise(F.array().cast("array<long>"))
-    step = (length - size) / F.greatest(pieces - 1, F.lit(1))
-    return F.transform(
-        places, lambda i: F.substr(text, F.greatest(F.lit(0), F.floor(i * step)).cast("int") + 1, F.lit(size))
-    )
+def _starts(size: int) -> range:
+    """Where the chunks of a text of so many bytes begin."""
+    return range(0, max(1, size - CHUNK + STEP), STEP) if size else range(0)
 
 
-def _chunk_rows(pieces: list[str]) -> np.ndarray:
-    rows = np.full((len(pieces), CHUNK), 256, dtype=np.int32)
-    for row, piece in zip(rows, pieces, strict=True):
-        own = np.frombuffer(piece.encode()[:CHUNK], dtype=np.uint8)
+def _chunk_rows(text: bytes) -> np.ndarray:
+    """A text's chunks, one to a row, filled up with 256."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    rows = np.full((len(_starts(len(data))), CHUNK), 256, dtype=np.uint16)
+    for row, start in zip(rows, _starts(len(data)), strict=True):
+        own = data[start : start + CHUNK]
         row[: len(own)] = own
     return rows
 
 
-def fit(samples: list[tuple[list[str], int]], seed: int = 7) -> Network:
-    """Adam on the cross-entropy of (windows of a text, 0 or 1)."""
+def fit(samples: list[tuple[bytes, int]], seed: int = 7) -> Network:
+    """Adam on the cross-entropy of (a whole text, 0 or 1)."""
     rng = np.random.default_rng(seed)
     net = Network(
         rng.normal(0, 0.3, (WIDTH, 257, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32),
@@ -88,7 +86,6 @@ def fit(samples: list[tuple[list[str], int]], seed: int = 7) -> Network:
     if not samples:
         net.out[:] = 0
         return net
-    rows = [_chunk_rows(pieces) for pieces, _ in samples]
     labels = np.array([y for _, y in samples], dtype=np.float32)
     good, poor = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
     names = ("taps", "bias", "hidden", "hidden_bias", "out", "out_bias")
@@ -100,7 +97,7 @@ def fit(samples: list[tuple[list[str], int]], seed: int = 7) -> Network:
             chosen = np.r_[rng.choice(poor, _DOCS // 3), rng.choice(good, _DOCS - _DOCS // 3)]
         else:
             chosen = rng.integers(0, len(labels), _DOCS)
-        grads = _gradients(net, [rows[i] for i in chosen], labels[chosen])
+        grads = _gradients(net, [_chunk_rows(samples[i][0]) for i in chosen], labels[chosen])
         for n in names:
             first[n] = 0.9 * first[n] + 0.1 * grads[n]
             second[n] = 0.999 * second[n] + 0.001 * grads[n] ** 2
@@ -112,16 +109,30 @@ def fit(samples: list[tuple[list[str], int]], seed: int = 7) -> Network:
     return net
 
 
+def _tops(net: Network, chunks: np.ndarray, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """For each chunk and filter the place with the largest answer, and that answer with its bias."""
+    places = CHUNK - WIDTH + 1
+    at = np.zeros((len(chunks), FILTERS), np.int64)
+    top = np.zeros((len(chunks), FILTERS), np.float32)
+    for first in range(0, len(chunks), block):
+        part = chunks[first : first + block]
+        answers = net.taps[0][part[:, :places]]
+        for j in range(1, WIDTH):
+            answers += net.taps[j][part[:, j : j + places]]
+        # a filter lies wholly inside its chunk; one in a shorter chunk has the first place only
+        whole = np.maximum((part < 256).sum(axis=1) - WIDTH + 1, 1)
+        answers[np.arange(places)[None, :] >= whole[:, None]] = -np.inf
+        own = answers.argmax(axis=1)
+        at[first : first + block] = own
+        top[first : first + block] = np.take_along_axis(answers, own[:, None], axis=1)[:, 0]
+    return at, top + net.bias
+
+
 def _gradients(net: Network, docs: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
     sizes = np.array([len(d) for d in docs])
     chunks = np.concatenate(docs)
     owner = np.repeat(np.arange(len(docs)), sizes)
-    places = CHUNK - WIDTH + 1
-    answers = net.taps[0][chunks[:, :places]]
-    for j in range(1, WIDTH):
-        answers += net.taps[j][chunks[:, j : j + places]]
-    at = answers.argmax(axis=1)
-    top = np.take_along_axis(answers, at[:, None], axis=1)[:, 0] + net.bias
+    at, top = _tops(net, chunks)
     active = np.maximum(top, 0)
     mean = np.zeros((len(docs), FILTERS), np.float32)
     np.add.at(mean, owner, active)
@@ -151,20 +162,36 @@ def _gradients(net: Network, docs: list[np.ndarray], labels: np.ndarray) -> dict
 
 def train(
     docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
-    fold: Column | None = None, rows: int = SAMPLE_ROWS,
+    fold: Column | None = None, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES,
 ) -> Network:
-    """Fit on at most ``rows`` labelled rows where ``fold`` holds, taken in the order of a hash of the id."""
+    """Fit on the whole texts of at most ``rows`` labelled rows, and ``size`` bytes, where ``fold`` holds."""
     marked = labels.select(labels[doc_id].alias("doc_id"), labels[label].cast("int").alias("label"))
     marked = marked.filter("doc_id IS NOT NULL AND label IN (0, 1)")
     if fold is not None:
         marked = marked.filter(fold)
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
-    own = docs.select(docs[doc_id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    order = [F.xxhash64("doc_id"), "doc_id", "label"]
+    chosen = marked.orderBy(*order).limit(rows)
+    own = docs.select(docs[doc_id].alias("doc_id"), F.encode(F.coalesce(docs[text], F.lit("")), "UTF-8").alias("text"))
     # the chosen rows are bounded by a parameter, so sending them to every task is safe
-    found = own.join(F.broadcast(chosen), "doc_id").select("doc_id", windows(F.col("text")).alias("pieces"), "label")
-    # rows that repeat an id may be many; the first ones do
-    bounded = found.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "pieces").limit(rows).collect()
-    return fit([(row["pieces"], row["label"]) for row in bounded])
+    found = own.join(F.broadcast(chosen), "doc_id")
+    # rows that repeat an id may be many; the first ones do, by length and hash before their texts move
+    by = [*order, F.col("n"), F.col("h")]
+    sized = found.select("doc_id", "label", F.length("text").alias("n"), F.xxhash64("text").alias("h"))
+    taken, total = [], 0
+    for row in sized.orderBy(*by).limit(rows).collect():
+        total += row["n"]
+        if total > size:
+            break
+        taken.append(row)
+    if not taken:
+        return fit([])
+    keys = docs.sparkSession.createDataFrame([(r["doc_id"], r["label"], r["h"]) for r in taken], (
+        sized.select("doc_id", "label", "h").schema
+    )).distinct()
+    texts_of = found.withColumn("h", F.xxhash64("text")).join(F.broadcast(keys), ["doc_id", "label", "h"])
+    sample = texts_of.dropDuplicates(["doc_id", "label", "h"]).collect()
+    held = {(r["doc_id"], r["label"], r["h"]): bytes(r["text"]) for r in sample}
+    return fit([(held[r["doc_id"], r["label"], r["h"]], r["label"]) for r in taken])
 
 
 class Scorer:
@@ -199,7 +226,7 @@ class Scorer:
             if 0 < b - a < WIDTH:
                 result[i, :-1] = np.tile(self._short(data[a:b]), 2)
             elif b > a:
-                own = list(range(a, max(a + 1, b - CHUNK + STEP), STEP))
+                own = [a + s for s in _starts(b - a)]
                 starts += own
                 stops += [min(s + CHUNK, b) - WIDTH + 1 for s in own]
                 owner += [i] * len(own)

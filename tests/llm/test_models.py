@@ -71,6 +71,41 @@ def test_quality_pooling_against_a_loop(net):
         assert np.allclose(row, want, atol=1e-3)
 
 
+def test_quality_learns_from_what_it_scores(net):
+    texts = [t or "" for t in docs.odd_texts()] + ["abcde", "abcdef", "y" * 512, "y" * 513, "é" * 700]
+    scored = quality.Scorer(net).pooled(*_bytes(texts))
+    for text, row in zip(texts, scored, strict=True):
+        chunks = quality._chunk_rows(text.encode())
+        if len(chunks):
+            top = np.maximum(quality._tops(net, chunks, block=7)[1], 0)
+            want = np.r_[top.mean(axis=0), top.max(axis=0), (chunks[0] < 256).mean()]
+            assert np.allclose(row, want, atol=1e-3), text[:20]
+
+
+def test_quality_sees_every_part_of_a_sampled_text(monkeypatch):
+    monkeypatch.setattr(quality, "_STEPS", 3)
+    fine = docs.odd_texts()[13].encode()[:40_000]
+    plain = quality.fit([(fine, 1), (fine, 0)])
+    for at in range(0, 40_000, 7_777):
+        junk = fine[:at] + b"#$%&*!#$%&*!" * 3 + fine[at:]
+        other = quality.fit([(junk, 1), (fine, 0)])
+        assert not np.allclose(plain.taps, other.taps, atol=0)
+
+
+def test_quality_sample_is_bounded_in_rows_and_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda samples: seen.append(samples))
+    texts = ["ab", None, "x" * 50, "ab", "é"]
+    frame = docs.table(spark, texts + texts, [1, 2, 3, 4, 5] * 2)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 6)], "doc_id long, quality int")
+    quality.train(frame, labels)
+    quality.train(frame, labels, rows=3)
+    quality.train(frame, labels, size=60)
+    assert sorted(seen[0]) == sorted(((t or "").encode(), i % 2) for i, t in [*zip([1, 2, 3, 4, 5] * 2, texts + texts)])
+    assert len(seen[1]) == 3 and seen[1] == seen[0][:3]
+    assert sum(len(t) for t, _ in seen[2]) <= 60 and seen[2] == seen[0][: len(seen[2])]
+
+
 def test_quality_odd_rows(spark, net):
     texts = docs.odd_texts()
     frame = docs.table(spark, texts + texts, [*range(len(texts)), *[None] * len(texts)])
