@@ -144,6 +144,47 @@ def test_language_odd_rows(spark):
     assert language.predict(docs.table(spark, []), filters).count() == 0
 
 
+def test_language_against_a_loop(spark):
+    """Counts, kept trigrams, correction for false positives and scores, by sets and dictionaries."""
+    own = [("der hund und die katze", "de"), ("Über uns", "de"), ("the dog and the cat", "en"), ("", "en"), (None, "en")]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(own * 3)], "doc_id long, text string, lang string")
+
+    def grams(text):
+        padded = [c if c.isalpha() else " " for c in f" {(text or '').lower()} "]
+        return ["".join(padded[i - 1 : i + 2]) for i in range(1, len(padded) - 1) if padded[i] != " "]
+
+    def packed(gram):
+        return (ord(gram[0]) << 42) | (ord(gram[1]) << 21) | ord(gram[2])
+
+    counts = Counter((lang, packed(g)) for text, lang in own * 3 for g in grams(text))
+    assert {(r.lang, r.gram): r.n for r in language.count_trigrams(frame).collect()} == counts
+    total = Counter()
+    for (lang, _), n in counts.items():
+        total[lang] += n
+    filters = language.learn(frame, min_share=0.075)
+    kept = {x: {g for (lang, g), n in counts.items() if lang == x and n >= 0.075 * total[x]} for x in total}
+    assert 0 < len(kept["en"]) < len({g for lang, g in counts if lang == "en"})
+
+    def hit(i, gram):
+        places = filters._places(np.array([gram], np.uint64), len(filters.slots))
+        return all(int(filters.slots[p[0], 0]) >> i & 1 for p in places)
+
+    for i, lang in enumerate(filters.languages):
+        assert all(hit(i, g) for g in kept[lang])
+        used = {int(p[0]) for g in kept[lang] for p in filters._places(np.array([g], np.uint64), len(filters.slots))}
+        assert math.isclose(filters.full[i], (len(used) / len(filters.slots)) ** language.HASHES)
+    texts = ["the cat", "die katze und the dog", "123", "qqq", "Über"]
+    names, scores = filters.decide(texts)
+    for text, name, score in zip(texts, names, scores, strict=True):
+        found = [packed(g) for g in grams(text)]
+        share = [
+            min(1, max(0, (sum(hit(i, g) for g in found) / max(1, len(found)) - f) / (1 - f)))
+            for i, f in enumerate(filters.full)
+        ]
+        assert name == (filters.languages[int(np.argmax(share))] if found else "und")
+        assert math.isclose(score, max(share) / sum(share) if sum(share) else 0.0, abs_tol=1e-9)
+
+
 def test_language_many_languages_in_bits():
     rng = np.random.default_rng(2)
     learned = {f"l{k:03d}": np.unique(rng.integers(0, 2**62, 300).astype(np.uint64)) for k in range(130)}
