@@ -25,5 +25,6 @@ def rows(df: DataFrame, array: Column, name: str, *, outer: bool = False, first_
 
 def map_rows(df: DataFrame, mapping: Column, key: str, *keep: str) -> DataFrame:
     """``map<k, array<struct>>`` to one row per struct, fields expanded."""
-    pairs = df.select(*keep, F.explode(mapping).alias(key, "_items"))
+    # a plain explode would have a parsed map parsed once more, as in rows; no items give no row below
+    pairs = df.select(*keep, F.explode_outer(mapping).alias(key, "_items"))
     return pairs.select(*keep, key, F.inline("_items"))

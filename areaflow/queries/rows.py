@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areaflow import contracts as c
+from areaflow import session
 from areaflow.functions import clock, keys, parsing, text
 from areaflow.operators import conform, dedupe, generators, history, incremental, lookup, minutes
 from areaflow.queries.registry import RUN_TS, query, table
@@ -239,7 +240,8 @@ def _(spark, sf):
     stamp, done = F.date_format("l_shipdate", c.DASHED_SECOND), F.date_add(F.to_date("l_shipdate"), 1)
     entry = F.struct(stamp.alias("observed_at"), F.date_format(done, c.DASHED_SECOND).alias("processed_at"))
     area = F.concat(F.lit("POI0"), F.col("l_suppkey").cast("string"))
-    documents = table(spark, sf, "lineitem").select(F.to_json(F.create_map(area, F.array(entry))).alias("document"))
+    items = session.spread(table(spark, sf, "lineitem").select("l_suppkey", "l_shipdate"))
+    documents = items.select(F.to_json(F.create_map(area, F.array(entry))).alias("document"))
     return history.from_documents(documents, F.col("document"))
 
 

@@ -53,6 +53,15 @@ def scratch(spark: SparkSession, label: str) -> str:
     return os.path.join(base, "areaflow", f"{label}-{uuid.uuid4().hex}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out anew, for work that costs far more than a row's bytes.
+
+    A scan is cut by bytes and never inside a row group, so narrow rows reach few tasks.  Without a
+    number adaptive execution takes a task per core, more of them where the rows are many.
+    """
+    return df.hint("repartition")
+
+
 def staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write ``df`` once to shared scratch and read it back.
 
