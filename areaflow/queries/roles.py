@@ -173,7 +173,12 @@ def _payloads() -> dict[str, str]:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One area document per event, with its key parts."""
-    named = observations(spark, sf_dir).withColumns(
+    return paths.with_key_parts(_written(session.spread(observations(spark, sf_dir)), "path"), F.col("path"))
+
+
+def _written(observed: DataFrame, *keep: str) -> DataFrame:
+    """Observations as documents, beside the columns kept; the key is their ``path``."""
+    named = observed.withColumns(
         {
             "area_code": F.format_string("POI%03d", "user_id"),
             "area_name": F.concat(F.lit("area "), F.col("user_id").cast("string")),
@@ -181,7 +186,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     payloads = [f"{expression} AS {name}" for name, expression in _payloads().items()]
-    return paths.with_key_parts(named.selectExpr(*payloads, "path"), F.col("path"))
+    return named.selectExpr(*payloads, *keep)
 
 
 def raw_key() -> Column:
@@ -209,13 +214,22 @@ def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     The key of a document stands in the file, because one file holds many.
     """
     path = session.scratch(spark, "raw-json")
-    dated = documents(spark, sf_dir).withColumn("ymd", F.date_format("file_ts", "yyyyMMdd"))
-    kept = dated.select(*c.RAW_DOCUMENT.names, F.col("path").alias("key"), "ymd")
-    sinks.balanced(kept, ["ymd"]).write.partitionBy("ymd").json(path)
+    by_day(spark, sf_dir).write.partitionBy("ymd").json(path)
     schema = T.StructType([*c.RAW_DOCUMENT.fields, T.StructField("key", T.StringType())])
     return paths.with_key_parts(spark.read.schema(schema).json(path), F.col("key"))
 
 
+def by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with their ``key``, in the order of their day, ``ymd``."""
+    observed = observations(spark, sf_dir)
+    keyed = paths.with_key_parts(observed.withColumn("path", raw_key()), F.col("path"))
+    # a number, as the order of a text is not taken for that of the folders
+    dated = keyed.select(*observed.columns, F.date_format("file_ts", "yyyyMMdd").cast("int").alias("ymd"))
+    # moved and sorted as the narrow rows they come from; a document is made where it is written
+    sorted_ = sinks.balanced(dated, ["ymd"]).sortWithinPartitions("ymd")
+    return _written(sorted_, "path", "ymd").withColumnRenamed("path", "key")
+
+
 # SQL: the source tables that follow from the documents.
 
 SOURCE_COMMERCIAL = f"""
@@ -402,7 +416,7 @@ _AREA_CODE_SQL = f"printf('POI%03d', l_linenumber + 10 * (l_orderkey // {_MINUTE
 def transit_loads(spark: SparkSession, sf_dir: str, feed: c.Transit) -> DataFrame:
     """Line items as transit loads: open ones by bus, the others by subway."""
     status = F.col("l_linestatus")
-    own = table(spark, sf_dir, "lineitem").where(status == "O" if feed == c.BUS else status != "O")
+    own = session.spread(table(spark, sf_dir, "lineitem").where(status == "O" if feed == c.BUS else status != "O"))
     counts = [f"CAST(l_quantity AS INT) + {i} AS {f.column}" for i, f in enumerate(c.TRANSIT_STEMS[:-2])]
     loads = own.selectExpr(
         f"{_AREA_CODE} AS area_code",

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from areaflow.operators import history
+from areaflow.queries import roles
 from areaflow.queries.registry import QUERIES
 
 
@@ -40,3 +41,14 @@ def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path, capsys):
     sf = _tables(spark, tmp_path)
     scan = QUERIES["s12_history_scan"](spark, sf)
     assert scan.count() == 8 and "RoundRobinPartitioning" in _plan(scan, capsys)
+    docs = roles.documents(spark, sf)
+    assert docs.count() == 8 and "RoundRobinPartitioning" in _plan(docs, capsys)
+
+
+def test_documents_are_made_behind_the_shuffle_and_the_sort(spark, tmp_path, capsys):
+    sf = _tables(spark, tmp_path)
+    plan = _plan(roles.by_day(spark, sf), capsys)
+    assert "named_struct" in plan.split("Exchange")[0] and "named_struct" not in plan.split("Exchange")[1]
+    landed = roles.landed_documents(spark, sf)
+    days = {r.key: r.ymd for r in landed.select("key", "ymd").collect()}
+    assert landed.count() == 8 and {k and int(k.split("/")[1]) for k in days} == set(days.values()) == {20240101, 20240102, None}
