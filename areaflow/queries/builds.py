@@ -98,7 +98,8 @@ def _(spark, sf):
 def _(spark, sf):
     """Two loads of events with one clock, the second after the dimension and the fact were built."""
     wh = _warehouse(spark, sf)
-    rows = marts.feeds.event(roles.documents(spark, sf), RUN_TS).withColumn(sinks.DATE, F.to_date("observed_at"))
+    typed, _ = session.staged(marts.feeds.event(roles.documents(spark, sf), RUN_TS), "events")
+    rows = typed.withColumn(sinks.DATE, F.to_date("observed_at"))
     for name, part in zip(("first", "second"), _halves(rows), strict=True):
         sinks.write_partitions(part, wh.path("source", "event"), [sinks.DATE])
         ledger.record(wh, "event", name, [row[0] for row in part.select(sinks.DATE).distinct().collect()])
@@ -136,9 +137,11 @@ def _(spark, sf):
     """Categories are built before the observations they belong to; these arrive in two loads."""
     wh = _warehouse(spark, sf)
     docs = roles.documents(spark, sf)
-    batches.store_load(wh, "commercial_rsb", _single(marts.source_category(spark, sf, docs), "commercial_id"), "categories")
+    categories, _ = session.staged(marts.source_category(spark, sf, docs), "categories")
+    parents, _ = session.staged(marts.source_commercial(spark, sf, docs), "parents")
+    batches.store_load(wh, "commercial_rsb", _single(categories, "commercial_id"), "categories")
     batches.build_marts(wh, RUN_TS, facts=["commercial_rsb"])
-    for name, part in zip(("first", "second"), _halves(marts.source_commercial(spark, sf, docs)), strict=True):
+    for name, part in zip(("first", "second"), _halves(parents), strict=True):
         batches.store_load(wh, "commercial", part, name)
         batches.build_marts(wh, RUN_TS, facts=["commercial_rsb"])
     return _stored(wh, "commercial_rsb")
