@@ -270,7 +270,9 @@ def learned(
     # a word costs far more than its bytes, which adaptive execution goes by, and each task a copy of the rank map
     frequent = frequent_words(docs, plain, text, words).repartition(16, "word")
     folded, _ = session.staged(frequent.select("word", plain.code_word(F.col("word")).alias("code")), "words-folded")
-    return Vocabulary(ranks, pattern, BucketMap.stored(folded, "word", "code"))
+    # the same maps of merges and pieces: each would be one more constant of some megabytes in the driver
+    plain.known = BucketMap.stored(folded, "word", "code")
+    return plain
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -76,3 +76,10 @@ def test_any_text(spark, ranks, reference, texts):
     frame = docs.table(spark, texts)
     found = {r.doc_id: r.ids for r in byte_bpe.encode(frame, vocabulary).collect()}
     assert [found[i] for i in range(len(texts))] == [reference.encode_ordinary(t) for t in texts]
+
+
+def test_the_maps_of_the_vocabulary_are_made_once(spark, ranks, monkeypatch):
+    made, merges = [], byte_bpe._merges
+    monkeypatch.setattr(byte_bpe, "_merges", lambda r: made.append(len(r)) or merges(r))
+    byte_bpe.learned(docs.table(spark, ["alpha beta alpha"] * 2), ranks, public_tokenizers.PATTERN)
+    assert made == [len(ranks)]
