@@ -25,6 +25,7 @@ to tasks; the other columns do not.
 
 from __future__ import annotations
 
+import struct
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import astuple, dataclass
@@ -55,6 +56,8 @@ _STEPS, _BATCH, _RATE = 800, 128, 0.01
 _REFRESH = 25
 #: Exponents are held below what single precision can take; the result stays a distribution.
 _LIMIT = np.float32(40)
+#: Windows in one matrix product.
+_GROUP = 8
 _SMOOTH = 0.1
 #: The pass over all texts: its rate at the start, steps after which that has halved, ids in a row of sums.
 _PASS_RATE, _PASS_HALF, _BLOCK_IDS = 0.003, 300, 16
@@ -100,7 +103,8 @@ class Remembered(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.KEPT:
             self.clear()
-        found = self.encoding.encode_to_numpy(" " + word.decode(), disallowed_special=()).astype("<u4").tobytes()
+        ids = self.encoding.encode_ordinary(" " + word.decode())
+        found = struct.pack(f"<{len(ids)}I", *ids)
         self[word] = found
         return found
 
@@ -197,13 +201,8 @@ class Layers:
     b3: np.ndarray
 
 
-def _mask() -> np.ndarray:
-    """A scored place sees itself and everything before it in its window."""
-    return np.where(np.arange(_SPAN)[None, :] <= np.arange(CONTEXT, _SPAN)[:, None], 0.0, -1e9).astype(np.float32)
-
-
-def _visible() -> np.ndarray:
-    return (_mask() == 0).astype(np.float32)
+#: A scored place sees itself and everything before it in its window.
+_VISIBLE = (np.arange(_SPAN)[None, :] <= np.arange(CONTEXT, _SPAN)[:, None]).astype(np.float32)
 
 
 def cut(ids: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -225,66 +224,168 @@ def cut(ids: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
     return np.where(inside, inputs[safe], -1), np.where(inside, flat[safe], -1)[:, CONTEXT:]
 
 
-def _soft(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=-1, keepdims=True))
-    return x / x.sum(axis=-1, keepdims=True)
+def _grouped(x: np.ndarray) -> np.ndarray:
+    """Windows' rows in matrices of a few windows each: small enough for one processor and its cache."""
+    return x.reshape(len(x) // _GROUP if len(x) % _GROUP == 0 else 1, -1, x.shape[-1])
 
 
-def _gradients(m: Layers, inputs: np.ndarray, targets: np.ndarray, shares: np.ndarray) -> tuple:
-    """Mean surprise at the scored places' ids (-1: none), its gradients, and each class's part in each id.
+def _through(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return (_grouped(x) @ w).reshape(*x.shape[:-1], w.shape[-1])
+
+
+def _over(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of the columns, summed over all rows."""
+    return (_grouped(a).transpose(0, 2, 1) @ _grouped(b)).sum(axis=0)
+
+
+def _total(x: np.ndarray) -> np.ndarray:
+    """Sums of the columns over all rows."""
+    rows = _grouped(x)
+    return (np.ones(rows.shape[1], x.dtype) @ rows).sum(axis=0)
+
+
+def _in_order(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in rising order, and where each was."""
+    n = max(1, len(places))
+    return np.divmod(np.sort(places.astype(np.int64) * n + np.arange(len(places))), n)
+
+
+def _summed(places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each number once, and its rows' sum; the numbers are in order."""
+    last = np.flatnonzero(np.r_[places[1:] != places[:-1], True][: len(places)])
+    sums = np.cumsum(rows, axis=0, dtype=np.float64).take(last, axis=0)
+    return places[last], np.diff(sums, axis=0, prepend=0)
+
+
+@dataclass
+class Step:
+    """What some windows teach.
 
-    ``shares`` has the probability of each id in each class.
+    ``chances``: of the scored ids; ``grads``: of all layers but ``emb``, whose are the
+    sums ``emb`` of the inputs ``met``, each ``times`` an input; ``parts``: each class's
+    part in the ids ``wanted``, in their order, the first ``none`` of them places without an id.
     """
-    ids = np.maximum(inputs, 0)
-    x = m.emb[ids] + m.pos
-    y = x[:, CONTEXT:]
-    q, k, v = y @ m.wq, x @ m.wk, x @ m.wv
-    scale = np.float32(1 / np.sqrt(WIDTH))
-    raw = q @ k.transpose(0, 2, 1) * scale + _mask() + np.where(inputs < 0, -1e9, 0)[:, None, :].astype(np.float32)
-    att = _soft(raw)
+
+    chances: np.ndarray
+    grads: dict[str, np.ndarray]
+    met: np.ndarray
+    times: np.ndarray
+    emb: np.ndarray
+    wanted: np.ndarray
+    parts: np.ndarray
+    none: int
+
+    def all_grads(self, m: Layers) -> dict[str, np.ndarray]:
+        grads = self.grads | {"emb": np.zeros_like(m.emb)}
+        grads["emb"][self.met] = self.emb
+        return grads
+
+
+def _learnt(m: Layers, inputs: np.ndarray, targets: np.ndarray, shares: np.ndarray) -> Step:
+    """Gradients of the mean surprise at the scored places' ids (-1: none).
+
+    ``shares`` has the probability of each id in each class.  Rows are only made for ids
+    that the windows hold, whatever the number of ids.
+    """
+    n, w, kind = len(inputs), WIDTH, m.emb.dtype
+    hidden = np.flatnonzero(inputs < 0)
+    x = m.emb.take(np.maximum(inputs, 0), axis=0)
+    x += m.pos
+    scale = kind.type(1 / np.sqrt(w))
+    turn = np.concatenate([m.wq * scale, m.wk, m.wv], axis=1)
+    qkv = np.empty((n, _SPAN, 3 * w + 1), kind)
+    np.matmul(_grouped(x), turn, out=_grouped(qkv)[..., : 3 * w])
+    qkv[..., 3 * w] = 1  # gives the weights' sum
+    qkv.reshape(-1, 3 * w + 1)[hidden, 2 * w :] = 0  # where there is no input, neither its value nor its weight counts
+    q, k, v = qkv[:, CONTEXT:, :w], qkv[..., w : 2 * w], qkv[..., 2 * w :]
+    att = q @ k.transpose(0, 2, 1)
+    np.clip(att, -_LIMIT, _LIMIT, out=att)
+    np.exp(att, out=att)
+    att *= _VISIBLE
     mixed = att @ v
-    h = y + mixed @ m.wo
-    pre = h @ m.w1 + m.b1
-    act = np.maximum(pre, 0)
-    g = h + act @ m.w2
-    p = _soft(g @ m.w3 + m.b3)
-    counts = targets >= 0
-    total = max(1, int(counts.sum()))
-    parts = p * shares[np.maximum(targets, 0)]
-    chance = parts.sum(axis=-1)
-    loss = float(-np.log(chance[counts]).mean()) if counts.any() else 0.0
-    parts /= chance[..., None]
-    d = (p - parts) * (counts / total)[..., None].astype(np.float32)
-
-    def over(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
-
-    grads = {"w3": over(g, d), "b3": d.sum(axis=(0, 1))}
-    dg = d @ m.w3.T
-    grads["w2"] = over(act, dg)
-    dpre = (dg @ m.w2.T) * (pre > 0)
-    grads["w1"], grads["b1"] = over(h, dpre), dpre.sum(axis=(0, 1))
-    dh = dg + dpre @ m.w1.T
-    grads["wo"] = over(mixed, dh)
-    dmixed = dh @ m.wo.T
-    datt = dmixed @ v.transpose(0, 2, 1)
-    dv = att.transpose(0, 2, 1) @ dmixed
-    draw = att * (datt - (datt * att).sum(axis=-1, keepdims=True)) * scale
-    dq, dk = draw @ k, draw.transpose(0, 2, 1) @ q
-    grads["wq"], grads["wk"], grads["wv"] = over(y, dq), over(x, dk), over(x, dv)
-    dx = dk @ m.wk.T + dv @ m.wv.T
-    dx[:, CONTEXT:] += dh + dq @ m.wq.T
-    dx[inputs < 0] = 0
+    weight = mixed[..., w:].copy()
+    mixed = mixed[..., :w] / weight
+    h = _through(mixed, m.wo)
+    h += x[:, CONTEXT:]
+    act = _through(h, m.w1)
+    act += m.b1
+    np.maximum(act, 0, out=act)
+    g = _through(act, m.w2)
+    g += h
+    # the class layer takes the places in the order of their ids
+    wanted, order = _in_order(targets.ravel())
+    none = int(np.searchsorted(wanted, 0))
+    total = max(1, len(wanted) - none)
+    ordered = g.reshape(-1, w).take(order, axis=0).reshape(g.shape)
+    p = _through(ordered, m.w3)
+    p += m.b3
+    np.clip(p, -_LIMIT, _LIMIT, out=p)
+    np.exp(p, out=p)
+    whole = (_grouped(p) @ np.ones(CLASSES, kind)).ravel()
+    p = p.reshape(-1, CLASSES)
+    parts = shares.take(np.maximum(wanted, 0), axis=0).astype(kind, copy=False)
+    parts *= p
+    chance = (_grouped(parts.reshape(n, SCORED, CLASSES)) @ np.ones(CLASSES, kind)).ravel()
+    parts /= chance[:, None]
+    p /= whole[:, None]
+    p -= parts
+    p[:none] = 0
+    d = p.reshape(n, SCORED, CLASSES)
+    grads = {"w3": _over(ordered, d) / total, "b3": _total(d) / total}
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    dh = _through(d, m.w3.T / total).reshape(-1, w).take(back, axis=0).reshape(g.shape)
+    grads["w2"] = _over(act, dh)
+    dpre = _through(dh, m.w2.T)
+    dpre *= act > 0
+    grads["w1"], grads["b1"] = _over(h, dpre), _total(dpre)
+    dh += _through(dpre, m.w1.T)
+    grads["wo"] = _over(mixed, dh)
+    dmixed = np.empty((n, SCORED, w + 1), kind)
+    np.divide(_through(dh, m.wo.T), weight, out=dmixed[..., :w])
+    dmixed[..., w] = -((dmixed[..., :w] * mixed) @ np.ones(w, kind))
+    draw = dmixed @ v.transpose(0, 2, 1)
+    draw *= att
+    dqkv = np.empty((n, _SPAN, 3 * w), kind)
+    dqkv[:, :CONTEXT, :w] = 0
+    np.matmul(draw, k, out=dqkv[:, CONTEXT:, :w])
+    np.matmul(draw.transpose(0, 2, 1), q, out=dqkv[..., w : 2 * w])
+    np.matmul(att.transpose(0, 2, 1), dmixed[..., :w], out=dqkv[..., 2 * w :])
+    dqkv.reshape(-1, 3 * w)[hidden] = 0
+    wide = _over(x, dqkv)
+    grads["wq"], grads["wk"], grads["wv"] = wide[:, :w] * scale, wide[:, w : 2 * w], wide[:, 2 * w :]
+    dx = _through(dqkv, turn.T)
+    dx[:, CONTEXT:] += dh
     grads["pos"] = dx.sum(axis=0)
-    grads["emb"] = np.zeros_like(m.emb)
-    np.add.at(grads["emb"], ids.ravel(), dx.reshape(-1, WIDTH))
-    return loss, grads, parts
+    ids, order = _in_order(inputs.ravel())
+    unseen = len(hidden)
+    met, emb = _summed(ids[unseen:], dx.reshape(-1, w).take(order[unseen:], axis=0))
+    times = np.diff(np.r_[np.searchsorted(ids, met), len(ids)])
+    return Step(chance[none:] / whole[none:], grads, met, times, emb, wanted, parts, none)
+
+
+def _gradients(m: Layers, inputs: np.ndarray, targets: np.ndarray, shares: np.ndarray) -> tuple:
+    """Mean surprise, the gradients of all layers, and each class's part in each id, in the ids' order."""
+    step = _learnt(m, inputs, targets, shares)
+    return float(-np.log(step.chances).mean()) if len(step.chances) else 0.0, step.all_grads(m), step.parts
+
+
+def _gather(gathered: np.ndarray, learnt: Step) -> None:
+    """Adds the classes' parts to the rows of their ids."""
+    ids, sums = _summed(learnt.wanted[learnt.none :], learnt.parts[learnt.none :])
+    gathered[ids] += sums
 
 
 def _shares(parts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Probability of each id in each class, from the classes' parts in each id and the ids' counts."""
-    table = parts * (counts + 0.5)[:, None]
-    return (table / table.sum(axis=0)).astype(np.float32)
+    return _shared(parts.astype(np.float64), counts + 0.5)
+
+
+def _shared(table: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The table's rows times their weights as shares of each column; the table is used up."""
+    whole = weights @ table
+    table *= weights[:, None]
+    return np.divide(table, whole, out=np.empty(table.shape, np.float32), casting="same_kind")
 
 
 def fit(sample: list[np.ndarray], size: int, seed: int = 5) -> tuple[Layers, np.ndarray]:
@@ -300,6 +401,9 @@ def fit(sample: list[np.ndarray], size: int, seed: int = 5) -> tuple[Layers, np.
         start(WIDTH, CLASSES), np.zeros(CLASSES, np.float32),
     )
     inputs, targets = cut(sample, size - 1)
+    every, met = m.emb, np.unique(inputs[inputs >= 0])  # no other rows move
+    inputs = np.where(inputs < 0, -1, np.searchsorted(met, inputs))
+    m.emb = every[met]
     counts = np.bincount(np.concatenate(sample), minlength=size)
     held = np.full((size, CLASSES), 0.3 / CLASSES)
     held[np.arange(size), _classes(sample, size)] += 0.7
@@ -310,9 +414,9 @@ def fit(sample: list[np.ndarray], size: int, seed: int = 5) -> tuple[Layers, np.
     second = {n: np.zeros_like(getattr(m, n)) for n in names}
     for step in range(1, _STEPS + 1):
         chosen = rng.integers(0, len(inputs), _BATCH)
-        _, grads, parts = _gradients(m, inputs[chosen], targets[chosen], shares)
-        wanted = targets[chosen]
-        np.add.at(gathered, wanted[wanted >= 0], parts[wanted >= 0])
+        learnt = _learnt(m, inputs[chosen], targets[chosen], shares)
+        grads = learnt.all_grads(m)
+        _gather(gathered, learnt)
         if step % _REFRESH == 0:
             held = gathered / gathered.sum(axis=1, keepdims=True)
             shares = _shares(held, counts)
@@ -323,6 +427,8 @@ def fit(sample: list[np.ndarray], size: int, seed: int = 5) -> tuple[Layers, np.
             second[n] += 0.01 * (grads[n] ** 2 - second[n])
             change = rate * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.99**step)) + 1e-7)
             setattr(m, n, (getattr(m, n) - change).astype(np.float32))
+    every[met] = m.emb
+    m.emb = every
     return m, held
 
 
@@ -370,7 +476,7 @@ class Model:
         weights = own[..., d : 2 * d] @ rows[..., 2 * d : 3 * d].transpose(0, 2, 1)
         np.minimum(weights, _LIMIT, out=weights)
         np.exp(weights, out=weights)
-        weights *= _visible()
+        weights *= _VISIBLE
         mixed = weights @ rows[..., 3 * d :]  # the last column is the weights' sum
         h = (own[..., :d] + mixed[..., :d] / mixed[..., d:]).reshape(-1, d)
         g = h + np.maximum(h @ w1 + b1, 0) @ w2
@@ -407,23 +513,24 @@ class Learner:
             self._step(inputs[chosen], targets[chosen])
 
     def _step(self, inputs: np.ndarray, targets: np.ndarray) -> None:
-        _, grads, parts = _gradients(self.m, inputs, targets, self.shares)
-        wanted = targets >= 0
-        np.add.at(self.gathered, targets[wanted], parts[wanted])
-        rows, times = np.unique(inputs[inputs >= 0], return_counts=True)
-        self.met[rows] += times
-        self.seen += int(wanted.sum())
+        learnt = _learnt(self.m, inputs, targets, self.shares)
+        _gather(self.gathered, learnt)
+        self.met[learnt.met] += learnt.times
+        self.seen += len(learnt.chances)
         self.steps += 1
         rate = _PASS_RATE / (1 + self.steps / _PASS_HALF)
         low, high = 1 - 0.9**self.steps, 1 - 0.99**self.steps
+        learnt.grads["emb"] = learnt.emb.astype(np.float32)
         for n, x in vars(self.m).items():
-            at = rows if n == "emb" else slice(None)
-            first, second, grad = self.first[n], self.second[n], grads[n][at]
-            first[at] += 0.1 * (grad - first[at])
-            second[at] += 0.01 * (grad**2 - second[at])
-            x[at] -= (rate * (first[at] / low) / (np.sqrt(second[at] / high) + 1e-7)).astype(np.float32)
+            at = learnt.met if n == "emb" else slice(None)
+            grad, first, second = learnt.grads[n], self.first[n][at], self.second[n][at]
+            first = first + 0.1 * (grad - first)
+            second = second + 0.01 * (grad**2 - second)
+            self.first[n][at], self.second[n][at] = first, second
+            x[at] -= (rate * (first / low) / (np.sqrt(second / high) + 1e-7)).astype(np.float32)
         if self.steps % (4 * _REFRESH) == 0:
-            self.shares = _shares(_parts(self.gathered, self.held), self.counts)
+            table = self.gathered + 2 * self.held
+            self.shares = _shared(table, (self.counts + 0.5) / (table @ np.ones(CLASSES)))
 
     def sums(self) -> Iterator[tuple[int, bytes]]:
         """Rows to be added up over tasks: blocks of ids, and -1 for the layers without ids."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -257,6 +258,25 @@ def test_language_model_gradients():
             assert (up - down) / 2e-5 == pytest.approx(grads[name][at], rel=1e-3, abs=1e-6)
 
 
+def test_language_model_step_costs_what_its_windows_hold():
+    """No step makes a row for each id there is; sums and moves are those of the ids met."""
+    a, rng, size = attention_lm, np.random.default_rng(2), 200_000
+    shapes = [(size, a.WIDTH), (a._SPAN, a.WIDTH), *[(a.WIDTH, a.WIDTH)] * 4, (a.WIDTH, a.HIDDEN), (a.HIDDEN,)]
+    shapes += [(a.HIDDEN, a.WIDTH), (a.WIDTH, a.CLASSES), (a.CLASSES,)]
+    layers = a.Layers(*[rng.normal(0, 0.15, s).astype(np.float32) for s in shapes])
+    learner = a.Learner(layers, np.full((size, a.CLASSES), 1 / a.CLASSES, np.float32), np.ones(size), 1)
+    ids = [rng.integers(0, 50, n).astype(np.int32) * 3000 for n in (70, 1, 200)]
+    learner.learn(ids[:1])
+    tracemalloc.start()
+    learner.learn(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < layers.emb.nbytes / 4
+    counts = np.bincount(np.concatenate([ids[0], *ids]), minlength=size)
+    assert np.allclose(learner.gathered.sum(axis=1), counts) and learner.seen == counts.sum()
+    assert ((learner.m.emb != layers.emb).any(axis=1) == (learner.met > 0)).all()
+
+
 def test_language_model_is_a_distribution():
     """Over all ids that can follow, probabilities add up to one; tables give what the layers give."""
     a, rng = attention_lm, np.random.default_rng(1)
