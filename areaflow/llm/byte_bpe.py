@@ -38,8 +38,10 @@ WORDS = 1 << 18
 WORD_BYTES = 32 << 20
 #: Longer words in the corpus are never in the map.
 WORD_CHARS = 64
-#: From this many bytes on a word's fold stops early once no pair is left.
+#: From this many bytes on a word's state carries whether a pair is left; in shorter ones a last character says so.
 _LONG = 100
+#: No piece's character.
+_DONE = "."
 _BYTES = "ISO-8859-1"
 #: Ids are carried as characters from here on: no surrogates, and in the ids' order.
 _FIRST = 0x10000
@@ -165,7 +167,8 @@ class Vocabulary:
         """A character for each piece after all merges."""
         raw = F.decode(F.encode(word, "UTF-8"), _BYTES)
         start = F.translate(raw, *self.bytes)
-        steps = F.sequence(F.lit(1), F.greatest(F.length(raw) - 1, F.lit(1)))
+        size = F.octet_length(word)
+        steps = F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1)))
 
         def on(state: Column) -> Column:
             # a long word has far fewer different pairs than bytes: the steps behind the last merge cost nothing
@@ -177,11 +180,16 @@ class Vocabulary:
 
         first = F.struct(start.alias("text"), F.lit(False).alias("done"))
         long = F.aggregate(steps, first, lambda s, _: on(s), lambda s: s["text"])
-        short = F.aggregate(steps, start, lambda s, _: self._merged(merges, s, False))
-        return F.when(F.length(raw) > _LONG, long).otherwise(short)
 
-    def _merged(self, merges: Column, state: Column, split: bool) -> Column:
-        """One step; the state stays as it is where no pair has a rank."""
+        def on_short(state: Column) -> Column:
+            # a mark at the end says the same as cheaply as a short word's few steps need it
+            return F.when(F.endswith(state, F.lit(_DONE)), state).otherwise(self._merged(merges, state, False, _DONE))
+
+        short = F.aggregate(steps, start, lambda s, _: on_short(s), lambda s: F.replace(s, F.lit(_DONE), F.lit("")))
+        return F.when(size > _LONG, long).otherwise(short)
+
+    def _merged(self, merges: Column, state: Column, split: bool, mark: str = "") -> Column:
+        """One step; where no pair has a rank, the state gets the mark and is else as it was."""
 
         n = F.length(state)
         if split:  # a character's place is costly to find far inside
@@ -196,7 +204,8 @@ class Vocabulary:
         def step(made: Column) -> Column:
             def put(least: Column) -> Column:
                 pair = F.substring(state, F.array_position(made, least).cast("int"), F.lit(2))
-                return F.when(least.isNull(), state).otherwise(F.replace(state, pair, least))
+                same = F.concat(state, F.lit(mark)) if mark else state
+                return F.when(least.isNull(), same).otherwise(F.replace(state, pair, least))
 
             return _bound(F.array_min(made), put)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import string
+import time
 
 import public_tokenizers
 import pytest
@@ -49,6 +50,18 @@ def test_long_words_end(spark, ranks, reference):
     }
 
 
+def test_short_words_stop_at_the_last_merge(spark, ranks, reference):
+    """99 bytes without a merge are one look at 98 pairs, not 98 of them."""
+    words = ["\x01\x7f" * 49 + "\x01"] * 20_000
+    assert reference.encode_ordinary(words[0]) == [reference.encode_ordinary(c)[0] for c in words[0]]
+    frame = docs.table(spark, words).coalesce(1)
+    vocabulary = byte_bpe.Vocabulary(ranks, public_tokenizers.PATTERN)
+    assert byte_bpe.encode(frame.limit(1), vocabulary).first().ids == reference.encode_ordinary(words[0])
+    began = time.monotonic()
+    byte_bpe.encode(frame, vocabulary).write.format("noop").mode("overwrite").save()
+    assert time.monotonic() - began < 20
+
+
 def test_words_are_no_part_of_a_plan_or_a_row(spark, ranks, capsys):
     frame = docs.table(spark, ["zyxwvutsrq zyxwvutsrq"] * 2)
     vocabulary = byte_bpe.learned(frame, ranks, public_tokenizers.PATTERN)
