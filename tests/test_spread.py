@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import functions as F
 
+from areaflow import contracts as c
 from areaflow.operators import history
 from areaflow.queries import roles
 from areaflow.queries.registry import QUERIES
@@ -52,3 +55,23 @@ def test_documents_are_made_behind_the_shuffle_and_the_sort(spark, tmp_path, cap
     landed = roles.landed_documents(spark, sf)
     days = {r.key: r.ymd for r in landed.select("key", "ymd").collect()}
     assert landed.count() == 8 and {k and int(k.split("/")[1]) for k in days} == set(days.values()) == {20240101, 20240102, None}
+
+
+def test_landed_documents_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    at, kinds = dt.datetime(2024, 1, 1), ["view", "click", "error", None]
+    rows = [
+        (i, at + dt.timedelta(minutes=7 * i), 100 + i * 37 % 91, kinds[i % 4], i * 13 % 997 / 100, f'{{"k": {i * 29 % 100}}}')
+        for i in range(400)
+    ]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame([*rows, rows[0]], schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    sf = str(tmp_path)
+    monkeypatch.setattr(roles, "FILE_DOCUMENTS", 60, raising=False)
+    landed = roles.landed_documents(spark, sf)
+    files = {r[0]: r["count"] for r in landed.groupBy(F.input_file_name()).count().collect()}
+    texts = roles.json_documents(spark, sf)
+    held = sum(os.path.getsize(unquote(urlparse(f).path)) for f in files)
+    assert held * 10 < texts.agg(F.sum(F.length("body"))).first()[0]
+    assert sum(files.values()) == 401 and max(files.values()) == 60
+    keyed = landed.select(F.to_json(F.struct(*c.RAW_DOCUMENT.names)).alias("body"), F.col("key").alias("path"))
+    assert keyed.exceptAll(texts).isEmpty() and texts.exceptAll(keyed).isEmpty()
